@@ -34,14 +34,12 @@ POSTING_FIELDS_STRICT = [
 
 def field_terms(df: DataFrame, terms: dict[str, Column]) -> DataFrame:
     """Rows (field, term): the distinct terms of every named field of every row, in one scan."""
-    entries = [
-        F.transform(
-            F.coalesce(F.array_distinct(column), F.array().cast("array<string>")),
-            lambda term, name=name: F.struct(F.lit(name).alias("field"), term.alias("term")),
-        )
-        for name, column in terms.items()
-    ]
-    return df.select(F.inline(F.concat(*entries)))
+
+    def entries(name: str, column: Column) -> Column:
+        distinct = F.coalesce(F.array_distinct(column), F.array().cast("array<string>"))
+        return F.transform(distinct, lambda term: F.struct(F.lit(name).alias("field"), term.alias("term")))
+
+    return df.select(F.inline(F.concat(*[entries(name, column) for name, column in terms.items()])))
 
 
 def field_counts(terms: DataFrame, fields: Sequence[Field]) -> DataFrame:

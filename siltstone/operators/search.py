@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from functools import reduce
-from operator import add
+from operator import add, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siltstone.functions.text import analyze
+from siltstone.session import scratch_path
 
 # The public BM25 defaults and the number of hits shown.
 BM25_K1 = 1.2
@@ -17,6 +18,11 @@ BM25_B = 0.75
 HITS = 10
 
 
+def occurrences(terms: Column, wanted: str) -> Column:
+    """How often a term is in an array of terms."""
+    return F.size(F.filter(terms, lambda term: term == wanted))
+
+
 def match_search(
     df: DataFrame,
     doc_id: str,
@@ -28,8 +34,9 @@ def match_search(
     """The k best documents for the query as (doc_id, score), ties by id.
 
     Length and term counts are taken inside each row, so no postings are exploded or shuffled.
-    The corpus statistics are one aggregated row, read as a scalar subquery; scoring then keeps
-    k rows per task.
+    They are needed twice, for the corpus statistics and for the scores; to analyse every text
+    only once they are written to the scratch folder, a few bytes per document. The statistics
+    are one aggregated row, read as a scalar subquery, and scoring keeps k rows per task.
     """
     spark = df.sparkSession
     # The query is one literal: its terms are needed to write down the plan.
@@ -38,16 +45,15 @@ def match_search(
     if not terms:
         return df.select(doc_id, F.lit(0.0).alias("score")).where(F.lit(False))
 
-    tokens = analyzer(F.col(text))
-    docs = df.select(doc_id, tokens.alias("_terms")).select(
+    path = scratch_path(spark, "postings")
+    df.select(doc_id, analyzer(F.col(text)).alias("_terms")).select(
         doc_id,
         F.size("_terms").alias("_length"),
-        *[
-            F.size(F.filter("_terms", lambda term, wanted=wanted: term == wanted)).alias(f"_tf{i}")
-            for i, wanted in enumerate(terms)
-        ],
-    )
-    stats = docs.where(F.col("_length") > 0).agg(
+        *[occurrences(F.col("_terms"), term).alias(f"_tf{i}") for i, term in enumerate(terms)],
+    ).write.parquet(path)
+    docs = spark.read.parquet(path).where(F.col("_length") > 0)
+
+    stats = docs.agg(
         F.struct(
             F.count("*").alias("docs"),
             F.avg("_length").alias("length"),
@@ -61,7 +67,7 @@ def match_search(
         having = F.col("_stats")[f"df{i}"]
         idf = F.log1p((F.col("_stats")["docs"] - having + 0.5) / (having + 0.5))
         parts.append(idf * F.col(f"_tf{i}") / (F.col(f"_tf{i}") + norm))
-    hit = reduce(add, [F.col(f"_tf{i}") for i in range(len(terms))]) > 0
+    hit = reduce(or_, [F.col(f"_tf{i}") > 0 for i in range(len(terms))])
     return (
         docs.where(hit)
         .withColumn("_stats", stats)

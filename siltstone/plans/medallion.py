@@ -18,7 +18,7 @@ from siltstone.operators.scoring import POSTING_FIELDS, Field, classify, field_t
 from siltstone.plans.etl import run_etl
 from siltstone.schemas import ANALYSED_FIELDS, BRONZE_SCHEMA, GOLD_TAG_SCHEMA, SILVER_SCHEMA
 from siltstone.sources.records import read_record_files, to_bronze, to_messages
-from siltstone.sources.tables import TableSpec, read_table_stream
+from siltstone.sources.tables import TableSpec, read_table, read_table_stream, write_table
 from siltstone.streaming.sinks import append_to_table, complete_to_table, read_complete_table, upsert_to_table
 
 
@@ -69,9 +69,21 @@ def collected_postings(
     )
 
 
-def new_postings(collected: DataFrame, limit: int | None = None, last_seen: int | None = None) -> DataFrame:
-    """The rows of a run: the first ``limit`` in page order, cut at the last-seen id."""
-    return new_rows(collected, "id", ["page", "pos"], limit, last_seen)
+def run_integration(
+    fetched: DataFrame,
+    source: Column,
+    collected: TableSpec,
+    selectors: PostingSelectors = PostingSelectors(),
+    limit: int | None = None,
+    last_seen: int | None = None,
+) -> DataFrame:
+    """New postings of a run: the first ``limit`` in page order, cut at the last-seen id.
+
+    The parsed pages are written first, because the cut reads the ids twice.
+    """
+    write_table(collected_postings(fetched, source, selectors), collected)
+    rows = read_table(fetched.sparkSession, collected)
+    return new_rows(rows, "id", ["page", "pos"], limit, last_seen)
 
 
 def posting_messages(postings: DataFrame, group: str) -> DataFrame:

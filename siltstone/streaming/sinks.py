@@ -7,20 +7,22 @@ returns when it is done.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from siltstone.operators.counts import row_count
 from siltstone.operators.incremental import latest_per_key
 from siltstone.sources.tables import TableSpec, read_table
 
 
-def append_to_table(df: DataFrame, table: TableSpec) -> None:
+def append_to_table(df: DataFrame, table: TableSpec, output_mode: str = "append") -> None:
     """Append new rows; exactly once with the file sink."""
     (
         df.writeStream.format(table.file_format)
-        .outputMode("append")
+        .outputMode(output_mode)
         .option("path", table.data_path)
         .option("checkpointLocation", table.checkpoint_path)
         .trigger(availableNow=True)
@@ -30,12 +32,12 @@ def append_to_table(df: DataFrame, table: TableSpec) -> None:
 
 
 def _run_batches(
-    df: DataFrame, checkpoint: str, output_mode: str, write: Callable[[DataFrame, int], None]
+    df: DataFrame, table: TableSpec, output_mode: str, write: Callable[[DataFrame, int], None]
 ) -> None:
     (
         df.writeStream.foreachBatch(write)
         .outputMode(output_mode)
-        .option("checkpointLocation", checkpoint)
+        .option("checkpointLocation", table.checkpoint_path)
         .trigger(availableNow=True)
         .start()
         .awaitTermination()
@@ -45,9 +47,11 @@ def _run_batches(
 def complete_to_table(df: DataFrame, table: TableSpec) -> None:
     """Replace a table by the full result of a streaming aggregate after every batch.
 
-    Two copies alternate, so a run that dies while writing one leaves the other whole. Read the
-    table with :func:`read_complete_table`.
+    Delta tables do this themselves. In plain files two copies alternate, so a run that dies
+    while writing one leaves the other whole. Read the table with :func:`read_complete_table`.
     """
+    if table.file_format == "delta":
+        return append_to_table(df, table, "complete")
 
     def write(result: DataFrame, batch_id: int) -> None:
         (
@@ -55,12 +59,14 @@ def complete_to_table(df: DataFrame, table: TableSpec) -> None:
             .write.format(table.file_format).mode("overwrite").save(f"{table.data_path}/copy={batch_id % 2}")
         )
 
-    _run_batches(df, table.checkpoint_path, "complete", write)
+    _run_batches(df, table, "complete", write)
 
 
 def read_complete_table(spark: SparkSession, table: TableSpec) -> DataFrame:
     """The newest copy written by :func:`complete_to_table`."""
-    copies = read_table(spark, TableSpec(table.base_path, table.file_format))
+    if table.file_format == "delta":
+        return read_table(spark, table)
+    copies = read_table(spark, _with_columns(table, "batch_id", "copy"))
     newest = copies.agg(F.max("batch_id").alias("batch_id")).scalar()
     return copies.where(F.col("batch_id") == newest).drop("batch_id", "copy")
 
@@ -68,26 +74,39 @@ def read_complete_table(spark: SparkSession, table: TableSpec) -> DataFrame:
 def upsert_to_table(df: DataFrame, table: TableSpec, key: str, order: Sequence[str]) -> None:
     """Keyed append: a later row with the same key replaces the earlier one.
 
-    A batch is reduced to its last row per key and written to a folder of its own, so writing
+    A batch is reduced to its last row per key and stored under its batch number, so writing
     costs as much as the batch and not as much as the table, and a replayed batch overwrites
     itself. :func:`read_keyed_table` resolves the versions.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        (
-            latest_per_key(batch, key, order)
-            .write.format(table.file_format).mode("overwrite").save(f"{table.data_path}/batch={batch_id}")
-        )
+        rows = latest_per_key(batch, key, order)
+        if table.file_format == "delta":
+            (
+                rows.withColumn("batch", F.lit(batch_id).cast("long"))
+                .write.format("delta").mode("overwrite").option("replaceWhere", f"batch = {batch_id}")
+                .save(table.data_path)
+            )
+        else:
+            rows.write.format(table.file_format).mode("overwrite").save(f"{table.data_path}/batch={batch_id}")
 
-    _run_batches(df, table.checkpoint_path, "append", write)
+    _run_batches(df, table, "append", write)
 
 
 def read_keyed_table(spark: SparkSession, table: TableSpec, key: str) -> DataFrame:
     """One row per key: the one of the newest batch that has the key."""
-    versions = read_table(spark, TableSpec(table.base_path, table.file_format))
+    versions = read_table(spark, _with_columns(table, "batch"))
     return latest_per_key(versions, key, ["batch"]).drop("batch")
 
 
+def _with_columns(table: TableSpec, *names: str) -> TableSpec:
+    """The table with the columns a sink adds, where its schema is given."""
+    if table.schema is None:
+        return table
+    added = [T.StructField(name, T.LongType()) for name in names]
+    return replace(table, schema=T.StructType(table.schema.fields + added))
+
+
 def show_stream(df: DataFrame, description: str = "", with_count: bool = True, output_mode: str = "append") -> None:
     """Print a stream once and, if asked, its total row count."""
     print(f"console: {description}")

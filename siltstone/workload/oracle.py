@@ -10,7 +10,7 @@ from siltstone.functions.predicates import DROP_WORDS
 from siltstone.functions.text import ENGLISH_STOP_WORDS, VIETNAMESE_STOP_WORDS
 from siltstone.operators.scoring import POSTING_FIELDS
 from siltstone.workload.queries import (
-    ABSENT, LAST_SEEN, PAGE_SOURCE, RUN_LIMIT, SCORE_DIGITS, SCORED_FIELDS, SEARCH_TEXT,
+    ABSENT, LAST_SEEN, LAST_SEEN_PAGE, PAGE_SOURCE, RUN_LIMIT, SCORE_DIGITS, SCORED_FIELDS, SEARCH_TEXT,
 )
 
 
@@ -146,11 +146,12 @@ _EVENT_HEADER = """
 _BRONZE = f"""
     SELECT CAST(to_json(props) AS VARCHAR) AS value, event_id % 4 AS partition, event_id // 4 AS "offset",
            ts AS timestamp, 0 AS "timestampType", event_type AS source,
-           TRY_CAST({_EVENT_HEADER} AS INTEGER) AS collect_id
+           CAST(TRY_CAST({_EVENT_HEADER} AS INTEGER) AS VARCHAR) AS collect_id
     FROM events"""
 
 _ORDER_PAGES = """
-    SELECT -date_diff('day', DATE '1970-01-01', CAST(o_orderdate AS DATE)) AS page, o_orderkey AS pos, o_orderkey AS id
+    SELECT CAST(-date_diff('day', DATE '1970-01-01', CAST(o_orderdate AS DATE)) AS INTEGER) AS page,
+           o_orderkey AS pos, o_orderkey AS id
     FROM orders"""
 
 
@@ -169,6 +170,13 @@ def _content_id(*fields: str) -> str:
     return f"(SELECT CAST({total} AS BIGINT) FROM (SELECT sha1({text}) AS h))"
 
 
+_COLLECTED = f"""
+    SELECT CAST(page_id // 20 AS INTEGER) AS page, CAST(page_id % 20 AS INTEGER) AS pos,
+           {_content_id('title', 'company', 'requirement', 'benefit', 'overview')} AS id,
+           requirement = '' OR overview = '' OR benefit = '' AS abnormal, replace(html, chr(10), '') AS raw
+    FROM ({_PAGES}) JOIN pages USING (page_id)"""
+
+
 def _frequency_table(counts: str, limit: int | None = None) -> str:
     cut = f" ORDER BY id LIMIT {limit}" if limit else ""
     return f"""
@@ -216,11 +224,7 @@ ORACLE: dict[str, str] = {
                overview, requirement, benefit, company
         FROM ({_RAW_PAGES})""",
     "newline_strip": "SELECT doc_id, replace(text, chr(10), '') AS text FROM documents",
-    "abnormal_records": f"""
-        SELECT CAST(page_id // 20 AS INTEGER) AS page, CAST(page_id % 20 AS INTEGER) AS pos,
-               {_content_id('title', 'company', 'requirement', 'benefit', 'overview')} AS id,
-               requirement = '' OR overview = '' OR benefit = '' AS abnormal
-        FROM ({_PAGES})""",
+    "abnormal_records": f"SELECT page, pos, id, abnormal FROM ({_COLLECTED})",
     "content_id": f"SELECT p_partkey, {_content_id('p_name', 'p_brand', 'p_type')} AS id FROM part",
     "row_label": """
         SELECT p_partkey, printf('%8d | %-40s | %-20s', p_partkey, p_name[1:40], p_brand[1:20]) AS label FROM part""",
@@ -317,8 +321,8 @@ ORACLE: dict[str, str] = {
     "medallion_silver": _SILVER,
     "medallion_index": _SILVER,
     "integration_messages": f"""
-        SELECT md5(replace(html, chr(10), '')) AS raw_md5, 'source' AS header1, 'message_group_id' AS header2,
+        SELECT md5(raw) AS raw_md5, 'source' AS header1, 'message_group_id' AS header2,
                '{PAGE_SOURCE}' AS value1, 'run 1' AS value2
-        FROM pages""",
+        FROM ({_since(f"SELECT * FROM ({_COLLECTED}) ORDER BY page, pos LIMIT {RUN_LIMIT}", LAST_SEEN_PAGE)})""",
     "table_rows": "SELECT count(*) AS row_count FROM lineitem",
 }

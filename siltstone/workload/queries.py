@@ -32,6 +32,7 @@ SEARCH_TEXT = "nicht que"
 SCORE_DIGITS = 6
 LAST_SEEN = 1000
 ABSENT = -1
+LAST_SEEN_PAGE = 49375259
 RUN_LIMIT = 1000
 
 
@@ -106,7 +107,10 @@ def bronze_projection(spark, sf_dir):
 
 
 def bronze_rows(bronze: DataFrame) -> DataFrame:
-    return bronze.withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
+    """Bronze rows with types that compare alike everywhere (NULL numbers as text)."""
+    return bronze.withColumns({
+        "timestamp": F.col("timestamp").cast("timestamp_ntz"), "collect_id": F.col("collect_id").cast("string"),
+    })
 
 
 def raw_values(spark, sf_dir):
@@ -146,17 +150,18 @@ def newline_strip(spark, sf_dir):
     return table(spark, sf_dir, "documents", "doc_id", records.strip_newlines(F.col("text")).alias("text"))
 
 
-def collected_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    fetched = pages(spark, sf_dir).select(
+def fetched_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages in the order of a collection run, twenty to a result page."""
+    return pages(spark, sf_dir).select(
         F.floor(F.col("page_id") / 20).cast("int").alias("page"),
         (F.col("page_id") % 20).cast("int").alias("pos"),
         "html",
     )
-    return medallion.collected_postings(fetched, F.lit(PAGE_SOURCE), PAGE_SELECTORS)
 
 
 def abnormal_records(spark, sf_dir):
-    return collected_pages(spark, sf_dir).select("page", "pos", "id", "abnormal")
+    collected = medallion.collected_postings(fetched_pages(spark, sf_dir), F.lit(PAGE_SOURCE), PAGE_SELECTORS)
+    return collected.select("page", "pos", "id", "abnormal")
 
 
 def content_id(spark, sf_dir):
@@ -481,8 +486,11 @@ def medallion_index(spark, sf_dir):
 
 
 def integration_messages(spark, sf_dir):
-    messages = medallion.posting_messages(medallion.new_postings(collected_pages(spark, sf_dir)), "run 1")
-    return messages.select(
+    collected = TableSpec(scratch_path(spark, "collected"))
+    postings = medallion.run_integration(
+        fetched_pages(spark, sf_dir), F.lit(PAGE_SOURCE), collected, PAGE_SELECTORS, RUN_LIMIT, LAST_SEEN_PAGE
+    )
+    return medallion.posting_messages(postings, "run 1").select(
         F.md5(records.decode_payload(F.col("value").cast("string"))).alias("raw_md5"),
         *[F.col("headers")[i]["key"].alias(f"header{i + 1}") for i in range(2)],
         *[F.col("headers")[i]["value"].cast("string").alias(f"value{i + 1}") for i in range(2)],
