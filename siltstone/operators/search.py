@@ -6,7 +6,7 @@ from collections.abc import Callable
 from functools import reduce
 from operator import add, or_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltstone.functions.text import analyze
@@ -18,6 +18,16 @@ BM25_B = 0.75
 HITS = 10
 
 
+def term_listing(df: DataFrame, key: str, text: str, analyzer: Callable[[Column], Column] = analyze) -> DataFrame:
+    """One row per term of every text: key, pos, term."""
+    return df.select(key, F.posexplode(analyzer(F.col(text))).alias("pos", "term"))
+
+
+def analyze_text(spark: SparkSession, text: str, analyzer: Callable[[Column], Column] = analyze) -> DataFrame:
+    """The terms of one ad-hoc text: pos, term."""
+    return term_listing(spark.range(1).select("id", F.lit(text).alias("text")), "id", "text", analyzer).drop("id")
+
+
 def occurrences(terms: Column, wanted: str) -> Column:
     """How often a term is in an array of terms."""
     return F.size(F.filter(terms, lambda term: term == wanted))
@@ -40,8 +50,7 @@ def match_search(
     """
     spark = df.sparkSession
     # The query is one literal: its terms are needed to write down the plan.
-    analysed = spark.range(1).select(F.array_distinct(analyzer(F.lit(query))).alias("terms"))
-    terms = analysed.first()["terms"]
+    terms = sorted({row["term"] for row in analyze_text(spark, query, analyzer).collect()})
     if not terms:
         return df.select(doc_id, F.lit(0.0).alias("score")).where(F.lit(False))
 

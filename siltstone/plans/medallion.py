@@ -120,7 +120,7 @@ def run_processing(
 ) -> DataFrame:
     """Bronze to silver, then silver to the index and to the gold tag counts.
 
-    Pages are parsed once, into silver; the other two sinks follow the silver table.
+    Pages are parsed once, into silver; the other two sinks follow the silver table side by side.
     """
     run_etl(
         lambda: read_table_stream(spark, lake.bronze),
@@ -128,8 +128,12 @@ def run_processing(
         lambda rows: append_to_table(rows, lake.silver),
     )
     silver = read_table_stream(spark, lake.silver)
-    upsert_to_table(silver, lake.index, "id", ["id"])
-    complete_to_table(tag_count(silver), lake.gold_tags)
+    sinks = [
+        upsert_to_table(silver, lake.index, "id", ["id"], wait=False),
+        complete_to_table(tag_count(silver), lake.gold_tags, wait=False),
+    ]
+    for query in sinks:
+        query.awaitTermination()
     return silver
 
 

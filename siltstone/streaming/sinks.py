@@ -1,7 +1,7 @@
 """One-shot incremental sinks: append, complete, keyed upsert, console and running count.
 
-Each call processes what is new since the last one, commits its progress to a checkpoint, and
-returns when it is done.
+Each call processes what is new since the last one and commits its progress to a checkpoint. It
+returns when it is done, or at once with ``wait=False``; it gives the streaming query either way.
 """
 
 from __future__ import annotations
@@ -12,46 +12,52 @@ from dataclasses import replace
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from siltstone.operators.counts import row_count
 from siltstone.operators.incremental import latest_per_key
 from siltstone.sources.tables import TableSpec, read_table
 
 
-def append_to_table(df: DataFrame, table: TableSpec, output_mode: str = "append") -> None:
+def _run(writer: DataStreamWriter, wait: bool) -> StreamingQuery:
+    query = writer.trigger(availableNow=True).start()
+    if wait:
+        query.awaitTermination()
+    return query
+
+
+def append_to_table(
+    df: DataFrame, table: TableSpec, output_mode: str = "append", wait: bool = True
+) -> StreamingQuery:
     """Append new rows; exactly once with the file sink."""
-    (
+    writer = (
         df.writeStream.format(table.file_format)
         .outputMode(output_mode)
         .option("path", table.data_path)
         .option("checkpointLocation", table.checkpoint_path)
-        .trigger(availableNow=True)
-        .start()
-        .awaitTermination()
     )
+    return _run(writer, wait)
 
 
 def _run_batches(
-    df: DataFrame, table: TableSpec, output_mode: str, write: Callable[[DataFrame, int], None]
-) -> None:
-    (
+    df: DataFrame, table: TableSpec, output_mode: str, write: Callable[[DataFrame, int], None], wait: bool
+) -> StreamingQuery:
+    writer = (
         df.writeStream.foreachBatch(write)
         .outputMode(output_mode)
         .option("checkpointLocation", table.checkpoint_path)
-        .trigger(availableNow=True)
-        .start()
-        .awaitTermination()
     )
+    return _run(writer, wait)
 
 
-def complete_to_table(df: DataFrame, table: TableSpec) -> None:
+def complete_to_table(df: DataFrame, table: TableSpec, wait: bool = True) -> StreamingQuery:
     """Replace a table by the full result of a streaming aggregate after every batch.
 
     Delta tables do this themselves. In plain files two copies alternate, so a run that dies
     while writing one leaves the other whole. Read the table with :func:`read_complete_table`.
     """
     if table.file_format == "delta":
-        return append_to_table(df, table, "complete")
+        return append_to_table(df, table, "complete", wait)
 
     def write(result: DataFrame, batch_id: int) -> None:
         (
@@ -59,7 +65,7 @@ def complete_to_table(df: DataFrame, table: TableSpec) -> None:
             .write.format(table.file_format).mode("overwrite").save(f"{table.data_path}/copy={batch_id % 2}")
         )
 
-    _run_batches(df, table, "complete", write)
+    return _run_batches(df, table, "complete", write, wait)
 
 
 def read_complete_table(spark: SparkSession, table: TableSpec) -> DataFrame:
@@ -71,7 +77,9 @@ def read_complete_table(spark: SparkSession, table: TableSpec) -> DataFrame:
     return copies.where(F.col("batch_id") == newest).drop("batch_id", "copy")
 
 
-def upsert_to_table(df: DataFrame, table: TableSpec, key: str, order: Sequence[str]) -> None:
+def upsert_to_table(
+    df: DataFrame, table: TableSpec, key: str, order: Sequence[str], wait: bool = True
+) -> StreamingQuery:
     """Keyed append: a later row with the same key replaces the earlier one.
 
     A batch is reduced to its last row per key and stored under its batch number, so writing
@@ -90,7 +98,7 @@ def upsert_to_table(df: DataFrame, table: TableSpec, key: str, order: Sequence[s
         else:
             rows.write.format(table.file_format).mode("overwrite").save(f"{table.data_path}/batch={batch_id}")
 
-    _run_batches(df, table, "append", write)
+    return _run_batches(df, table, "append", write, wait)
 
 
 def read_keyed_table(spark: SparkSession, table: TableSpec, key: str) -> DataFrame:
@@ -110,11 +118,11 @@ def _with_columns(table: TableSpec, *names: str) -> TableSpec:
 def show_stream(df: DataFrame, description: str = "", with_count: bool = True, output_mode: str = "append") -> None:
     """Print a stream once and, if asked, its total row count."""
     print(f"console: {description}")
-    shown = [(df, output_mode)] + ([(row_count(df), "complete")] if with_count else [])
-    for frame, mode in shown:
-        frame.writeStream.format("console").outputMode(mode).trigger(availableNow=True).start().awaitTermination()
+    _run(df.writeStream.format("console").outputMode(output_mode), wait=True)
+    if with_count:
+        _run(row_count(df).writeStream.format("console").outputMode("complete"), wait=True)
 
 
-def count_to_table(df: DataFrame, table: TableSpec) -> None:
+def count_to_table(df: DataFrame, table: TableSpec, wait: bool = True) -> StreamingQuery:
     """Running total of a stream, kept in a complete table."""
-    complete_to_table(row_count(df, "row_count"), table)
+    return complete_to_table(row_count(df, "row_count"), table, wait)

@@ -247,7 +247,7 @@ def number_blank(spark, sf_dir):
 
 def analyze_text(spark, sf_dir):
     items = spread(table(spark, sf_dir, "benchmark", "item_id", "text"))
-    return items.select("item_id", F.posexplode(text.analyze("text")).alias("pos", "term"))
+    return search.term_listing(items, "item_id", "text")
 
 
 def tag_terms(spark, sf_dir):
