@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -40,9 +38,20 @@ def _column(value: Column | str) -> Column:
     return F.col(value) if isinstance(value, str) else value
 
 
-def bind(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body(value)`` with ``value`` evaluated once per row, however often the body uses it."""
-    return F.element_at(F.transform(F.array(value), body), 1)
+# The lambdas below are SQL text: one parse instead of a call into the JVM per literal and operator.
+_PAIRS = """
+    zip_with(slice(w, 1, greatest(size(w) - 1, 0)), slice(w, 2, greatest(size(w) - 1, 0)),
+             (a, b) -> coalesce(a || ' ' || b, a, b))"""
+
+# Comparing with ":", the character after "9", spares most terms the pattern match.
+_BLANK_NUMBER = "IF({0} < ':' AND {0} RLIKE '" + NUMBER_PATTERN + "', '', {0})"
+
+_TERMS = f"array_compact(flatten(zip_with(w, {_PAIRS}, (a, b) -> array({_BLANK_NUMBER.format('a')}, b))))"
+
+
+def bind(value: Column, body: str) -> Column:
+    """The SQL ``body`` over ``w``, with ``w`` = ``value`` evaluated once per row."""
+    return F.element_at(F.call_function("transform", F.array(value), F.expr(f"w -> {body}")), 1)
 
 
 def tokenize(text: Column | str) -> Column:
@@ -52,7 +61,8 @@ def tokenize(text: Column | str) -> Column:
 
 def blank_stop_words(tokens: Column | str, words: list[str]) -> Column:
     """Replace stop words by NULL so that the positions of the other tokens are kept."""
-    return F.transform(_column(tokens), lambda token: F.when(~token.isin(words), token))
+    listed = ", ".join("'" + word.replace("'", "\\'") + "'" for word in words)
+    return F.call_function("transform", _column(tokens), F.expr(f"t -> IF(t IN ({listed}), NULL, t)"))
 
 
 def word_pairs(slots: Column | str) -> Column:
@@ -61,25 +71,12 @@ def word_pairs(slots: Column | str) -> Column:
     NULL slots are gaps: next to a gap the entry is the other word alone, between two gaps it
     is NULL. The result is one shorter than the input.
     """
-    slots = _column(slots)
-
-    def pairs(words: Column) -> Column:
-        count = F.greatest(F.size(words) - 1, F.lit(0))
-        return F.zip_with(
-            F.slice(words, F.lit(1), count),
-            F.slice(words, F.lit(2), count),
-            lambda left, right: F.coalesce(F.concat(left, F.lit(" "), right), left, right),
-        )
+    return bind(_column(slots), _PAIRS)
 
-    return bind(slots, pairs)
 
-
-def blank_number(term: Column) -> Column:
-    """The empty term for a plain decimal number, any other term unchanged.
-
-    Comparing with ":", the character after "9", spares most terms the pattern match.
-    """
-    return F.when((term < ":") & term.rlike(NUMBER_PATTERN), "").otherwise(term)
+def blank_number(term: str) -> Column:
+    """The empty term for a plain decimal number, any other term of the column unchanged."""
+    return F.expr(_BLANK_NUMBER.format(term))
 
 
 def analyze(text: Column | str) -> Column:
@@ -89,13 +86,7 @@ def analyze(text: Column | str) -> Column:
     next to a gap also survives as itself, because the pair it forms with the gap is trimmed
     only after numbers were blanked.
     """
-    slots = blank_stop_words(tokenize(text), ENGLISH_STOP_WORDS + VIETNAMESE_STOP_WORDS)
-
-    def terms(words: Column) -> Column:
-        both = F.zip_with(words, word_pairs(words), lambda word, pair: F.array(blank_number(word), pair))
-        return F.array_compact(F.flatten(both))
-
-    return bind(slots, terms)
+    return bind(blank_stop_words(tokenize(text), ENGLISH_STOP_WORDS + VIETNAMESE_STOP_WORDS), _TERMS)
 
 
 def analyze_tags(tags: Column | str) -> Column:

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siltstone.functions.predicates import is_admissible
+from siltstone.session import scratch_path
 
 TAG, NOT_TAG, IGNORED = "TAG", "NOT_TAG", "IGNORED"
 
@@ -34,12 +35,11 @@ POSTING_FIELDS_STRICT = [
 
 def field_terms(df: DataFrame, terms: dict[str, Column]) -> DataFrame:
     """Rows (field, term): the distinct terms of every named field of every row, in one scan."""
-
-    def entries(name: str, column: Column) -> Column:
-        distinct = F.coalesce(F.array_distinct(column), F.array().cast("array<string>"))
-        return F.transform(distinct, lambda term: F.struct(F.lit(name).alias("field"), term.alias("term")))
-
-    return df.select(F.inline(F.concat(*[entries(name, column) for name, column in terms.items()])))
+    fields = F.array(*[
+        F.struct(F.lit(name).alias("field"), F.array_distinct(column).alias("terms"))
+        for name, column in terms.items()
+    ])
+    return df.select(F.inline(fields)).select("field", F.explode("terms").alias("term"))
 
 
 def field_counts(terms: DataFrame, fields: Sequence[Field]) -> DataFrame:
@@ -57,9 +57,16 @@ def field_counts(terms: DataFrame, fields: Sequence[Field]) -> DataFrame:
 
 
 def limit_buckets(counts: DataFrame, fields: Sequence[Field], buckets: int) -> DataFrame:
-    """Keep, for each field, only the counts of its ``buckets`` most frequent terms."""
+    """Keep, for each field, only the counts of its ``buckets`` most frequent terms.
+
+    The counts are written to the scratch folder first: each field takes its own top from them.
+    """
+    spark = counts.sparkSession
+    path = scratch_path(spark, "buckets")
+    counts.write.parquet(path)
+    written = spark.read.parquet(path)
     tops = [
-        counts.where(F.col(field.name) > 0)
+        written.where(F.col(field.name) > 0)
         .orderBy(F.desc(field.name), F.asc("term"))
         .limit(buckets)
         .select("term", *[

@@ -59,8 +59,9 @@ def _term_counts(table: str, key: str, column: str) -> str:
 
 
 def _unescape(expression: str) -> str:
-    for entity, char in [("&quot;", '"'), ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&")]:
-        expression = f"replace({expression}, '{entity}', '{char}')"
+    """Decode the entities of the pages; one that is cut off before its semicolon counts too."""
+    for entity, char in [("&quot;?", '"'), ("&copy;?", "©"), ("&middot;?", "·"), ("&amp;?", "&")]:
+        expression = f"regexp_replace({expression}, '{entity}', '{char}', 'g')"
     return expression
 
 

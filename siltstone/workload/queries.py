@@ -242,7 +242,7 @@ def shingles(spark, sf_dir):
 
 def number_blank(spark, sf_dir):
     words = counts.word_frequency(documents(spark, sf_dir), text.tokenize("text"))
-    return words.select("term", F.trim(text.blank_number(F.col("term"))).alias("blanked"), "n")
+    return words.select("term", F.trim(text.blank_number("term")).alias("blanked"), "n")
 
 
 def analyze_text(spark, sf_dir):
