@@ -17,8 +17,7 @@ LABEL_FORMAT = "%8d | %-40s | %-20s"
 
 def encode_payload(text: Column) -> Column:
     """The text as a JSON string literal."""
-    in_array = F.to_json(F.array(text))
-    return F.when(text.isNotNull(), F.substring(in_array, F.lit(2), F.length(in_array) - 2))
+    return F.when(text.isNotNull(), F.btrim(F.to_json(F.array(text)), F.lit("[]")))
 
 
 def decode_payload(value: Column) -> Column:

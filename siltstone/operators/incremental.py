@@ -31,13 +31,14 @@ def first_rows(df: DataFrame, order: Sequence[str], n: int | None) -> DataFrame:
 def since_marker(df: DataFrame, row_id: str, marker: int | None, order: Sequence[str]) -> DataFrame:
     """Rows before the first occurrence of the last-seen id; all rows without marker or match.
 
-    The marker position is one aggregated row, read as a scalar subquery.
+    The marker position is one aggregated row, read as a scalar subquery; it is NULL without a
+    match. The table is read twice, so give it as a scan or a written table.
     """
     if not marker:
         return df
     position = F.struct(*order)
     seen = df.where(F.col(row_id) == marker).agg(F.min(position).alias("seen")).scalar()
-    return df.where(seen.isNull() | (position < seen))
+    return df.where(F.coalesce(position < seen, F.lit(True)))
 
 
 def high_water_mark(df: DataFrame, row_id: str, order: Sequence[str]) -> DataFrame:

@@ -40,9 +40,13 @@ def match_search(
     query: str,
     analyzer: Callable[[Column], Column] = analyze,
     k: int = HITS,
+    stored_terms: str | None = None,
 ) -> DataFrame:
     """The k best documents for the query as (doc_id, score), ties by id.
 
+    ``stored_terms`` names the term array of an analysed table; it then stands for analysing the
+    text again.
+
     Length and term counts are taken inside each row, so no postings are exploded or shuffled.
     They are needed twice, for the corpus statistics and for the scores; to analyse every text
     only once they are written to the scratch folder, a few bytes per document. The statistics
@@ -55,7 +59,8 @@ def match_search(
         return df.select(doc_id, F.lit(0.0).alias("score")).where(F.lit(False))
 
     path = scratch_path(spark, "postings")
-    df.select(doc_id, analyzer(F.col(text)).alias("_terms")).select(
+    terms_of_row = F.col(stored_terms) if stored_terms else analyzer(F.col(text))
+    df.select(doc_id, terms_of_row.alias("_terms")).select(
         doc_id,
         F.size("_terms").alias("_length"),
         *[occurrences(F.col("_terms"), term).alias(f"_tf{i}") for i, term in enumerate(terms)],

@@ -9,21 +9,29 @@ from siltstone.functions.records import encode_payload, header, header_text
 from siltstone.schemas import RECORD_SCHEMA
 
 
-def read_kafka_stream(spark: SparkSession, bootstrap_servers: str, topic: str) -> DataFrame:
-    """One topic from its beginning, headers included. Needs Spark's Kafka connector."""
-    return (
+def read_kafka_stream(
+    spark: SparkSession, bootstrap_servers: str, topic: str, offsets_per_batch: int | None = None
+) -> DataFrame:
+    """One topic from its beginning, headers included. Needs Spark's Kafka connector.
+
+    ``offsets_per_batch`` cuts a long backlog into batches.
+    """
+    reader = (
         spark.readStream.format("kafka")
         .option("kafka.bootstrap.servers", bootstrap_servers)
         .option("subscribe", topic)
         .option("startingOffsets", "earliest")
         .option("includeHeaders", True)
-        .load()
     )
+    return (reader.option("maxOffsetsPerTrigger", offsets_per_batch) if offsets_per_batch else reader).load()
 
 
-def read_record_files(spark: SparkSession, path: str, file_format: str = "parquet") -> DataFrame:
+def read_record_files(
+    spark: SparkSession, path: str, file_format: str = "parquet", files_per_batch: int | None = None
+) -> DataFrame:
     """A stream of records stored as files, in the column layout of a Kafka source."""
-    return spark.readStream.format(file_format).schema(RECORD_SCHEMA).load(path)
+    reader = spark.readStream.format(file_format).schema(RECORD_SCHEMA)
+    return (reader.option("maxFilesPerTrigger", files_per_batch) if files_per_batch else reader).load(path)
 
 
 def to_messages(

@@ -53,9 +53,11 @@ def read_table(spark: SparkSession, table: TableSpec) -> DataFrame:
     return read_files(spark, table.data_path, table.file_format, table.schema)
 
 
-def read_table_stream(spark: SparkSession, table: TableSpec) -> DataFrame:
-    """Incremental read of a table."""
+def read_table_stream(spark: SparkSession, table: TableSpec, files_per_batch: int | None = None) -> DataFrame:
+    """Incremental read of a table; ``files_per_batch`` cuts a long backlog into batches."""
     reader = spark.readStream.format(table.file_format)
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
     return (reader.schema(table.schema) if table.schema is not None else reader).load(table.data_path)
 
 

@@ -272,6 +272,7 @@ ORACLE: dict[str, str] = {
         GROUP BY token ORDER BY n DESC, term LIMIT 1""",
     "relative_weight": _relative(_DOC_TERM_COUNTS),
     "match_search": _SEARCH,
+    "match_search_stored": _SEARCH,
     "weighted_points": f"SELECT term, points FROM ({_points(_FIELD_COUNTS, SCORED_FIELDS)})",
     "weighted_points_buckets": f"SELECT term, points FROM ({_points(_FIELD_COUNTS, SCORED_FIELDS, 1000)})",
     "term_scoring": _SCORING,

@@ -296,6 +296,12 @@ def match_search(spark, sf_dir):
     return hits.withColumn("score", F.round("score", SCORE_DIGITS))
 
 
+def match_search_stored(spark, sf_dir):
+    index = written_copy(spark, sf_dir)
+    hits = search.match_search(index, "doc_id", "text", SEARCH_TEXT, stored_terms="text_terms")
+    return hits.withColumn("score", F.round("score", SCORE_DIGITS))
+
+
 # Scoring ---------------------------------------------------------------------------------------
 
 def scored_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -429,10 +435,15 @@ def keyed_upsert(spark, sf_dir):
     return incremental.upsert(events.where(early), events.where(~early), "user_id", ["event_id"])
 
 
-def analysed_copy(spark, sf_dir):
+def written_copy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents with their term arrays, written and read back."""
     copy = TableSpec(scratch_path(spark, "analysed"))
     write_table(medallion.analysed_copy(documents(spark, sf_dir), ("text",), tags=None), copy)
-    return read_table(spark, copy).select(
+    return read_table(spark, copy)
+
+
+def analysed_copy(spark, sf_dir):
+    return written_copy(spark, sf_dir).select(
         "doc_id", F.size("text_terms").alias("terms"), F.size(F.array_distinct("text_terms")).alias("distinct_terms")
     )
 
@@ -510,6 +521,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         tokenize, token_word_count, stopwords_english, stopwords_vietnamese, shingles, number_blank, analyze_text,
         tag_terms, term_count, term_count_min3, term_count_min10, term_buckets, term_top, word_frequency,
         word_frequency_stop, most_frequent, relative_weight, match_search,
+        match_search_stored,
         weighted_points, weighted_points_buckets, term_scoring, tag_points, other_points, posting_scores, term_flags,
         terms_allowed, terms_dropped, dictionary_duplicates, dictionary_sorted,
         batch_concat, page_max, latest_limit, since_marker, since_marker_absent, new_rows, high_water_mark,

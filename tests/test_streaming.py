@@ -30,6 +30,16 @@ def test_append_processes_only_new_rows(spark, path, source):
             add(extra)
 
 
+def test_backlog_in_batches(spark, path, source):
+    table, add = source
+    out = TableSpec(f"{path}/out")
+    for i in range(3):
+        add((i, "a", ["sql"]))
+    query = sinks.complete_to_table(tag_count(read_table_stream(spark, table, files_per_batch=1)), out)
+    assert [progress["batchId"] for progress in query.recentProgress if progress["numInputRows"]] == [0, 1, 2]
+    assert sinks.read_complete_table(spark, out).first()["tag_post_count"] == 3
+
+
 def test_complete_counts_grow_over_runs(spark, path, source):
     table, add = source
     out = TableSpec(f"{path}/out")
