@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,12 +13,12 @@ from siltstone.functions.predicates import has_empty_section
 from siltstone.functions.records import content_id, decode_payload, record_id, strip_newlines
 from siltstone.functions.text import analyze, analyze_tags
 from siltstone.operators.counts import tag_count
-from siltstone.operators.incremental import new_rows, when_any
+from siltstone.operators.incremental import high_water_mark, new_rows, when_any
 from siltstone.operators.ranking import relative_weights
 from siltstone.operators.scoring import POSTING_FIELDS, Field, classify, field_terms, weighted_points
 from siltstone.plans.etl import run_etl
 from siltstone.schemas import ANALYSED_FIELDS, BRONZE_SCHEMA, GOLD_TAG_SCHEMA, SILVER_SCHEMA
-from siltstone.sources.records import read_record_files, to_bronze, to_messages
+from siltstone.sources.records import to_bronze, to_messages
 from siltstone.sources.tables import TableSpec, read_table, read_table_stream, write_table
 from siltstone.streaming.sinks import append_to_table, complete_to_table, read_complete_table, upsert_to_table
 
@@ -32,6 +33,10 @@ class Lakehouse:
     def _table(self, name: str, schema=None) -> TableSpec:
         return TableSpec(f"{self.base_path.rstrip('/')}/{name}", self.file_format, schema)
 
+    @property
+    def collected(self) -> TableSpec:
+        return self._table("collected")
+
     @property
     def records(self) -> TableSpec:
         return self._table("records")
@@ -169,13 +174,36 @@ def score_terms(
 # The chain -------------------------------------------------------------------------------------
 
 def run_stages(
-    spark: SparkSession, lake: Lakehouse, records_path: str, selectors: PostingSelectors = PostingSelectors()
+    spark: SparkSession, lake: Lakehouse, records: DataFrame, selectors: PostingSelectors = PostingSelectors()
+) -> DataFrame:
+    """Storage, processing and analysis of what a record stream holds."""
+    run_storage(records, lake.bronze)
+    run_processing(spark, lake, selectors)
+    return run_analysis(spark, lake)
+
+
+def run_all(
+    spark: SparkSession,
+    lake: Lakehouse,
+    fetched: DataFrame,
+    source: Column,
+    send: Callable[[DataFrame], object],
+    receive: Callable[[], DataFrame],
+    selectors: PostingSelectors = PostingSelectors(),
+    limit: int | None = None,
+    last_seen: int | None = None,
 ) -> DataFrame | None:
-    """Storage, processing and analysis over the record files, if there are any records."""
+    """The whole chain; the stages after integration run only if there are new postings.
+
+    ``send`` puts new postings into the record stream (see :func:`posting_messages`), ``receive``
+    opens that stream. :func:`next_marker` gives the last-seen id for the next run.
+    """
+    postings = run_integration(fetched, source, lake.collected, selectors, limit, last_seen)
+    if not when_any(postings, send):
+        return None
+    return run_stages(spark, lake, receive(), selectors)
 
-    def stages(_: DataFrame) -> None:
-        run_storage(read_record_files(spark, records_path), lake.bronze)
-        run_processing(spark, lake, selectors)
 
-    ran = when_any(spark.read.format(lake.file_format).load(records_path), stages)
-    return run_analysis(spark, lake) if ran else None
+def next_marker(spark: SparkSession, lake: Lakehouse) -> DataFrame:
+    """One row with the id of the first posting of the last run."""
+    return high_water_mark(read_table(spark, lake.collected), "id", ["page", "pos"])

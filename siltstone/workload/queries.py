@@ -13,7 +13,7 @@ from siltstone.operators import counts, incremental, ranking, scoring, search
 from siltstone.plans import medallion
 from siltstone.session import scratch_path, spread
 from siltstone.sources.dictionary import dictionary_lines, duplicate_entries, sorted_entries
-from siltstone.sources.records import to_bronze, value_text
+from siltstone.sources.records import read_record_files, to_bronze, value_text
 from siltstone.sources.tables import TableSpec, read_table, table_report, write_table
 from siltstone.streaming import sinks
 
@@ -87,7 +87,7 @@ def page_records(source: DataFrame) -> DataFrame:
     """Pages as a record stream."""
     return source.select(
         F.lit(None).cast("binary").alias("key"),
-        records.encode_payload(records.strip_newlines(F.col("html"))).cast("binary").alias("value"),
+        records.encode_payload(F.col("html")).cast("binary").alias("value"),
         F.lit("pages").alias("topic"),
         (F.col("page_id") % 4).cast("int").alias("partition"),
         F.floor(F.col("page_id") / 4).cast("long").alias("offset"),
@@ -475,10 +475,18 @@ def stream_keyed_upsert(spark, sf_dir):
     return sinks.read_keyed_table(spark, index, "user_id")
 
 
-def _run_lake(spark: SparkSession, sf_dir: str) -> tuple[medallion.Lakehouse, DataFrame | None]:
+def _run_lake(spark: SparkSession, sf_dir: str) -> tuple[medallion.Lakehouse, DataFrame]:
     lake = medallion.Lakehouse(scratch_path(spark, "lake"))
-    write_table(page_records(pages(spark, sf_dir)), lake.records)
-    return lake, medallion.run_stages(spark, lake, lake.records.data_path, PAGE_SELECTORS)
+
+    def send(postings: DataFrame) -> None:
+        numbered = postings.select((F.col("page") * 20 + F.col("pos")).alias("page_id"), F.col("raw").alias("html"))
+        write_table(page_records(numbered), lake.records, "append")
+
+    weights = medallion.run_all(
+        spark, lake, fetched_pages(spark, sf_dir), F.lit(PAGE_SOURCE), send,
+        lambda: read_record_files(spark, lake.records.data_path), PAGE_SELECTORS,
+    )
+    return lake, weights
 
 
 def medallion_flow(spark, sf_dir):

@@ -73,11 +73,11 @@ def test_stages_twice(spark, path):
     arrivals = TableSpec(f"{path}/arrivals")
 
     write_table(records(spark, PAGES[:2]), arrivals, "append")
-    weights = medallion.run_stages(spark, lake, arrivals.data_path)
+    weights = medallion.run_stages(spark, lake, read_record_files(spark, arrivals.data_path))
     assert {tuple(row) for row in weights.collect()} == {("SQL", 2, 1.0), ("C#", 1, 0.5)}
 
     write_table(records(spark, [*PAGES[2:], PAGES[0]], start=2), arrivals, "append")
-    medallion.run_stages(spark, lake, arrivals.data_path)
+    medallion.run_stages(spark, lake, read_record_files(spark, arrivals.data_path))
     gold = read_complete_table(spark, lake.gold_tags)
     assert [(f.name, f.dataType) for f in gold.schema] == [(f.name, f.dataType) for f in GOLD_TAG_SCHEMA]
     assert {tuple(row) for row in gold.collect()} == {("SQL", 3), ("C#", 2)}
@@ -101,10 +101,29 @@ def test_null_payload_is_kept_as_an_empty_row(spark):
     assert tuple(medallion.to_silver(bronze).first()) == (5, "site", None, None, None, None, None, None, None)
 
 
-def test_no_records_no_stages(spark, path):
-    arrivals = TableSpec(f"{path}/arrivals")
-    write_table(records(spark, PAGES).where("offset < 0"), arrivals)
-    assert medallion.run_stages(spark, medallion.Lakehouse(f"{path}/lake"), arrivals.data_path) is None
+def test_chain_runs_only_for_new_postings(spark, path):
+    lake = medallion.Lakehouse(f"{path}/lake")
+
+    def run(pages, last_seen):
+        def send(postings):
+            rows = [row["raw"] for row in postings.orderBy("page", "pos").collect()]
+            sent.extend(rows)
+            write_table(records(spark, rows, start=len(sent)), lake.records, "append")
+
+        weights = medallion.run_all(
+            spark, lake, fetched(spark, pages), F.lit("site"), send,
+            lambda: read_record_files(spark, lake.records.data_path), last_seen=last_seen,
+        )
+        marker = medallion.next_marker(spark, lake).first()["marker"]
+        return weights and {tuple(row)[:2] for row in weights.collect()}, marker
+
+    sent = []
+    weights, marker = run(PAGES[1:], None)
+    assert weights == {("SQL", 1)} and len(sent) == 2
+    weights, again = run(PAGES[1:], marker)
+    assert weights is None and again == marker and len(sent) == 2
+    weights, newest = run(PAGES, marker)
+    assert weights == {("SQL", 2), ("C#", 1)} and len(sent) == 3 and newest != marker
 
 
 def test_record_stream_has_the_record_schema(spark, path):
