@@ -207,7 +207,7 @@ def frequency_table_top(spark, sf_dir):
 
 
 def frequency_map(spark, sf_dir):
-    mapped = counts.frequency_map(tag_frequency(spark, sf_dir), "term", "n", shards=64)
+    mapped = counts.frequency_map(tag_frequency(spark, sf_dir), "term", "n")
     return mapped.select(F.explode("frequency").alias("tag", "n"))
 
 

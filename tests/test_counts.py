@@ -50,7 +50,7 @@ def test_frequency_map(spark):
     expected = {f"t{i}": i for i in range(50)}
     df = spark.createDataFrame(list(expected.items()), "tag string, n bigint")
     assert counts.frequency_map(df, "tag", "n").first()["frequency"] == expected
-    shards = counts.frequency_map(df, "tag", "n", shards=4).collect()
+    shards = counts.frequency_map(df, "tag", "n", entries_per_map=15).collect()
     assert len(shards) == 4
     merged = Counter()
     for row in shards:
