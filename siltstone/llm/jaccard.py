@@ -8,20 +8,29 @@ sizes that can still be similar to them. Two linked sets differ in at most ``k``
 the window fixes. The hashed shingle domain is dealt into ``n1`` parts of ``n2`` cells each, and every
 subset of ``n2 - k2`` cells of a part gives one signature: the hash of the shingles in them. If a set
 has enough filled cells (sum over parts of min(k2 + 1, filled) > k), any linked partner shares one of
-its non-empty signatures, so empty ones are left out. A set with too few (tiny ones) adds its
-first ``size - ceil(0.75 size) + 1`` shingles in hash order, of which linked sets share one as well.
+its non-empty signatures, so empty ones are left out.
+
+Common shingles. Leaving the same shingles out of both sets never makes them differ more, so
+signatures are taken from the sets without common shingles (boilerplate lines), which would otherwise
+tie unlike documents together. Every map block of all documents names the shingles it sees in several
+documents that are mostly different; any choice is right, it only changes the number of candidates. A
+set with too few filled cells (a tiny one, or one that is mostly common) adds its first
+``size - ceil(0.75 size) + 1`` shingles, the common ones last and else in hash order: two linked sets
+that both do so share one of those.
 
 Joining. Map tasks sort blocks of signatures, link the members of a signature with its smallest
 member inside the block, and send only that member on: a hot signature costs one entry per block. One
 group per slice of the signature space links those again. So a signature with n members gives
-n - 1 candidate pairs, a tree. Verified pairs are links; their components are found by rounds of
+n - 1 candidate pairs, a tree. A pair is refuted without its texts if bit sketches of the two sets (the
+parity of the shingles in each of 2048 buckets) already differ in more bits than linked sets may in
+shingles; the others are verified on their whole texts. Verified pairs are links; their components are found by rounds of
 neighbourhood minima. Only where a tree pair failed and its ends are still in different components
 can a link be hidden: the documents around such pairs get their signatures again, and all pairs of
 different components in one signature are verified (signatures with many members are first split by
 those of a second, independent partition). Documents of one component need no further pairs.
 
-Defined cases: a null or empty text, or one without words, has no shingles and links with nothing. A
-row without id takes part like any other. Repeated rows get the same result each. The component is the
+Defined cases: an id names one text (repeated rows aside; of several texts the smallest is verified). A null or empty text,
+or one without words, has no shingles and links with nothing. A row without id takes part like any other. Repeated rows get the same result each. The component is the
 smallest id that is not null among its documents, or null where none has one.
 """
 
@@ -29,6 +38,7 @@ from __future__ import annotations
 
 import itertools
 import math
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -44,11 +54,17 @@ SHINGLE = 5
 #: Two sets link when LEAST_PER_100 * union <= 100 * intersection.
 LEAST_PER_100 = 75
 #: Cells of a part, and cells of a part that may differ.
-CELLS, MISSES = 2, 1
+CELLS, MISSES = 3, 1
+#: A shingle is common if a block has it in so many documents, of whose shingles at most this share is.
+COMMON_IN, COMMON_SHARE = 3, 0.3
+#: Common shingles kept, the most frequent first: 8 MB for every task.
+COMMON_MOST = 1_000_000
 #: Signatures of a map block, and of a group of the signature space.
 BLOCK, GROUP = 2_000_000, 1_000_000
+#: Bits of a sketch.
+SKETCH_BITS = 2048
 #: Members of different components from which on a signature is split by the second partition.
-SPLIT_FROM = 32
+SPLIT_FROM = 256
 
 
 def windows() -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -59,20 +75,39 @@ def windows() -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     home = [b - 1 for b in first[1:]]
     largest = [100 * s // LEAST_PER_100 for s in home]
     bound = [(100 - LEAST_PER_100) * (s + t) // (100 + LEAST_PER_100) for s, t in zip(home, largest)]
-    parts = [math.ceil((1.35 * (k + 1) + 3) / CELLS) if k else 1 for k in bound]
+    parts = [math.ceil(1.22 * (k + 1) / (MISSES + 1)) + 2 if k else 1 for k in bound]
     return tuple(np.array(x, np.int64) for x in (first[:-1], largest, bound, parts))
 
 
 FIRST, LARGEST, BOUND, PARTS = windows()
 
 
-def signatures(hashes: np.ndarray, rows: np.ndarray, n_rows: int, seed: int = 1) -> tuple[np.ndarray, np.ndarray]:
-    """Signatures of sets in order of (row, hash), and their rows."""
+def signatures(hashes: np.ndarray, rows: np.ndarray, n_rows: int, common: np.ndarray, seed: int = 1):
+    """Signatures of sets in order of (row, hash), and their rows. ``common``: sorted hashes."""
     size = np.bincount(rows, minlength=n_rows)
-    begin = np.concatenate([[0], np.cumsum(size)])
+    rare = np.ones(len(hashes), bool)
+    if len(common):
+        rare = common[np.minimum(np.searchsorted(common, hashes), len(common) - 1)] != hashes
+    sig, at, weak = _cell_signatures(hashes[rare], rows[rare], size, seed)
+    if len(weak):
+        own = np.flatnonzero(np.isin(rows, weak))
+        own = own[np.lexsort((~rare[own], rows[own]))]
+        row = rows[own]
+        place = np.arange(len(own)) - np.searchsorted(row, row)
+        prefix = own[place <= size[row] - -(-LEAST_PER_100 * size[row] // 100)]
+        sig.append(mix(hashes[prefix] + U64(77 + seed)))
+        at.append(rows[prefix])
+    if not sig:
+        return np.zeros(0, U64), np.zeros(0, np.int64)
+    return np.concatenate(sig), np.concatenate(at)
+
+
+def _cell_signatures(hashes: np.ndarray, rows: np.ndarray, size: np.ndarray, seed: int):
+    """Signatures and rows of sets whose whole sizes are ``size``, and the rows with too few filled cells."""
+    n_rows = len(size)
     home = np.searchsorted(FIRST, size, "right") - 1
     place, value = mix(hashes + U64(seed * 0x51ED270B + 1)), mix(hashes ^ U64(0xA5A5A5A55A5A5A5A))
-    out, out_rows = [], []
+    out, out_rows, weak = [], [], np.zeros(n_rows, bool)
     for back in (0, 1):
         window = home - back
         use = (size > 0) & (window >= 0)
@@ -96,13 +131,8 @@ def signatures(hashes: np.ndarray, rows: np.ndarray, n_rows: int, seed: int = 1)
             out.append(mix(sums[there][:, chosen].sum(axis=1, dtype=U64) + mix(tag[there] + name)))
             out_rows.append(part_row[there])
         sure = np.bincount(part_row, np.minimum(filled.sum(axis=1), MISSES + 1), n_rows)
-        for row in np.flatnonzero(use & (sure <= BOUND[window])):
-            prefix = size[row] - -(-LEAST_PER_100 * size[row] // 100) + 1
-            out.append(mix(hashes[begin[row]:begin[row] + prefix] + U64(77)))
-            out_rows.append(np.full(prefix, row))
-    if not out:
-        return np.zeros(0, U64), np.zeros(0, np.int64)
-    return np.concatenate(out), np.concatenate(out_rows)
+        weak |= use & (sure <= BOUND[window])
+    return out, out_rows, np.flatnonzero(weak)
 
 
 def set_classes(hashes: np.ndarray, rows: np.ndarray, size: np.ndarray) -> np.ndarray:
@@ -129,10 +159,73 @@ def _sets(batches: Iterator[pa.RecordBatch]):
             yield ids, nodes(ids, classes), classes, size, hashes, rows
 
 
+DESCRIBED = pa.schema([("doc_id", pa.int64()), ("node", pa.int64()), ("class", pa.int64()), ("n_shingles", pa.int64()), ("sketch", pa.binary()), ("gram", pa.int64()), ("seen", pa.int64())])
+
+
+def _common(sets: list) -> tuple[np.ndarray, np.ndarray]:
+    """Common shingles of a block and in how many of its mostly different documents they are."""
+    one = {c: (i, j) for i, (classes, _, _) in enumerate(sets) for j, c in enumerate(classes.tolist())}
+    hashes, rows, n = [], [], 0
+    for i, (classes, h, r) in enumerate(sets):
+        first = np.array([one[c] == (i, j) for j, c in enumerate(classes.tolist())], bool)
+        hashes.append(h[first[r]])
+        rows.append(r[first[r]] + n)
+        n += len(classes)
+    hashes, rows = np.concatenate(hashes), np.concatenate(rows)
+    for _ in range(2):
+        order = np.argsort(hashes)
+        h, r = hashes[order], rows[order]
+        run = np.cumsum(_runs(h)) - 1
+        seen = np.bincount(run) if len(run) else np.zeros(0, np.int64)
+        often = seen[run] >= COMMON_IN
+        share = np.bincount(r[often], minlength=n) / np.maximum(np.bincount(r, minlength=n), 1)
+        hashes, rows = h[share[r] <= COMMON_SHARE], r[share[r] <= COMMON_SHARE]
+    head = _runs(h) & often
+    return h[head], seen[run[head]]
+
+
 def _describe(batches):
-    schema = pa.schema([("doc_id", pa.int64()), ("node", pa.int64()), ("class", pa.int64()), ("n_shingles", pa.int64())])
-    for ids, node, classes, size, _, _ in _sets(batches):
-        yield batch(schema, ids, node, signed(classes), size)
+    sets, n = [], 0
+    for ids, node, classes, size, hashes, rows in _sets(batches):
+        lost = np.full(len(size), None)
+        yield batch(DESCRIBED, ids, node, signed(classes), size, _sketches(hashes, rows, len(size)), lost, lost)
+        sets.append((classes, hashes, rows))
+        n += len(hashes)
+        if n >= BLOCK:
+            yield _gram_rows(*_common(sets))
+            sets, n = [], 0
+    if n:
+        yield _gram_rows(*_common(sets))
+
+
+def _gram_rows(grams: np.ndarray, seen: np.ndarray) -> pa.RecordBatch:
+    lost = np.full(len(grams), None)
+    return batch(DESCRIBED, lost, lost, lost, lost, lost, signed(grams), seen)
+
+
+def _sketches(hashes: np.ndarray, rows: np.ndarray, n_rows: int) -> list[bytes]:
+    bucket = rows * SKETCH_BITS + (mix(hashes + U64(7)) % U64(SKETCH_BITS)).astype(np.int64)
+    odd = (np.bincount(bucket, minlength=n_rows * SKETCH_BITS) & 1).astype(np.uint8)
+    packed = np.packbits(odd).reshape(n_rows, -1)
+    return [x.tobytes() for x in packed]
+
+
+def _refute(batches):
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+    for b in batches:
+        n = [b.column(c).to_numpy() for c in (2, 4)]
+        bits = [np.frombuffer(b"".join(b.column(c).to_pylist()), U64).reshape(b.num_rows, -1) for c in (3, 5)]
+        apart = np.bitwise_count(bits[0] ^ bits[1]).sum(axis=1, dtype=np.int64)
+        able = 100 * np.minimum(*n) >= LEAST_PER_100 * np.maximum(*n)
+        able &= (100 + LEAST_PER_100) * apart <= (100 - LEAST_PER_100) * (n[0] + n[1])
+        yield batch(schema, b.column(0).to_numpy()[able], b.column(1).to_numpy()[able])
+
+
+def possible(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
+    """The (a, b) pairs that their sizes and sketches don't refute. ``sketches``: node, n_shingles, sketch."""
+    side = lambda x: sketches.select(F.col("node").alias(x), F.col("n_shingles").alias(f"n_{x}"), F.col("sketch").alias(f"sketch_{x}"))
+    both = pairs.join(side("a"), "a").join(side("b"), "b")
+    return both.select("a", "b", "n_a", "sketch_a", "n_b", "sketch_b").mapInArrow(_refute, "a long, b long")
 
 
 def _runs(keys: np.ndarray) -> np.ndarray:
@@ -165,7 +258,7 @@ def _unpack(data: bytes, width: int) -> np.ndarray:
     return out.view("<u8").ravel()
 
 
-def _blocks(groups: int):
+def _blocks(groups: int, common):
     """Map side: sorted blocks of signatures by slice of the signature space, and the pairs found in a block.
 
     A signature keeps 40 bits inside its slice. Two that fall together only add a candidate.
@@ -196,7 +289,7 @@ def _blocks(groups: int):
     def run(batches):
         sigs, node, n = [], [], 0
         for _, ids, _, size, hashes, rows in _sets(batches):
-            s, r = signatures(hashes, rows, len(size))
+            s, r = signatures(hashes, rows, len(size), common.value)
             sigs.append(s)
             node.append(ids[r])
             n += len(s)
@@ -226,9 +319,9 @@ def _meet(table: pa.Table) -> pa.Table:
     return pa.table({"a": a[order][new], "b": b[order][new]})
 
 
-def candidate_pairs(texts: DataFrame, groups: int) -> DataFrame:
+def candidate_pairs(texts: DataFrame, groups: int, common) -> DataFrame:
     """Distinct (a, b) nodes that a signature's tree joins. ``texts``: id, text."""
-    sent = texts.mapInArrow(_blocks(groups), "slice int, base long, width int, sig binary, node binary, a binary, b binary")
+    sent = texts.mapInArrow(_blocks(groups, common), "slice int, base long, width int, sig binary, node binary, a binary, b binary")
     return sent.groupBy("slice").applyInArrow(_meet, "a long, b long").distinct()
 
 
@@ -297,9 +390,9 @@ def _texts_of(documents: DataFrame, described: DataFrame, wanted: DataFrame) ->
     count = wanted.count()
     if described.filter("doc_id is null and n_shingles > 0").isEmpty():
         found = documents.join(checked_broadcast(wanted.withColumnRenamed("node", "doc_id"), count), "doc_id", "left_semi")
-        return found.select(F.col("doc_id").alias("node"), "text").dropDuplicates(["node"])
+        return found.select(F.col("doc_id").alias("node"), "text").groupBy("node").agg(F.min("text").alias("text"))
     tagged = documents.mapInArrow(_tag, "node long, text string")
-    return tagged.join(checked_broadcast(wanted, count), "node", "left_semi").dropDuplicates(["node"])
+    return tagged.join(checked_broadcast(wanted, count), "node", "left_semi").groupBy("node").agg(F.min("text").alias("text"))
 
 
 def _tag(batches):
@@ -313,8 +406,57 @@ def _tag(batches):
             yield batch(schema, nodes(b.column(0).slice(start, stop - start).cast(pa.int64()), classes), b.column(1).slice(start, stop - start))
 
 
-def _plain_signatures(seed: int):
-    schema = pa.schema([("sig", pa.int64()), ("node", pa.int64())])
+def _labelled_blocks(groups: int, common):
+    """Map side: blocks of (signature, node, component) by slice of the signature space."""
+    schema = pa.schema([("slice", pa.int32()), ("sig", pa.binary()), ("node", pa.binary()), ("component", pa.binary())])
+
+    def block(parts):
+        sig, node, component = (np.concatenate(x) for x in zip(*parts))
+        where = ((sig >> U64(40)) % U64(groups)).astype(np.int64)
+        order = np.argsort(where, kind="stable")
+        cuts = np.searchsorted(where[order], np.arange(groups + 1))
+        rows = [(g, order[cuts[g]:cuts[g + 1]]) for g in range(groups) if cuts[g] < cuts[g + 1]]
+        return batch(schema, [g for g, _ in rows], [_pack(sig[o], 5) for _, o in rows], [zlib.compress(node[o].tobytes(), 1) for _, o in rows], [zlib.compress(component[o].tobytes(), 1) for _, o in rows])
+
+    def run(batches):
+        parts, n = [], 0
+        for b in batches:
+            data, offsets = flat(b.column(1))
+            for start, stop in slices(offsets):
+                part = offsets[start:stop + 1]
+                hashes, rows = shingle_sets(data[part[0]:part[-1]], part - part[0], SHINGLE)
+                sig, r = signatures(hashes, rows, stop - start, common.value)
+                parts.append((sig, *(b.column(c).slice(start, stop - start).to_numpy()[r] for c in (0, 2))))
+                n += len(sig)
+                if n >= BLOCK:
+                    yield block(parts)
+                    parts, n = [], 0
+        if n:
+            yield block(parts)
+
+    return run
+
+
+def _torn_members(table: pa.Table) -> pa.Table:
+    """Members of the signatures of one slice that have several components; two alone were a tree's pair."""
+    column = lambda name, back: np.concatenate([back(x.as_py()) for x in table.column(name)])
+    whole = lambda x: np.frombuffer(zlib.decompress(x), np.int64)
+    sig, node, component = column("sig", lambda x: _unpack(x, 5)), column("node", whole), column("component", whole)
+    order = np.lexsort((node, component, sig))
+    sig, node, component = sig[order], node[order], component[order]
+    head = _runs(sig)
+    run = np.cumsum(head) - 1
+    first = np.flatnonzero(head)
+    last = np.append(first[1:], len(sig)) - 1
+    n = np.bincount(run)[run]
+    keep = (component[first] != component[last])[run] & (n > 2)
+    slice_no = table.column("slice")[0].as_py()
+    key = mix(sig + (U64(slice_no) << U64(40)))
+    return pa.table({"sig": signed(key[keep]), "n": n[keep], "node": node[keep], "component": component[keep]})
+
+
+def _second_signatures(common):
+    schema = pa.schema([("second", pa.int64()), ("node", pa.int64())])
 
     def run(batches):
         for b in batches:
@@ -322,35 +464,36 @@ def _plain_signatures(seed: int):
             for start, stop in slices(offsets):
                 part = offsets[start:stop + 1]
                 hashes, rows = shingle_sets(data[part[0]:part[-1]], part - part[0], SHINGLE)
-                sigs, r = signatures(hashes, rows, stop - start, seed)
+                sigs, r = signatures(hashes, rows, stop - start, common.value, 2)
                 yield batch(schema, signed(sigs), b.column(0).slice(start, stop - start).to_numpy()[r])
 
     return run
 
 
-def hidden_pairs(texts: DataFrame, labels: DataFrame) -> DataFrame:
+def hidden_pairs(texts: DataFrame, labels: DataFrame, common, groups: int) -> DataFrame:
     """All pairs of different components in one signature. ``texts``: node, text; ``labels``: node, component."""
-    own = F.coalesce("component", "node").alias("component")
-    member = written(texts.mapInArrow(_plain_signatures(1), "sig long, node long").distinct().join(labels, "node", "left").select("sig", "node", own), "members")
-    group = member.groupBy("sig").agg(F.count("*").alias("n"), F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high")
-    member = written(member.join(group.select("sig", "n"), "sig"), "members")
+    labelled = texts.join(labels, "node", "left").select("node", "text", F.coalesce("component", "node").alias("component"))
+    sent = labelled.mapInArrow(_labelled_blocks(groups, common), "slice int, sig binary, node binary, component binary")
+    member = written(sent.groupBy("slice").applyInArrow(_torn_members, "sig long, n long, node long, component long"), "members")
     few, many = member.filter(F.col("n") <= SPLIT_FROM), member.filter(F.col("n") > SPLIT_FROM)
     few = few.select("sig", F.lit(0).cast("long").alias("second"), "node", "component")
-    second = texts.join(many.select("node").distinct(), "node", "left_semi").mapInArrow(_plain_signatures(2), "second long, node long")
-    many = many.join(second.distinct(), "node").select("sig", "second", "node", "component")
-    many = many.join(many.groupBy("sig", "second").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high").select("sig", "second"), ["sig", "second"], "left_semi")
+    second = texts.join(many.select("node").distinct(), "node", "left_semi").mapInArrow(_second_signatures(common), "second long, node long")
+    many = many.join(second, "node").select("sig", "second", "node", "component")
+    torn = many.groupBy("sig", "second").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high")
+    many = many.join(torn.select("sig", "second"), ["sig", "second"], "left_semi")
     side = few.union(many)
     other = side.select("sig", "second", F.col("node").alias("b"), F.col("component").alias("other"))
     return side.withColumnRenamed("node", "a").join(other, ["sig", "second"]).filter("a < b and component <> other").select("a", "b").distinct()
 
 
 def near_duplicates(documents: DataFrame) -> DataFrame:
-    """Per row of ``documents`` (doc_id, text): doc_id, n_shingles, n_links, component_id.
-
-    ``n_links`` counts the verified links that the row's distinct set took part in.
-    """
+    """Per row of ``documents`` (doc_id, text): doc_id, n_shingles, component_id."""
     documents = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    described = written(documents.mapInArrow(_describe, "doc_id long, node long, class long, n_shingles long"), "described")
+    described = written(documents.mapInArrow(_describe, "doc_id long, node long, class long, n_shingles long, sketch binary, gram long, seen long"), "described")
+    grams = described.filter("gram is not null").groupBy("gram").agg(F.sum("seen").alias("seen"))
+    grams = grams.orderBy(F.desc("seen"), "gram").limit(COMMON_MOST).select("gram").toPandas()["gram"].to_numpy(np.int64)
+    common = documents.sparkSession.sparkContext.broadcast(np.sort(grams.view(U64)))
+    described = described.filter("gram is null").drop("gram", "seen")
     filled = described.filter("n_shingles > 0")
     classes = written(filled.groupBy("class", "n_shingles").agg(F.min("node").alias("head")), "classes")
     heads = filled.join(classes, ["class", "n_shingles"]).filter("node <> head").select("node", "head").distinct()
@@ -364,18 +507,24 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
             out = out.join(head, side, "left").withColumn(side, F.coalesce("h", side)).drop("h")
         return out.filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
-    pairs = written(by_head(candidate_pairs(documents, max(64, math.ceil(0.75 * total / GROUP)))), "pairs")
+    groups = max(64, math.ceil(0.75 * total / GROUP))
+    pairs = written(by_head(candidate_pairs(documents, groups, common)), "pairs")
+    sketches = filled.join(heads.select("node").distinct(), "node", "left_anti").groupBy("node").agg(F.min(F.struct("n_shingles", "sketch")).alias("s")).select("node", "s.*")
     ends = lambda p: p.select(F.col("a").alias("node")).union(p.select(F.col("b").alias("node"))).distinct()
-    texts = written(_texts_of(documents, described, ends(pairs)), "texts")
-    checked = written(verified(pairs, texts), "checked")
-    links = checked.filter("linked").select("a", "b")
+
+    def links_of(pairs: DataFrame) -> DataFrame:
+        able = written(possible(pairs, sketches), "possible")
+        texts = written(_texts_of(documents, described, ends(able)), "texts")
+        return written(verified(able, texts).filter("linked").select("a", "b"), "links")
+
+    links = links_of(pairs)
     labels = components(links)
 
     def label(df: DataFrame, side: str) -> DataFrame:
         mine = labels.select(F.col("node").alias(side), F.col("component").alias(f"{side}_component"))
         return df.join(mine, side, "left").withColumn(f"{side}_component", F.coalesce(f"{side}_component", side))
 
-    torn = label(label(checked.filter("not linked"), "a"), "b").filter("a_component <> b_component").select("a", "b")
+    torn = label(label(pairs.join(links, ["a", "b"], "left_anti"), "a"), "b").filter("a_component <> b_component").select("a", "b")
     torn = written(torn, "torn")
     if not torn.isEmpty():
         # A signature's tree has depth two, so all its members are within three pairs of a torn one.
@@ -383,17 +532,16 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
         for _ in range(3):
             touching = [pairs.join(around.withColumnRenamed("node", x), x, "left_semi").select("a", "b") for x in ("a", "b")]
             around = written(ends(touching[0].union(touching[1])), "around")
-        near = texts.join(checked_broadcast(around), "node", "left_semi")
-        more = hidden_pairs(near, labels).join(checked.select("a", "b"), ["a", "b"], "left_anti")
-        more = written(verified(more, near), "checked").filter("linked").select("a", "b")
+        near = _texts_of(documents, described, around)
+        more = hidden_pairs(near, labels, common, groups).join(pairs, ["a", "b"], "left_anti")
+        more = links_of(more)
         if not more.isEmpty():
             links = links.union(more)
             labels = components(links)
-    degree = links.select(F.col("a").alias("node")).union(links.select(F.col("b").alias("node"))).groupBy("node").agg(F.count("*").alias("n_links"))
-    named = classes.withColumnRenamed("head", "node").join(labels, "node", "left").join(degree, "node", "left")
-    named = named.select("class", "n_shingles", F.coalesce("component", "node").alias("component"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
+    named = classes.withColumnRenamed("head", "node").join(labels, "node", "left")
+    named = named.select("class", "n_shingles", F.coalesce("component", "node").alias("component"))
     rows = filled.join(named, ["class", "n_shingles"])
     least = rows.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    linked = rows.join(least, "component").select("doc_id", "n_shingles", "n_links", "component_id")
-    alone = described.filter("n_shingles = 0").select("doc_id", "n_shingles", F.lit(0).cast("long").alias("n_links"), F.col("doc_id").alias("component_id"))
+    linked = rows.join(least, "component").select("doc_id", "n_shingles", "component_id")
+    alone = described.filter("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
     return linked.union(alone)
