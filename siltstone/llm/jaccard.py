@@ -47,7 +47,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from siltstone.llm.shared import (
-    U64, batch, checked_broadcast, flat, group_sums, mix, shingle_sets, signed, slices, written,
+    U64, batch, checked_broadcast, flat, group_sums, mix, pack, runs, shingle_sets, signed, slices, unpack, written,
 )
 
 SHINGLE = 5
@@ -175,12 +175,12 @@ def _common(sets: list) -> tuple[np.ndarray, np.ndarray]:
     for _ in range(2):
         order = np.argsort(hashes)
         h, r = hashes[order], rows[order]
-        run = np.cumsum(_runs(h)) - 1
+        run = np.cumsum(runs(h)) - 1
         seen = np.bincount(run) if len(run) else np.zeros(0, np.int64)
         often = seen[run] >= COMMON_IN
         share = np.bincount(r[often], minlength=n) / np.maximum(np.bincount(r, minlength=n), 1)
         hashes, rows = h[share[r] <= COMMON_SHARE], r[share[r] <= COMMON_SHARE]
-    head = _runs(h) & often
+    head = runs(h) & often
     return h[head], seen[run[head]]
 
 
@@ -228,36 +228,20 @@ def possible(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
     return both.select("a", "b", "n_a", "sketch_a", "n_b", "sketch_b").mapInArrow(_refute, "a long, b long")
 
 
-def _runs(keys: np.ndarray) -> np.ndarray:
-    new = np.ones(len(keys), bool)
-    new[1:] = keys[1:] != keys[:-1]
-    return new
-
-
 def _tree(sig: np.ndarray, node: np.ndarray):
     """One (signature, smallest node) each, and distinct (smallest node, other node) pairs."""
     order = np.lexsort((node, sig))
     sig, node = sig[order], node[order]
-    head = _runs(sig)
+    head = runs(sig)
     least = node[np.flatnonzero(head)][np.cumsum(head) - 1] if len(sig) else node
     other = node != least
     a, b = least[other], node[other]
     order = np.lexsort((b, a))
     a, b = a[order], b[order]
-    new = _runs(a) | _runs(b)
+    new = runs(a) | runs(b)
     return sig[head], node[head], a[new], b[new]
 
 
-def _pack(x: np.ndarray, width: int) -> bytes:
-    return np.ascontiguousarray(x, "<u8").view(np.uint8).reshape(-1, 8)[:, :width].tobytes()
-
-
-def _unpack(data: bytes, width: int) -> np.ndarray:
-    out = np.zeros((len(data) // width, 8), np.uint8)
-    out[:, :width] = np.frombuffer(data, np.uint8).reshape(-1, width)
-    return out.view("<u8").ravel()
-
-
 def _blocks(groups: int, common):
     """Map side: sorted blocks of signatures by slice of the signature space, and the pairs found in a block.
 
@@ -281,7 +265,7 @@ def _blocks(groups: int, common):
         for g in range(groups):
             o, p = order[cuts[g]:cuts[g + 1]], pair_order[pair_cuts[g]:pair_cuts[g + 1]]
             if len(o) or len(p):
-                row = (g, base, width, _pack(sig[o], 5), _pack(delta(node[o]), width), _pack(delta(a[p]), width), _pack(delta(b[p]), width))
+                row = (g, base, width, pack(sig[o], 5), pack(delta(node[o]), width), pack(delta(a[p]), width), pack(delta(b[p]), width))
                 for c, v in zip(columns, row):
                     c.append(v)
         return batch(schema, *columns)
@@ -307,15 +291,15 @@ def _meet(table: pa.Table) -> pa.Table:
     sig, node, a, b = [], [], [], []
     for r in table.to_pylist():
         base = U64(r["base"] % (1 << 64))
-        back = lambda name: signed(_unpack(r[name], r["width"]) + base)  # noqa: B023, E731
-        sig.append(_unpack(r["sig"], 5))
+        back = lambda name: signed(unpack(r[name], r["width"]) + base)  # noqa: B023, E731
+        sig.append(unpack(r["sig"], 5))
         node.append(back("node"))
         a.append(back("a"))
         b.append(back("b"))
     _, _, x, y = _tree(np.concatenate(sig), np.concatenate(node))
     a, b = np.concatenate([x, *a]), np.concatenate([y, *b])
     order = np.lexsort((b, a))
-    new = _runs(a[order]) | _runs(b[order])
+    new = runs(a[order]) | runs(b[order])
     return pa.table({"a": a[order][new], "b": b[order][new]})
 
 
@@ -416,7 +400,7 @@ def _labelled_blocks(groups: int, common):
         order = np.argsort(where, kind="stable")
         cuts = np.searchsorted(where[order], np.arange(groups + 1))
         rows = [(g, order[cuts[g]:cuts[g + 1]]) for g in range(groups) if cuts[g] < cuts[g + 1]]
-        return batch(schema, [g for g, _ in rows], [_pack(sig[o], 5) for _, o in rows], [zlib.compress(node[o].tobytes(), 1) for _, o in rows], [zlib.compress(component[o].tobytes(), 1) for _, o in rows])
+        return batch(schema, [g for g, _ in rows], [pack(sig[o], 5) for _, o in rows], [zlib.compress(node[o].tobytes(), 1) for _, o in rows], [zlib.compress(component[o].tobytes(), 1) for _, o in rows])
 
     def run(batches):
         parts, n = [], 0
@@ -441,10 +425,10 @@ def _torn_members(table: pa.Table) -> pa.Table:
     """Members of the signatures of one slice that have several components; two alone were a tree's pair."""
     column = lambda name, back: np.concatenate([back(x.as_py()) for x in table.column(name)])
     whole = lambda x: np.frombuffer(zlib.decompress(x), np.int64)
-    sig, node, component = column("sig", lambda x: _unpack(x, 5)), column("node", whole), column("component", whole)
+    sig, node, component = column("sig", lambda x: unpack(x, 5)), column("node", whole), column("component", whole)
     order = np.lexsort((node, component, sig))
     sig, node, component = sig[order], node[order], component[order]
-    head = _runs(sig)
+    head = runs(sig)
     run = np.cumsum(head) - 1
     first = np.flatnonzero(head)
     last = np.append(first[1:], len(sig)) - 1

@@ -194,3 +194,43 @@ def signed(x: np.ndarray) -> np.ndarray:
 
 def batch(schema: pa.Schema, *columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
+
+
+def number_bytes(top: int) -> int:
+    return max(1, (int(top).bit_length() + 7) // 8)
+
+
+def pack(x: np.ndarray, width: int) -> bytes:
+    """The lowest bytes of non-negative numbers."""
+    return np.ascontiguousarray(x, "<u8").view(np.uint8).reshape(-1, 8)[:, :width].tobytes()
+
+
+def unpack(data: bytes, width: int) -> np.ndarray:
+    out = np.zeros((len(data) // width, 8), np.uint8)
+    out[:, :width] = np.frombuffer(data, np.uint8).reshape(-1, width)
+    return out.view("<u8").ravel()
+
+
+def runs(*keys: np.ndarray) -> np.ndarray:
+    """True where a run of equal keys begins."""
+    new = np.ones(len(keys[0]), bool)
+    if len(new) > 1:
+        new[1:] = False
+        for key in keys:
+            new[1:] |= key[1:] != key[:-1]
+    return new
+
+
+def row_order(ids: pa.Array) -> np.ndarray:
+    """Numbers that order rows by id, rows without one last."""
+    last = np.iinfo(np.int64).max
+    return ids.cast(pa.int64()).fill_null(last).to_numpy()
+
+
+def text_digests(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """A 63-bit digest of each row's bytes."""
+    up, down = powers(len(data) + 1)
+    total = np.zeros(len(data) + 1, U64)
+    np.cumsum(BYTE_CODE[data] * up[:len(data)], out=total[1:])
+    size = np.diff(offsets)
+    return mix((total[offsets[1:]] - total[offsets[:-1]]) * down[offsets[:-1]] + size.astype(U64)) >> U64(1)
