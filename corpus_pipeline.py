@@ -1,16 +1,68 @@
-"""Stages of the training-data pipeline."""
+"""Stages of the training-data pipeline: each applies one operator to all that the stage before kept.
+
+All but the last return the columns of ``documents``. Nulls, repeated rows and empty tables are as the
+operators define them.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from siltstone.llm.jaccard import near_duplicates
+from siltstone.llm.packing import packed
+from siltstone.llm.secrets import redacted
+from siltstone.llm.shared import checked_broadcast, written
+from siltstone.llm.tiling import decontaminated
+from siltstone.llm.toxicity import without_toxic
+
+
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that are predicted toxic go."""
+    return without_toxic(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near duplicates the document with the smallest id stays, once."""
+    # Ids to drop: few numbers, sent to all tasks only if they were counted to be few.
+    out = near_duplicates(docs).filter("doc_id <> component_id or (doc_id is null and component_id is not null)")
+    out = written(out.select(F.col("doc_id").alias("gone_id")).distinct(), "gone")
+    count = out.count()
+    kept = docs.join(checked_broadcast(out, count), F.col("doc_id").cast("long").eqNullSafe(F.col("gone_id")), "left_anti") if count else docs
+    return kept
+
+
+def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents into which an item of the benchmark leaked go."""
+    return decontaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Secrets are masked in the texts; no document goes."""
+    masked = redacted(docs)
+    return masked.withColumn("n_chars", F.char_length("text").cast("long")) if "n_chars" in docs.columns else masked
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents in sequences, with their ids."""
+    return packed(docs)
+
+
+STAGES = [
+    ("toxicity", toxicity),
+    ("ngram_jaccard_join", ngram_jaccard_join),
+    ("benchmark_decontamination", benchmark_decontamination),
+    ("secret_scans", secret_scans),
+    ("packing", packing),
+]
 
-STAGES: list = []
+#: The learned and tokenised stages can't be told in SQL; tests hold them against plain versions.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Apply the stages to ``documents``."""
+    """Apply the stages to ``documents``; every result but the last is written as Parquet and read again."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    for name, stage in STAGES[:-1]:
+        docs = written(stage(spark, docs, sf_dir), f"stage-{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from siltstone.llm.jaccard import near_duplicates
+from siltstone.llm.licenses import license_scan
+from siltstone.llm.line_rules import line_rules
 from siltstone.llm.packing import packed
+from siltstone.llm.secrets import secret_scan
 from siltstone.llm.sentences import without_repeated_spans
 from siltstone.llm.style_tree import main_texts
 from siltstone.llm.suffixes import without_repeated_bytes
@@ -17,6 +20,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_diagonal_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan(_table(spark, sf_dir, "documents"))
+
+
 def op2_site_style_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return main_texts(_table(spark, sf_dir, "pages"))
 
@@ -34,6 +41,14 @@ def op5_hierarchical_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed(_table(spark, sf_dir, "documents"), with_ids=False)
 
 
+def op6_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_rules(_table(spark, sf_dir, "documents"))
+
+
+def op7_markov_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan(_table(spark, sf_dir, "documents"))
+
+
 def op8_toxicity_automata(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
