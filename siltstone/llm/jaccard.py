@@ -26,8 +26,8 @@ parity of the shingles in each of 2048 buckets) already differ in more bits than
 shingles; the others are verified on their whole texts. Verified pairs are links; their components are found by rounds of
 neighbourhood minima. Only where a tree pair failed and its ends are still in different components
 can a link be hidden: the documents around such pairs get their signatures again, and all pairs of
-different components in one signature are verified (signatures with many members are first split by
-those of a second, independent partition). Documents of one component need no further pairs.
+different components in one signature are compared by sketches in tiles of bounded size, and verified.
+Documents of one component need no further pairs.
 
 Defined cases: an id names one text (repeated rows aside; of several texts the smallest is verified). A null or empty text,
 or one without words, has no shingles and links with nothing. A row without id takes part like any other. Repeated rows get the same result each. The component is the
@@ -60,11 +60,13 @@ COMMON_IN, COMMON_SHARE = 3, 0.3
 #: Common shingles kept, the most frequent first: 8 MB for every task.
 COMMON_MOST = 1_000_000
 #: Signatures of a map block, and of a group of the signature space.
-BLOCK, GROUP = 2_000_000, 1_000_000
+BLOCK, GROUP = 2_000_000, 500_000
+#: Bytes of a signature inside its slice. Two that fall together only add a candidate.
+SIG_BYTES = 4
 #: Bits of a sketch.
 SKETCH_BITS = 2048
-#: Members of different components from which on a signature is split by the second partition.
-SPLIT_FROM = 256
+#: Documents of a tile in which pairs of different components are compared.
+TILE = 2048
 
 
 def windows() -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -75,7 +77,7 @@ def windows() -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     home = [b - 1 for b in first[1:]]
     largest = [100 * s // LEAST_PER_100 for s in home]
     bound = [(100 - LEAST_PER_100) * (s + t) // (100 + LEAST_PER_100) for s, t in zip(home, largest)]
-    parts = [math.ceil(1.22 * (k + 1) / (MISSES + 1)) + 2 if k else 1 for k in bound]
+    parts = [math.ceil(1.16 * (k + 1) / (MISSES + 1)) + 2 if k else 1 for k in bound]
     return tuple(np.array(x, np.int64) for x in (first[:-1], largest, bound, parts))
 
 
@@ -243,10 +245,7 @@ def _tree(sig: np.ndarray, node: np.ndarray):
 
 
 def _blocks(groups: int, common):
-    """Map side: sorted blocks of signatures by slice of the signature space, and the pairs found in a block.
-
-    A signature keeps 40 bits inside its slice. Two that fall together only add a candidate.
-    """
+    """Map side: sorted blocks of signatures by slice of the signature space, and the pairs found in a block."""
     schema = pa.schema([("slice", pa.int32()), ("base", pa.int64()), ("width", pa.int32()), ("sig", pa.binary()), ("node", pa.binary()), ("a", pa.binary()), ("b", pa.binary())])
 
     def block(sigs, node):
@@ -255,7 +254,7 @@ def _blocks(groups: int, common):
         top = int(max(node.max(), b.max() if len(b) else node.max()))
         width = max(1, ((top - base).bit_length() + 7) // 8)
         delta = lambda x: (x.astype(U64) - U64(base % (1 << 64)))
-        where = ((sig >> U64(40)) % U64(groups)).astype(np.int64)
+        where = ((sig >> U64(8 * SIG_BYTES)) % U64(groups)).astype(np.int64)
         order = np.argsort(where, kind="stable")
         cuts = np.searchsorted(where[order], np.arange(groups + 1))
         pair_where = a % groups
@@ -265,7 +264,7 @@ def _blocks(groups: int, common):
         for g in range(groups):
             o, p = order[cuts[g]:cuts[g + 1]], pair_order[pair_cuts[g]:pair_cuts[g + 1]]
             if len(o) or len(p):
-                row = (g, base, width, pack(sig[o], 5), pack(delta(node[o]), width), pack(delta(a[p]), width), pack(delta(b[p]), width))
+                row = (g, base, width, pack(sig[o], SIG_BYTES), pack(delta(node[o]), width), pack(delta(a[p]), width), pack(delta(b[p]), width))
                 for c, v in zip(columns, row):
                     c.append(v)
         return batch(schema, *columns)
@@ -292,7 +291,7 @@ def _meet(table: pa.Table) -> pa.Table:
     for r in table.to_pylist():
         base = U64(r["base"] % (1 << 64))
         back = lambda name: signed(unpack(r[name], r["width"]) + base)  # noqa: B023, E731
-        sig.append(unpack(r["sig"], 5))
+        sig.append(unpack(r["sig"], SIG_BYTES))
         node.append(back("node"))
         a.append(back("a"))
         b.append(back("b"))
@@ -396,11 +395,11 @@ def _labelled_blocks(groups: int, common):
 
     def block(parts):
         sig, node, component = (np.concatenate(x) for x in zip(*parts))
-        where = ((sig >> U64(40)) % U64(groups)).astype(np.int64)
+        where = ((sig >> U64(8 * SIG_BYTES)) % U64(groups)).astype(np.int64)
         order = np.argsort(where, kind="stable")
         cuts = np.searchsorted(where[order], np.arange(groups + 1))
         rows = [(g, order[cuts[g]:cuts[g + 1]]) for g in range(groups) if cuts[g] < cuts[g + 1]]
-        return batch(schema, [g for g, _ in rows], [pack(sig[o], 5) for _, o in rows], [zlib.compress(node[o].tobytes(), 1) for _, o in rows], [zlib.compress(component[o].tobytes(), 1) for _, o in rows])
+        return batch(schema, [g for g, _ in rows], [pack(sig[o], SIG_BYTES) for _, o in rows], [zlib.compress(node[o].tobytes(), 1) for _, o in rows], [zlib.compress(component[o].tobytes(), 1) for _, o in rows])
 
     def run(batches):
         parts, n = [], 0
@@ -422,52 +421,78 @@ def _labelled_blocks(groups: int, common):
 
 
 def _torn_members(table: pa.Table) -> pa.Table:
-    """Members of the signatures of one slice that have several components; two alone were a tree's pair."""
+    """(lead, node, component) of the signatures of one slice that have several components; two alone were a tree's pair."""
     column = lambda name, back: np.concatenate([back(x.as_py()) for x in table.column(name)])
     whole = lambda x: np.frombuffer(zlib.decompress(x), np.int64)
-    sig, node, component = column("sig", lambda x: unpack(x, 5)), column("node", whole), column("component", whole)
-    order = np.lexsort((node, component, sig))
+    sig, node, component = column("sig", lambda x: unpack(x, SIG_BYTES)), column("node", whole), column("component", whole)
+    order = np.lexsort((node, sig))
     sig, node, component = sig[order], node[order], component[order]
     head = runs(sig)
     run = np.cumsum(head) - 1
     first = np.flatnonzero(head)
-    last = np.append(first[1:], len(sig)) - 1
-    n = np.bincount(run)[run]
-    keep = (component[first] != component[last])[run] & (n > 2)
-    slice_no = table.column("slice")[0].as_py()
-    key = mix(sig + (U64(slice_no) << U64(40)))
-    return pa.table({"sig": signed(key[keep]), "n": n[keep], "node": node[keep], "component": component[keep]})
-
-
-def _second_signatures(common):
-    schema = pa.schema([("second", pa.int64()), ("node", pa.int64())])
-
-    def run(batches):
-        for b in batches:
-            data, offsets = flat(b.column(1))
-            for start, stop in slices(offsets):
-                part = offsets[start:stop + 1]
-                hashes, rows = shingle_sets(data[part[0]:part[-1]], part - part[0], SHINGLE)
-                sigs, r = signatures(hashes, rows, stop - start, common.value, 2)
-                yield batch(schema, signed(sigs), b.column(0).slice(start, stop - start).to_numpy()[r])
+    torn = (np.minimum.reduceat(component, first) != np.maximum.reduceat(component, first)) & (np.bincount(run) > 2)
+    keep = torn[run]
+    lead, node, component = node[first][run][keep], node[keep], component[keep]
+    order = np.lexsort((node, lead))
+    lead, node, component = lead[order], node[order], component[order]
+    new = runs(lead, node)
+    return pa.table({"lead": lead[new], "node": node[new], "component": component[new]})
 
-    return run
 
+def _tiles(batches):
+    """Pairs of different components in a tile that sketches don't refute, from rows in order of their tile."""
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
-def hidden_pairs(texts: DataFrame, labels: DataFrame, common, groups: int) -> DataFrame:
-    """All pairs of different components in one signature. ``texts``: node, text; ``labels``: node, component."""
+    def pairs(table: pa.Table):
+        node, component, n = (table.column(c).to_numpy() for c in ("node", "component", "n_shingles"))
+        outer = table.column("outer").to_numpy()
+        bits = np.frombuffer(b"".join(table.column("sketch").to_pylist()), U64).reshape(len(node), -1)
+        right = np.flatnonzero(~outer)
+        for i in np.flatnonzero(outer):
+            with_ = right[(component[right] != component[i]) & (100 * np.minimum(n[right], n[i]) >= LEAST_PER_100 * np.maximum(n[right], n[i]))]
+            apart = np.bitwise_count(bits[with_] ^ bits[i]).sum(axis=1, dtype=np.int64)
+            with_ = with_[(100 + LEAST_PER_100) * apart <= (100 - LEAST_PER_100) * (n[with_] + n[i])]
+            if len(with_):
+                yield batch(schema, np.minimum(node[with_], node[i]), np.maximum(node[with_], node[i]))
+
+    open_ = None
+    for b in batches:
+        table = pa.Table.from_batches([b])
+        keys = [table.column(c).to_numpy() for c in ("lead", "u", "r")]
+        head = np.flatnonzero(runs(*keys))
+        for x, y in zip(head, np.append(head[1:], len(table))):
+            part, key = table.slice(x, y - x), tuple(k[x] for k in keys)
+            if open_ is not None and open_[0] == key:
+                open_ = key, pa.concat_tables([open_[1], part])
+                continue
+            if open_ is not None:
+                yield from pairs(open_[1])
+            open_ = key, part
+    if open_ is not None:
+        yield from pairs(open_[1])
+
+
+def hidden_pairs(texts: DataFrame, labels: DataFrame, sketches: DataFrame, common, groups: int) -> DataFrame:
+    """Pairs of different components in one signature that sketches don't refute. ``texts``: node, text.
+
+    Signatures are put together by their smallest node. Under it, the documents outside its largest
+    component are dealt to tiles of ``TILE``, all documents likewise, and each tile of the first meets each of the second.
+    """
     labelled = texts.join(labels, "node", "left").select("node", "text", F.coalesce("component", "node").alias("component"))
     sent = labelled.mapInArrow(_labelled_blocks(groups, common), "slice int, sig binary, node binary, component binary")
-    member = written(sent.groupBy("slice").applyInArrow(_torn_members, "sig long, n long, node long, component long"), "members")
-    few, many = member.filter(F.col("n") <= SPLIT_FROM), member.filter(F.col("n") > SPLIT_FROM)
-    few = few.select("sig", F.lit(0).cast("long").alias("second"), "node", "component")
-    second = texts.join(many.select("node").distinct(), "node", "left_semi").mapInArrow(_second_signatures(common), "second long, node long")
-    many = many.join(second, "node").select("sig", "second", "node", "component")
-    torn = many.groupBy("sig", "second").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high")
-    many = many.join(torn.select("sig", "second"), ["sig", "second"], "left_semi")
-    side = few.union(many)
-    other = side.select("sig", "second", F.col("node").alias("b"), F.col("component").alias("other"))
-    return side.withColumnRenamed("node", "a").join(other, ["sig", "second"]).filter("a < b and component <> other").select("a", "b").distinct()
+    member = written(sent.groupBy("slice").applyInArrow(_torn_members, "lead long, node long, component long").distinct(), "members")
+    sizes = member.groupBy("lead", "component").agg(F.count("*").alias("n"))
+    sizes = sizes.groupBy("lead").agg(F.sum("n").alias("n"), F.max(F.struct("n", "component")).alias("main"))
+    tiles = lambda n: F.ceil(n / TILE).cast("int")
+    sizes = sizes.select("lead", F.col("main.component").alias("main"), tiles(F.col("n") - F.col("main.n")).alias("us"), tiles(F.col("n")).alias("rs"))
+    side = member.join(sizes.filter("us > 0"), "lead")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    outer = side.filter("component <> main").withColumn("u", F.pmod(F.hash("node"), "us")).withColumn("r", every("rs")).withColumn("outer", F.lit(True))
+    inner = side.withColumn("r", F.pmod(F.hash("node"), "rs")).withColumn("u", every("us")).withColumn("outer", F.lit(False))
+    columns = ["lead", "u", "r", "outer", "node", "component"]
+    both = outer.select(columns).union(inner.select(columns)).join(sketches, "node")
+    both = both.repartition("lead", "u", "r").sortWithinPartitions("lead", "u", "r")
+    return both.select(*columns, "n_shingles", "sketch").mapInArrow(_tiles, "a long, b long").distinct()
 
 
 def near_duplicates(documents: DataFrame) -> DataFrame:
@@ -517,7 +542,7 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
             touching = [pairs.join(around.withColumnRenamed("node", x), x, "left_semi").select("a", "b") for x in ("a", "b")]
             around = written(ends(touching[0].union(touching[1])), "around")
         near = _texts_of(documents, described, around)
-        more = hidden_pairs(near, labels, common, groups).join(pairs, ["a", "b"], "left_anti")
+        more = hidden_pairs(near, labels, sketches, common, groups).join(pairs, ["a", "b"], "left_anti")
         more = links_of(more)
         if not more.isEmpty():
             links = links.union(more)
