@@ -519,6 +519,7 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     groups = max(64, math.ceil(0.75 * total / GROUP))
     pairs = written(by_head(candidate_pairs(documents, groups, common)), "pairs")
     sketches = filled.join(heads.select("node").distinct(), "node", "left_anti").groupBy("node").agg(F.min(F.struct("n_shingles", "sketch")).alias("s")).select("node", "s.*")
+    sketches = written(sketches, "sketches")
     ends = lambda p: p.select(F.col("a").alias("node")).union(p.select(F.col("b").alias("node"))).distinct()
 
     def links_of(pairs: DataFrame) -> DataFrame:
