@@ -47,7 +47,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from siltstone.llm.shared import (
-    U64, batch, checked_broadcast, flat, group_sums, mix, pack, runs, shingle_sets, signed, slices, unpack, written,
+    U64, batch, checked_broadcast, flat, group_sums, mix, pack, runs, shingle_sets, signed, slices, small_batches, unpack, written,
 )
 
 SHINGLE = 5
@@ -497,7 +497,7 @@ def hidden_pairs(texts: DataFrame, labels: DataFrame, sketches: DataFrame, commo
 
 def near_duplicates(documents: DataFrame) -> DataFrame:
     """Per row of ``documents`` (doc_id, text): doc_id, n_shingles, component_id."""
-    documents = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    documents = small_batches(documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
     described = written(documents.mapInArrow(_describe, "doc_id long, node long, class long, n_shingles long, sketch binary, gram long, seen long"), "described")
     grams = described.filter("gram is not null").groupBy("gram").agg(F.sum("seen").alias("seen"))
     grams = grams.orderBy(F.desc("seen"), "gram").limit(COMMON_MOST).select("gram").toPandas()["gram"].to_numpy(np.int64)

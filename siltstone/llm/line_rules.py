@@ -10,7 +10,7 @@ is boilerplate: it is removed from the text it judges. A document whose words ar
 ``LEAST_LEFT`` of before is depleted and rejected, like one that fails the base rules. (Short lines
 weigh little, so a document with some boilerplate stays.)
 
-Scale. Lines are counted by (host, line, text digest) with map-side aggregation, then by (host, line):
+Scale. The hashes of the lines are made once and written. Lines are counted by (host, line, text digest) with map-side aggregation, then by (host, line):
 the result is small. Rows meet the boilerplate lines salted by ``SALTS``, so a line that every third
 document has is dealt to many tasks.
 
@@ -23,6 +23,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from siltstone.llm.shared import written
+
 LEAST_WORDS, MOST_REPEAT = 10, 20
 MOST, MOST_SHARE = 10, 0.002
 LEAST_LEFT = 0.3
@@ -73,7 +75,7 @@ def _lines(documents: DataFrame) -> DataFrame:
 def line_rules(documents: DataFrame) -> DataFrame:
     """Per row of ``documents`` (doc_id, text, source): the base counts, base_failed, kept, and the share of words left."""
     base = _base(documents).withColumn("base_failed", (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEAT * F.col("n_words"))).drop("lines")
-    lines = _lines(documents)
+    lines = written(_lines(documents), "lines")
     texts = documents.select(F.coalesce("source", F.lit("")).alias("host"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("digest"))
     hosts = texts.groupBy("host").agg(F.countDistinct("digest").alias("texts"))
     seen = lines.select("host", "line", "digest").distinct().groupBy("host", "line").agg(F.count("*").alias("n")).filter(F.col("n") > MOST)

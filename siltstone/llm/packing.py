@@ -33,6 +33,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from siltstone.llm.shared import small_batches
+
 
 TIERS = (256, 512, 1024, 2048)
 STEP_TOKENS = 16_384
@@ -245,5 +247,5 @@ def _pack(path: str, with_ids: bool):
 
 def packed(documents: DataFrame, path: str | None = None, with_ids: bool = True) -> DataFrame:
     """Pieces of ``documents`` (doc_id, text) in sequences: one row each, with its ids if asked for."""
-    texts = documents.select(F.col("doc_id").cast("long"), "text")
+    texts = small_batches(documents.select(F.col("doc_id").cast("long"), "text"))
     return texts.mapInArrow(_pack(path or tokenizer_path(), with_ids), TYPE + ", ids array<int>" * with_ids)

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from siltstone.llm.shared import U64, batch, flat, number_bytes, pack, row_order, runs, signed, text_digests, unpack
 
 #: Places of a map block, and of a group of the hash space.
-BLOCK, GROUP = 1_000_000, 1_000_000
+BLOCK, GROUP = 500_000, 500_000
 #: Bits of a text's digest: they only keep rows of one id apart.
 DIGEST = U64(0xFFFF)
 

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from siltstone.llm.places import BLOCK, BLOCK_TYPE, GROUP, gathered, keyed, place_block, repeated_places, text_keys, unpacked
-from siltstone.llm.shared import PUNCTUATION, SPACE, U64, flat, mix, powers, row_order, runs, slices, words, written
+from siltstone.llm.shared import PUNCTUATION, SPACE, U64, flat, mix, powers, row_order, runs, slices, small_batches, words, written
 
 LEAST_SENTENCES, LEAST_WORDS, LONG_SENTENCE = 2, 20, 40
 
@@ -129,7 +129,7 @@ def _clean(batches):
 
 def without_repeated_spans(documents: DataFrame) -> DataFrame:
     """Per row of ``documents`` (doc_id, text): doc_id, the text that is left, n_sentences, n_removed, n_runs."""
-    documents = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    documents = small_batches(documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
     total = documents.agg(F.sum(F.length("text"))).first()[0] or 0
     groups = max(64, math.ceil(total / 60 / GROUP))
     places = written(gathered(repeated_places(documents.mapInArrow(_blocks(groups), BLOCK_TYPE))), "places")

@@ -15,8 +15,10 @@ from pyspark.sql import functions as F
 
 #: A side of a join is broadcast only when it was counted and has at most so many rows of a few numbers.
 BROADCAST_ROWS = 1_000_000
+#: Rows that go to Python together.
+BATCH_ROWS = 1_000
 #: Bytes of text a kernel looks at together; a longer text is looked at alone.
-SLICE_BYTES = 1 << 21
+SLICE_BYTES = 1 << 20
 
 U64 = np.uint64
 
@@ -46,6 +48,14 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
+def small_batches(df: DataFrame) -> DataFrame:
+    """Have rows with texts sent to Python ``BATCH_ROWS`` at a time, so that long texts don't fill a worker."""
+    conf = df.sparkSession.conf
+    if int(conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) not in range(1, BATCH_ROWS + 1):
+        conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    return df
+
+
 def checked_broadcast(side: DataFrame, rows: int | None = None) -> DataFrame:
     """Mark a narrow side for broadcast if it has at most ``BROADCAST_ROWS`` rows, else leave it as it is."""
     rows = side.count() if rows is None else rows

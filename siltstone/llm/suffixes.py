@@ -38,11 +38,11 @@ from siltstone.llm.places import (
     BLOCK, BLOCK_TYPE, GROUP, UNITS, by_document, gathered, keyed, place_block, repeated_places, text_keys, unpacked,
 )
 from siltstone.llm.shared import (
-    BROADCAST_ROWS, BYTE_CODE, U64, batch, flat, mix, number_bytes, pack, powers, row_order, runs, signed, slices, unpack, written,
+    BROADCAST_ROWS, BYTE_CODE, U64, batch, flat, mix, number_bytes, pack, powers, row_order, runs, signed, slices, small_batches, unpack, written,
 )
 
 LENGTH, GRAM = 100, 32
-BIN = 1 << 20
+BIN = 1 << 19
 HOT = 4_000
 
 FULL, BYTES, WINDOWS = 0, 1, 2
@@ -202,7 +202,7 @@ def _bytes_blocks(bins: int):
                 for w, f, c in zip(where.tolist(), first.tolist(), n.tolist()):
                     parts.append((w, row, digest, f, raw[f:f + c + LENGTH - 1]))
                     size += c + LENGTH
-                if size >= 16 * BIN:
+                if size >= 8 * BIN:
                     yield block(parts)
                     parts, size = [], 0
         if parts:
@@ -339,7 +339,7 @@ def _cut(batches):
 
 def without_repeated_bytes(documents: DataFrame) -> DataFrame:
     """Per row of ``documents`` (doc_id, text): doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept (bytes)."""
-    documents = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    documents = small_batches(documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
     total = documents.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     groups = max(64, math.ceil(total / 35 / GROUP))
     met = documents.mapInArrow(_meet_blocks(groups), MET_TYPE)

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siltstone.llm.shared import PUNCTUATION, U64, flat, grams, mix, runs, slices, words
+from siltstone.llm.shared import PUNCTUATION, U64, flat, grams, mix, runs, slices, small_batches, words
 
 SEED = 5
 COVERAGE = 0.5
@@ -139,7 +139,7 @@ def leaks(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows) if rows else [[]] * 6, schema)], schema=schema)
         return tiles
 
-    texts = documents.select(F.col("doc_id").cast("long"), "text")
+    texts = small_batches(documents.select(F.col("doc_id").cast("long"), "text"))
     kind = "doc_id long, item_id long, n_tiles long, covered_words long, item_words long, coverage double"
     out = documents.sparkSession.createDataFrame([], kind)
     for _, sent in _blocks(benchmark):
@@ -159,6 +159,7 @@ def decontaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
                 yield b.filter(pa.array(keep))
         return clean
 
+    small_batches(documents)
     for _, sent in _blocks(benchmark):
         documents = documents.mapInArrow(run(sent, documents.columns.index("text")), documents.schema)
     return documents

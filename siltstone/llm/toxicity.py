@@ -32,7 +32,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siltstone.llm.shared import PUNCTUATION, SPACE, flat, slices, words
+from siltstone.llm.shared import PUNCTUATION, SPACE, flat, slices, small_batches, words
 
 TRAIN_ROWS = 20_000
 SUPPORT, RATIO = 5, 8.0
@@ -253,6 +253,7 @@ def held_out(column: str = "doc_id"):
 
 def train(documents: DataFrame, labels: DataFrame):
     """The automaton and the weights, or None where there are not both labels to learn from."""
+    small_batches(documents)
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")).filter("doc_id is not null and toxic in (0, 1)").filter(~held_out())
     n = known.count()
     if n > TRAIN_ROWS:
