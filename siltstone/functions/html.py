@@ -13,6 +13,7 @@ from siltstone.schemas import POSTING_SCHEMA
 
 _VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 _HIDDEN = frozenset(("script", "style", "template"))
+_INLINE = frozenset("a abbr b big cite code em font i mark q s small span strike strong sub sup tt u".split())
 _SECTIONS = ("overview", "requirement", "benefit")
 _ARROW_TYPE = pa.struct([
     (field.name, pa.list_(pa.string()) if field.name == "tags" else pa.string()) for field in POSTING_SCHEMA.fields
@@ -43,11 +44,18 @@ class _PostingReader(HTMLParser):
         self.selectors = selectors
         self.found: dict[str, list[list[str]]] = {"title": [], "company": [], "tag_list": [], "paragraph": []}
         self.tags: list[list[str]] = []
-        self.stack: list[tuple[str, list[list[str]], bool]] = []
+        # Open elements: name, texts that begin in them, tag list or not, and the place of the open
+        # paragraph that a new one closes, or -1 beyond a block container or a selected element.
+        self.stack: list[tuple[str, list[list[str]], bool, int]] = []
+        self.open: dict[str, int] = {}
+        self.texts: list[list[str]] = []
+        self.hidden = 0
 
     def handle_starttag(self, tag, attrs):
-        if tag == "p":
-            self.handle_endtag("p")
+        if tag == "p" and self.stack and self.stack[-1][3] >= 0:
+            while len(self.stack) > self.stack[-1][3] + 1:
+                self._pop()
+            self._pop()
         classes = next((value or "" for name, value in attrs if name == "class"), "").split()
         texts, is_tag_list = [], False
         if self.stack and self.stack[-1][2]:
@@ -61,7 +69,19 @@ class _PostingReader(HTMLParser):
                 texts.append(hits[-1])
                 is_tag_list = is_tag_list or field == "tag_list"
         if tag not in _VOID:
-            self.stack.append((tag, texts, is_tag_list))
+            above = self.stack[-1][3] if self.stack else -1
+            paragraph = len(self.stack) if tag == "p" else -1 if texts or tag not in _INLINE else above
+            self.stack.append((tag, texts, is_tag_list, paragraph))
+            self.open[tag] = self.open.get(tag, 0) + 1
+            self.texts += texts
+            self.hidden += tag in _HIDDEN
+
+    def _pop(self):
+        tag, texts, _, _ = self.stack.pop()
+        self.open[tag] -= 1
+        if texts:
+            del self.texts[-len(texts):]
+        self.hidden -= tag in _HIDDEN
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
@@ -69,25 +89,25 @@ class _PostingReader(HTMLParser):
             self.handle_endtag(tag)
 
     def handle_endtag(self, tag):
-        for depth in range(len(self.stack) - 1, -1, -1):
-            if self.stack[depth][0] == tag:
-                del self.stack[depth:]
-                return
+        if self.open.get(tag):
+            while self.stack[-1][0] != tag:
+                self._pop()
+            self._pop()
 
     def handle_data(self, data):
-        if any(name in _HIDDEN for name, _, _ in self.stack):
+        if self.hidden:
             return
         if self.selectors.text_tags and self.stack and self.stack[-1][2]:
             self.tags.append([data])
-        for _, texts, _ in self.stack:
-            for text in texts:
-                text.append(data)
+        for text in self.texts:
+            text.append(data)
 
     def fields(self) -> dict:
         def first(field):
             return "".join(self.found[field][0]) if self.found[field] else ""
 
-        sections = ["".join(text) for text in self.found["paragraph"][:3]] + [""] * 3
+        paragraphs = ["".join(text) for text in self.found["paragraph"]]
+        sections = [*paragraphs[:2], *[""] * (2 - len(paragraphs)), "\n".join(paragraphs[2:])]
         return {
             "title": first("title"),
             "company": first("company"),
@@ -112,8 +132,9 @@ def _read_posting(html: str | None, selectors: PostingSelectors) -> dict:
 def extract_posting(html: Column, selectors: PostingSelectors = PostingSelectors()) -> Column:
     """Struct of title, tags, overview, requirement, benefit and company.
 
-    Missing elements give empty values, a NULL page gives NULL fields, paragraphs after the
-    third are ignored, and a new ``<p>`` closes an open one.
+    Missing elements give empty values, a NULL page gives NULL fields. The third and all later
+    paragraphs are the lines of the benefit. A new ``<p>`` closes an open one up to the nearest
+    block container or selected element; one pass and one step per tag read a page.
     """
 
     @F.arrow_udf(POSTING_SCHEMA)

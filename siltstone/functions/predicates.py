@@ -21,7 +21,7 @@ def has_drop_word(term: Column) -> Column:
 
 def is_numeric(term: Column) -> Column:
     """Unicode number characters only."""
-    return term.rlike(r"^\p{N}+$")
+    return term.rlike(r"^\p{N}+\z")
 
 
 def is_admissible(term: Column) -> Column:
@@ -39,4 +39,4 @@ def has_empty_section(*sections: Column) -> Column:
 
 def is_digits(label: Column) -> Column:
     """A label made of digits only."""
-    return label.rlike(r"^\d+$")
+    return label.rlike(r"^\d+\z")

@@ -21,9 +21,9 @@ def encode_payload(text: Column) -> Column:
 
 
 def decode_payload(value: Column) -> Column:
-    """The text of a JSON string literal; a value that is no JSON is taken as it is."""
-    decoded = F.from_json(F.concat(F.lit('{"v":'), value, F.lit("}")), "v string")
-    return F.coalesce(decoded["v"], value)
+    """The text of one JSON value; anything else, and the JSON null, is taken as it is."""
+    decoded = F.from_json(F.concat(F.lit("["), value, F.lit("]")), "array<string>")
+    return F.coalesce(F.when(F.size(decoded) == 1, decoded[0]), value)
 
 
 def header(key: str, value: Column) -> Column:
@@ -42,8 +42,10 @@ def strip_newlines(text: Column) -> Column:
 
 
 def record_id(partition: Column, offset: Column) -> Column:
-    """Row id from the position in the record stream."""
-    return partition.cast("long") * F.lit(OFFSETS_PER_PARTITION).cast("long") + offset.cast("long")
+    """Row id from the position in the record stream; an offset beyond the range of a partition is an error."""
+    row_id = partition.cast("long") * F.lit(OFFSETS_PER_PARTITION).cast("long") + offset.cast("long")
+    beyond = F.raise_error(F.concat(F.lit("offset beyond the range of row ids: "), offset.cast("string"))).cast("long")
+    return F.when(offset.cast("long") >= OFFSETS_PER_PARTITION, beyond).otherwise(row_id)
 
 
 def content_id(*fields: Column) -> Column:
@@ -60,6 +62,11 @@ def content_id(*fields: Column) -> Column:
     return F.coalesce(reduce(fold, range(1, 41, 8), F.lit(0).cast("long")), F.lit(0).cast("long"))
 
 
+def content_digest(*fields: Column) -> Column:
+    """SHA-256 of the whole fields: tells postings apart where the short content id cannot."""
+    return F.sha2(F.concat_ws("\x1f", *[F.coalesce(field, F.lit("")) for field in fields]), 256)
+
+
 def row_label(row_id: Column, title: Column, company: Column) -> Column:
     """Fixed-width one-line label."""
     return F.format_string(LABEL_FORMAT, row_id, F.substring(title, 1, 40), F.substring(company, 1, 20))

@@ -100,5 +100,5 @@ def word_count(term: Column | str) -> Column:
 
 
 def right_strip(line: Column | str) -> Column:
-    """The line without trailing white space."""
-    return F.regexp_replace(_column(line), r"\s+$", "")
+    """The line without trailing white space, Unicode spaces and separators included."""
+    return F.regexp_replace(_column(line), r"(?U)[\s\x1C-\x1F]+\z", "")

@@ -6,8 +6,6 @@ so one hot value costs one partial row per task.
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -69,14 +67,9 @@ def most_frequent(counts: DataFrame) -> DataFrame:
     return top_terms(counts, 1)
 
 
-def frequency_map(counts: DataFrame, key: str, value: str, entries_per_map: int = TERM_BUCKETS) -> DataFrame:
-    """Key to count mappings: one map for a table of up to ``entries_per_map`` keys.
-
-    A larger table gives as many maps (shards) as it needs, by key hash, so that no task ever
-    collects the whole table. The rows are counted first to know that number.
-    """
-    shards = max(1, math.ceil(counts.count() / entries_per_map))
+def frequency_map(counts: DataFrame, key: str, value: str, shards: int = 1) -> DataFrame:
+    """Key to count mappings, one per shard by key hash; give as many shards as the keys need tasks."""
     return (
         counts.groupBy(F.pmod(F.xxhash64(key), F.lit(shards)).cast("int").alias("shard"))
-        .agg(F.map_from_entries(F.collect_list(F.struct(F.col(key), F.col(value).cast("int")))).alias("frequency"))
+        .agg(F.map_from_entries(F.collect_list(F.struct(F.col(key), F.col(value).cast("long")))).alias("frequency"))
     )

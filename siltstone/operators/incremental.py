@@ -19,7 +19,7 @@ def concat_batches(batches: Sequence[DataFrame]) -> DataFrame:
 def page_max(df: DataFrame, label: Column) -> DataFrame:
     """Largest page number among the labels that are numbers."""
     return df.select(label.alias("label")).where(is_digits(F.col("label"))).agg(
-        F.max(F.col("label").cast("int")).alias("page_num")
+        F.max(F.col("label").try_cast("bigint")).alias("page_num")
     )
 
 
@@ -28,7 +28,7 @@ def first_rows(df: DataFrame, order: Sequence[str], n: int | None) -> DataFrame:
     return df.orderBy(*order).limit(n) if n else df
 
 
-def since_marker(df: DataFrame, row_id: str, marker: int | None, order: Sequence[str]) -> DataFrame:
+def since_marker(df: DataFrame, row_id: str, marker: int | str | None, order: Sequence[str]) -> DataFrame:
     """Rows before the first occurrence of the last-seen id; all rows without marker or match.
 
     The marker position is one aggregated row, read as a scalar subquery; it is NULL without a
@@ -46,7 +46,7 @@ def high_water_mark(df: DataFrame, row_id: str, order: Sequence[str]) -> DataFra
     return df.agg(F.min_by(row_id, F.struct(*order)).alias("marker"))
 
 
-def new_rows(df: DataFrame, row_id: str, order: Sequence[str], n: int | None, marker: int | None) -> DataFrame:
+def new_rows(df: DataFrame, row_id: str, order: Sequence[str], n: int | None, marker: int | str | None) -> DataFrame:
     """The limit, then the cut at the marker."""
     return since_marker(first_rows(df, order, n), row_id, marker, order)
 

@@ -63,8 +63,8 @@ def print_frequency_table(counts: DataFrame, limit: int = CLOUD_WORDS) -> None:
         print(row["line"])
 
 
-def relative_weights(counts: DataFrame, words: int = CLOUD_WORDS) -> DataFrame:
-    """The most frequent words with their count relative to the largest one."""
-    top = top_terms(counts, words)
-    largest = F.max("n").over(Window.partitionBy(F.lit(0)))
-    return top.select("term", "n", (F.col("n") / largest).alias("weight"))
+def relative_weights(counts: DataFrame, words: int | None = None) -> DataFrame:
+    """All words, or the most frequent ones, with their count relative to the largest one."""
+    largest = counts.agg(F.max("n").alias("n")).scalar()
+    rows = counts if words is None else top_terms(counts, words)
+    return rows.select("term", "n", (F.col("n") / largest).alias("weight"))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from siltstone.functions.html import PostingSelectors, extract_posting
 from siltstone.functions.predicates import has_empty_section
-from siltstone.functions.records import content_id, decode_payload, record_id, strip_newlines
+from siltstone.functions.records import content_digest, content_id, decode_payload, record_id, strip_newlines
 from siltstone.functions.text import analyze, analyze_tags
 from siltstone.operators.counts import tag_count
 from siltstone.operators.incremental import high_water_mark, new_rows, when_any
@@ -37,6 +37,10 @@ class Lakehouse:
     def collected(self) -> TableSpec:
         return self._table("collected")
 
+    @property
+    def markers(self) -> TableSpec:
+        return self._table("markers")
+
     @property
     def records(self) -> TableSpec:
         return self._table("records")
@@ -63,12 +67,14 @@ class Lakehouse:
 def collected_postings(
     fetched: DataFrame, source: Column, selectors: PostingSelectors = PostingSelectors()
 ) -> DataFrame:
-    """Fetched pages (page, pos, html) with parsed fields, content id and the empty-section flag."""
+    """Fetched pages (page, pos, html) with parsed fields, content id, digest and the empty-section flag."""
     parsed = fetched.select("page", "pos", strip_newlines(F.col("html")).alias("raw")).withColumn(
         "posting", extract_posting(F.col("raw"), selectors)
     )
+    named = [F.col(name) for name in ("title", "company", "requirement", "benefit", "overview")]
     return parsed.select("page", "pos", "raw", source.alias("source"), "posting.*").select(
-        content_id(*[F.col(name) for name in ("title", "company", "requirement", "benefit", "overview")]).alias("id"),
+        content_id(*named).alias("id"),
+        content_digest(*named).alias("digest"),
         "*",
         has_empty_section(F.col("requirement"), F.col("overview"), F.col("benefit")).alias("abnormal"),
     )
@@ -80,15 +86,16 @@ def run_integration(
     collected: TableSpec,
     selectors: PostingSelectors = PostingSelectors(),
     limit: int | None = None,
-    last_seen: int | None = None,
+    last_seen: str | None = None,
 ) -> DataFrame:
-    """New postings of a run: the first ``limit`` in page order, cut at the last-seen id.
+    """New postings of a run: the first ``limit`` in page order, cut at the last-seen digest.
 
-    The parsed pages are written first, because the cut reads the ids twice.
+    The short content id may name several postings, so the cut goes by the digest of the whole
+    fields. The parsed pages are written first, because the cut reads them twice.
     """
     write_table(collected_postings(fetched, source, selectors), collected)
     rows = read_table(fetched.sparkSession, collected)
-    return new_rows(rows, "id", ["page", "pos"], limit, last_seen)
+    return new_rows(rows, "digest", ["page", "pos"], limit, last_seen)
 
 
 def posting_messages(postings: DataFrame, group: str) -> DataFrame:
@@ -101,7 +108,7 @@ def posting_messages(postings: DataFrame, group: str) -> DataFrame:
 # Storage ---------------------------------------------------------------------------------------
 
 def run_storage(records: DataFrame, bronze: TableSpec) -> DataFrame:
-    """Record stream to the bronze table."""
+    """Record stream to the bronze table; the reader of the stream bounds its batches."""
     return run_etl(lambda: records, to_bronze, lambda rows: append_to_table(rows, bronze))
 
 
@@ -121,33 +128,42 @@ def to_silver(bronze: DataFrame, selectors: PostingSelectors = PostingSelectors(
 
 
 def run_processing(
-    spark: SparkSession, lake: Lakehouse, selectors: PostingSelectors = PostingSelectors()
+    spark: SparkSession,
+    lake: Lakehouse,
+    selectors: PostingSelectors = PostingSelectors(),
+    files_per_batch: int | None = None,
 ) -> DataFrame:
     """Bronze to silver, then silver to the index and to the gold tag counts.
 
     Pages are parsed once, into silver; the other two sinks follow the silver table side by side.
+    ``files_per_batch`` cuts a long backlog into batches of so many files. If one sink fails, the
+    other is stopped.
     """
     run_etl(
-        lambda: read_table_stream(spark, lake.bronze),
+        lambda: read_table_stream(spark, lake.bronze, files_per_batch),
         lambda rows: to_silver(rows, selectors),
         lambda rows: append_to_table(rows, lake.silver),
     )
-    silver = read_table_stream(spark, lake.silver)
+    silver = read_table_stream(spark, lake.silver, files_per_batch)
     sinks = [
         upsert_to_table(silver, lake.index, "id", ["id"], wait=False),
         complete_to_table(tag_count(silver), lake.gold_tags, wait=False),
     ]
-    for query in sinks:
-        query.awaitTermination()
+    try:
+        for query in sinks:
+            query.awaitTermination()
+    finally:
+        for query in sinks:
+            query.stop()
     return silver
 
 
 # Analysis --------------------------------------------------------------------------------------
 
-def run_analysis(spark: SparkSession, lake: Lakehouse) -> DataFrame:
-    """Relative weights of the most frequent tags of the gold table."""
+def run_analysis(spark: SparkSession, lake: Lakehouse, words: int | None = None) -> DataFrame:
+    """Relative weights of all tags of the gold table, or of the most frequent ones."""
     tags = read_complete_table(spark, lake.gold_tags)
-    return relative_weights(tags.select(F.col("tag").alias("term"), F.col("tag_post_count").alias("n")))
+    return relative_weights(tags.select(F.col("tag").alias("term"), F.col("tag_post_count").alias("n")), words)
 
 
 def analysed_copy(index: DataFrame, text_fields: tuple[str, ...] = ANALYSED_FIELDS, tags: str | None = "tags") -> DataFrame:
@@ -174,11 +190,15 @@ def score_terms(
 # The chain -------------------------------------------------------------------------------------
 
 def run_stages(
-    spark: SparkSession, lake: Lakehouse, records: DataFrame, selectors: PostingSelectors = PostingSelectors()
+    spark: SparkSession,
+    lake: Lakehouse,
+    records: DataFrame,
+    selectors: PostingSelectors = PostingSelectors(),
+    files_per_batch: int | None = None,
 ) -> DataFrame:
     """Storage, processing and analysis of what a record stream holds."""
     run_storage(records, lake.bronze)
-    run_processing(spark, lake, selectors)
+    run_processing(spark, lake, selectors, files_per_batch)
     return run_analysis(spark, lake)
 
 
@@ -191,19 +211,23 @@ def run_all(
     receive: Callable[[], DataFrame],
     selectors: PostingSelectors = PostingSelectors(),
     limit: int | None = None,
-    last_seen: int | None = None,
+    last_seen: str | None = None,
+    files_per_batch: int | None = None,
 ) -> DataFrame | None:
     """The whole chain; the stages after integration run only if there are new postings.
 
     ``send`` puts new postings into the record stream (see :func:`posting_messages`), ``receive``
-    opens that stream. :func:`next_marker` gives the last-seen id for the next run.
+    opens that stream. The marker of the next run (:func:`next_marker`) moves only after sending:
+    a failed send and a run without new postings leave it as it was.
     """
     postings = run_integration(fetched, source, lake.collected, selectors, limit, last_seen)
     if not when_any(postings, send):
         return None
-    return run_stages(spark, lake, receive(), selectors)
+    first = high_water_mark(read_table(spark, lake.collected), "digest", ["page", "pos"])
+    write_table(first.withColumn("moved", F.current_timestamp()), lake.markers, "append")
+    return run_stages(spark, lake, receive(), selectors, files_per_batch)
 
 
 def next_marker(spark: SparkSession, lake: Lakehouse) -> DataFrame:
-    """One row with the id of the first posting of the last run."""
-    return high_water_mark(read_table(spark, lake.collected), "id", ["page", "pos"])
+    """One row with the digest of the first posting of the last run that sent any; call it after such a run."""
+    return read_table(spark, lake.markers).agg(F.max_by("marker", "moved").alias("marker"))

@@ -1,11 +1,11 @@
-"""Helpers that look at the running session: shared scratch space and input spreading."""
+"""Helpers that look at the running session: shared scratch space."""
 
 from __future__ import annotations
 
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -30,18 +30,3 @@ def scratch_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the scratch folder."""
     return f"{scratch_root(spark).rstrip('/')}/siltstone/{name}-{uuid.uuid4().hex}"
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Deal the rows of a scan over all cores when it has fewer splits than cores.
-
-    For CPU-heavy steps after a scan of few, large row groups. A scan with at least as many
-    splits as cores, which is every large table, is returned unchanged, so no shuffle is added
-    at scale. Call it on a bare scan (plus projections); never on a plan with a shuffle.
-    """
-    if df.isStreaming:
-        return df
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores)

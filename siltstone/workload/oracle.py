@@ -73,7 +73,7 @@ _TITLE = _unescape("regexp_extract(html, '(?s)<title>(.*?)</title>', 1)")
 _PAGES = f"""
     SELECT page_id, title, company,
            coalesce(paragraphs[1], '') AS overview, coalesce(paragraphs[2], '') AS requirement,
-           coalesce(paragraphs[3], '') AS benefit, tags
+           array_to_string(paragraphs[3:], chr(10)) AS benefit, tags
     FROM (SELECT page_id, {_TITLE} AS title,
                  {_unescape("regexp_extract(html, '(?s)<h1>(.*?)</h1>', 1)")} AS company,
                  list_transform(regexp_extract_all(html, '(?s)<li>(.*?)</li>', 1), lambda x: {_plain('x')}) AS tags,
@@ -156,9 +156,9 @@ _ORDER_PAGES = """
     FROM orders"""
 
 
-def _since(rows: str, marker: int) -> str:
+def _since(rows: str, marker: int | str, row_id: str = "id") -> str:
     return f"""
-        WITH rows AS ({rows}), seen AS (SELECT page, pos FROM rows WHERE id = {marker} ORDER BY page, pos LIMIT 1)
+        WITH rows AS ({rows}), seen AS (SELECT page, pos FROM rows WHERE {row_id} = {marker!r} ORDER BY page, pos LIMIT 1)
         SELECT rows.* FROM rows LEFT JOIN seen ON TRUE
         WHERE seen.pos IS NULL OR rows.page < seen.page OR (rows.page = seen.page AND rows.pos < seen.pos)"""
 
@@ -174,6 +174,7 @@ def _content_id(*fields: str) -> str:
 _COLLECTED = f"""
     SELECT CAST(page_id // 20 AS INTEGER) AS page, CAST(page_id % 20 AS INTEGER) AS pos,
            {_content_id('title', 'company', 'requirement', 'benefit', 'overview')} AS id,
+           sha256(concat_ws(chr(31), title, company, requirement, benefit, overview)) AS digest,
            requirement = '' OR overview = '' OR benefit = '' AS abnormal, replace(html, chr(10), '') AS raw
     FROM ({_PAGES}) JOIN pages USING (page_id)"""
 
@@ -188,7 +189,7 @@ def _frequency_table(counts: str, limit: int | None = None) -> str:
 def _relative(counts: str) -> str:
     return f"""
         SELECT term, n, round(n / max(n) OVER (), {SCORE_DIGITS}) AS weight
-        FROM (SELECT term, n FROM ({counts}) ORDER BY n DESC, term LIMIT 200)"""
+        FROM (SELECT term, n FROM ({counts}))"""
 
 
 _SEARCH = f"""
@@ -236,7 +237,7 @@ ORACLE: dict[str, str] = {
     "keyword_count": "SELECT source AS term, count(*) AS n FROM documents WHERE source IS NOT NULL GROUP BY source",
     "frequency_table": _frequency_table(f"SELECT tag AS term, tag_post_count AS n FROM ({_TAG_COUNT})"),
     "frequency_table_top": _frequency_table(_DOC_TERM_COUNTS, 200),
-    "frequency_map": f"SELECT tag, CAST(tag_post_count AS INTEGER) AS n FROM ({_TAG_COUNT})",
+    "frequency_map": f"SELECT tag, tag_post_count AS n FROM ({_TAG_COUNT})",
     "tokenize": f"""
         SELECT doc AS doc_id, CAST(pos AS INTEGER) AS pos, token
         FROM ({_token_rows('documents', 'doc_id', 'text')})""",
@@ -295,7 +296,7 @@ ORACLE: dict[str, str] = {
         SELECT CASE o_orderstatus WHEN 'F' THEN 1 WHEN 'O' THEN 2 ELSE 3 END AS page, o_orderkey AS pos, o_totalprice
         FROM orders WHERE o_orderstatus IN ('F', 'O', 'P')""",
     "page_max": """
-        SELECT max(CAST(label AS INTEGER)) AS page_num
+        SELECT max(CAST(label AS BIGINT)) AS page_num
         FROM (SELECT regexp_extract(url, 'page=([^&#]*)', 1) AS label FROM pages)
         WHERE regexp_full_match(label, '[0-9]+')""",
     "latest_limit": f"SELECT * FROM ({_ORDER_PAGES}) ORDER BY page, pos LIMIT {RUN_LIMIT}",
@@ -325,6 +326,6 @@ ORACLE: dict[str, str] = {
     "integration_messages": f"""
         SELECT md5(raw) AS raw_md5, 'source' AS header1, 'message_group_id' AS header2,
                '{PAGE_SOURCE}' AS value1, 'run 1' AS value2
-        FROM ({_since(f"SELECT * FROM ({_COLLECTED}) ORDER BY page, pos LIMIT {RUN_LIMIT}", LAST_SEEN_PAGE)})""",
+        FROM ({_since(_COLLECTED, LAST_SEEN_PAGE, "digest")})""",
     "table_rows": "SELECT count(*) AS row_count FROM lineitem",
 }

@@ -11,7 +11,7 @@ from siltstone.functions import predicates, records, text
 from siltstone.functions.html import PostingSelectors, extract_posting
 from siltstone.operators import counts, incremental, ranking, scoring, search
 from siltstone.plans import medallion
-from siltstone.session import scratch_path, spread
+from siltstone.session import scratch_path
 from siltstone.sources.dictionary import dictionary_lines, duplicate_entries, sorted_entries
 from siltstone.sources.records import read_record_files, to_bronze, value_text
 from siltstone.sources.tables import TableSpec, read_table, table_report, write_table
@@ -32,7 +32,7 @@ SEARCH_TEXT = "nicht que"
 SCORE_DIGITS = 6
 LAST_SEEN = 1000
 ABSENT = -1
-LAST_SEEN_PAGE = 49375259
+LAST_SEEN_PAGE = "123fb1f9a8f717ce5c3d62699e3809e6e24c0b29c5074fb2dbe63dbd8debda27"
 RUN_LIMIT = 1000
 
 
@@ -48,11 +48,11 @@ def table_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(table(spark, sf_dir, "documents", "doc_id", "text"))
+    return table(spark, sf_dir, "documents", "doc_id", "text")
 
 
 def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(table(spark, sf_dir, "pages", "page_id", "html"))
+    return table(spark, sf_dir, "pages", "page_id", "html")
 
 
 def part_tags(parts: DataFrame) -> DataFrame:
@@ -246,7 +246,7 @@ def number_blank(spark, sf_dir):
 
 
 def analyze_text(spark, sf_dir):
-    items = spread(table(spark, sf_dir, "benchmark", "item_id", "text"))
+    items = table(spark, sf_dir, "benchmark", "item_id", "text")
     return search.term_listing(items, "item_id", "text")
 
 
@@ -307,7 +307,7 @@ def match_search_stored(spark, sf_dir):
 def scored_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows (field, term): one tag field and three text fields, each from its own table."""
     titles = pages(spark, sf_dir).select(extract_posting(F.col("html"), PAGE_SELECTORS)["title"].alias("title"))
-    conversations = spread(table(spark, sf_dir, "conversations", "text"))
+    conversations = table(spark, sf_dir, "conversations", "text")
     return incremental.concat_batches([
         scoring.field_terms(part_tags(table(spark, sf_dir, "part")), {"tags": text.analyze_tags("tags")}),
         scoring.field_terms(documents(spark, sf_dir), {"document": text.analyze("text")}),
@@ -507,7 +507,7 @@ def medallion_index(spark, sf_dir):
 def integration_messages(spark, sf_dir):
     collected = TableSpec(scratch_path(spark, "collected"))
     postings = medallion.run_integration(
-        fetched_pages(spark, sf_dir), F.lit(PAGE_SOURCE), collected, PAGE_SELECTORS, RUN_LIMIT, LAST_SEEN_PAGE
+        fetched_pages(spark, sf_dir), F.lit(PAGE_SOURCE), collected, PAGE_SELECTORS, None, LAST_SEEN_PAGE
     )
     return medallion.posting_messages(postings, "run 1").select(
         F.md5(records.decode_payload(F.col("value").cast("string"))).alias("raw_md5"),

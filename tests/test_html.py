@@ -1,6 +1,8 @@
+import time
+
 from pyspark.sql import functions as F
 
-from siltstone.functions.html import PostingSelectors, extract_posting
+from siltstone.functions.html import PostingSelectors, _read_posting, extract_posting
 
 PAGE = """
 <div class="big job-details__title x">Data &amp; AI <b>Engineer</b></div>
@@ -23,7 +25,7 @@ def parse(spark, pages, selectors=PostingSelectors()):
 def test_fields(spark):
     assert parse(spark, [PAGE])[0] == {
         "i": 0, "title": "Data & AI Engineer", "tags": ["SQL", "C#"], "overview": "overview onetwothree",
-        "requirement": "requirement", "benefit": "benefit", "company": "Acme",
+        "requirement": "requirement", "benefit": "benefit\nignored", "company": "Acme",
     }
 
 
@@ -58,3 +60,28 @@ def test_malformed_markup_keeps_what_was_read(spark):
 def test_stray_end_tags(spark):
     got = parse(spark, ['</div></p><div class="job-details__title">a</b></span>b</div>c'])
     assert got[0]["title"] == "ab"
+
+
+def read(html):
+    return _read_posting(html, PostingSelectors())
+
+
+def test_no_paragraph_is_lost():
+    got = read("".join(f'<p class="job-details__paragraph">{n}</p>' for n in ("one", "two", "three", "four", "five")))
+    assert (got["overview"], got["requirement"], got["benefit"]) == ("one", "two", "three\nfour\nfive")
+
+
+def test_a_new_paragraph_leaves_selected_and_block_elements_open():
+    got = read('<p>intro<div class="job-details__paragraph">text <p>more</div> out')
+    assert got["overview"] == "text more"
+    got = read('<p class="job-details__paragraph">one <b>bold<p class="job-details__paragraph">two')
+    assert (got["overview"], got["requirement"]) == ("one bold", "two")
+
+
+def test_reading_is_linear_in_unclosed_tags():
+    def seconds(n):
+        start = time.perf_counter()
+        read("<div>x" * n)
+        return time.perf_counter() - start
+
+    assert seconds(16_000) < 2

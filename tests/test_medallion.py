@@ -1,5 +1,7 @@
 import json
+import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from siltstone.functions.records import encode_payload, header
@@ -58,7 +60,7 @@ def test_integration(spark, path):
     assert all("\n" not in row["raw"] for row in rows) and len({row["id"] for row in rows}) == 3
 
     cut = medallion.run_integration(
-        fetched(spark), F.lit("site"), TableSpec(f"{path}/second"), limit=1000, last_seen=rows[1]["id"]
+        fetched(spark), F.lit("site"), TableSpec(f"{path}/second"), limit=1000, last_seen=rows[1]["digest"]
     )
     assert [row["title"] for row in cut.collect()] == ["Data Engineer"]
     message = medallion.posting_messages(cut, "run 1").first()
@@ -145,3 +147,39 @@ def test_analysed_copy(spark):
     assert row["tags_terms"] == ["c", "core", "java"]
     assert row["overview_terms"] == ["java", "java", "java core", "core"]
     assert row["requirement_terms"] == ["", "2 java", "java"] and row["benefit_terms"] == []
+
+
+def test_postings_with_equal_short_ids_are_cut_apart(spark, path):
+    page = """<p class="job-details__title">Data Engineer {}</p><p class="job-details__sub-title">Company Ltd</p>
+        <p class="job-details__paragraph">same overview</p><p class="job-details__paragraph">same demand</p>
+        <p class="job-details__paragraph">same benefit</p>"""
+    pages = [page.format("one"), page.format("two"), page.format("three")]
+    rows = medallion.run_integration(fetched(spark, pages), F.lit("site"), TableSpec(f"{path}/a")).orderBy("page", "pos").collect()
+    assert len({row["id"] for row in rows}) == 1 and len({row["digest"] for row in rows}) == 3
+    cut = medallion.run_integration(
+        fetched(spark, pages), F.lit("site"), TableSpec(f"{path}/b"), last_seen=rows[2]["digest"]
+    )
+    assert cut.count() == 2
+
+
+def test_marker_stays_when_sending_fails(spark, path):
+    lake = medallion.Lakehouse(f"{path}/lake")
+    write_table(spark.createDataFrame([("old", None)], "marker string, moved timestamp").withColumn("moved", F.current_timestamp()), lake.markers)
+
+    def send(postings):
+        raise ConnectionError("no broker")
+
+    with pytest.raises(ConnectionError):
+        medallion.run_all(spark, lake, fetched(spark), F.lit("site"), send, lambda: None)
+    assert medallion.next_marker(spark, lake).first()["marker"] == "old"
+
+
+def test_backlog_is_cut_into_batches(spark, path):
+    lake = medallion.Lakehouse(f"{path}/lake")
+    for start in range(3):
+        write_table(records(spark, [PAGES[start]], start=start), lake.records, "append")
+    medallion.run_storage(read_record_files(spark, lake.records.data_path), lake.bronze)
+    bronze_files = len(spark.read.parquet(lake.bronze.data_path).inputFiles())
+    medallion.run_processing(spark, lake, files_per_batch=1)
+    commits = [n for n in os.listdir(f"{lake.silver.checkpoint_path}/commits") if n.isdigit()]
+    assert len(commits) == bronze_files

@@ -28,6 +28,6 @@ def test_table_lines(spark, capsys):
 
 def test_relative_weights(spark):
     df = frame(spark, [(f"t{i:03}", 1000 - i) for i in range(300)])
-    got = ranking.relative_weights(df).orderBy(F.desc("weight")).collect()
-    assert len(got) == 200
+    got = ranking.relative_weights(df, 200).orderBy(F.desc("weight")).collect()
+    assert len(got) == 200 and ranking.relative_weights(df).count() == 300
     assert got[0]["weight"] == 1.0 and abs(got[-1]["weight"] - 0.801) < 1e-12
