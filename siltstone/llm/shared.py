@@ -5,14 +5,15 @@ The kernels work on Arrow string columns as flat UTF-8 bytes. A null text is an
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from siltstone.session import scratch_path
+
 #: A side of a join is broadcast only when it was counted and has at most so many rows of a few numbers.
 BROADCAST_ROWS = 1_000_000
 #: Rows that go to Python together.
@@ -26,23 +27,10 @@ U64 = np.uint64
 # Tables between steps -------------------------------------------------------------------------
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that ``spark.checkpoint.dir`` names. Only a local session may lack it (tests)."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named
-    context = spark.sparkContext
-    if not context.master.startswith("local["):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    if not context.getCheckpointDir():
-        context.setCheckpointDir(f"{spark.conf.get('spark.sql.warehouse.dir')}/siltstone-scratch")
-    return context.getCheckpointDir()
-
-
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write a table to the shared folder and read it back: cuts lineage, survives lost executors."""
     spark = df.sparkSession
-    path = f"{shared_folder(spark).rstrip('/')}/siltstone-llm/{name}-{uuid.uuid4().hex}"
+    path = scratch_path(spark, f"llm-{name}")
     schema = df.schema
     df.write.parquet(path)
     return spark.read.schema(schema).parquet(path)
