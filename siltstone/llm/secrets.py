@@ -27,7 +27,8 @@ from pyspark.sql import functions as F
 from siltstone.llm.shared import BROADCAST_ROWS, written
 
 LEAST_RUN, LEAST_RATIO, LEAST_MEAN = 16, 12.0, 0.5
-SMOOTH = 0.5
+#: Weight of the characters' frequencies in those of the pairs, and of an even spread in the former.
+BACK_OFF, SMOOTH = 20.0, 0.5
 MASK = "[secret]"
 
 # The base patterns and the least lengths of what they find.
@@ -87,10 +88,12 @@ def ratios(spans: DataFrame) -> list[float]:
     out = [0.0] * (128 * 128)
     logs = {}
     for label, model in models.items():
-        after = dict.fromkeys(alphabet, 0)
+        after, single = dict.fromkeys(alphabet, 0), dict.fromkeys(alphabet, SMOOTH)
         for pair, n in model.items():
             after[pair[0]] += n
-        logs[label] = {a + b: math.log((model.get(a + b, 0) + SMOOTH) / (after[a] + SMOOTH * 66)) for a in alphabet for b in alphabet}
+            single[pair[1]] += n
+        all_ = sum(single.values())
+        logs[label] = {a + b: math.log((model.get(a + b, 0) + BACK_OFF * single[b] / all_) / (after[a] + BACK_OFF)) for a in alphabet for b in alphabet}
     for pair in logs[True]:
         out[128 * ord(pair[0]) + ord(pair[1])] = round(logs[True][pair] - logs[False][pair], 6)
     return out

@@ -282,7 +282,9 @@ def _index(table: pa.Table) -> pa.Table:
     begin = np.cumsum(size) - size
     order = np.lexsort((first, digest, doc))
     doc, digest, first, size, begin = (x[order] for x in (doc, digest, first, size, begin))
-    joined = np.repeat(begin - (np.cumsum(size) - size), size) + np.arange(len(data))
+    one = runs(doc, digest, first)  # a repeated row is one document
+    doc, digest, first, size, begin = (x[one] for x in (doc, digest, first, size, begin))
+    joined = np.repeat(begin - (np.cumsum(size) - size), size) + np.arange(size.sum())
     found = np.flatnonzero(repeated_starts(data[joined], size, LENGTH))
     stop = np.cumsum(size)
     segment = np.searchsorted(stop, found, "right")

@@ -221,8 +221,9 @@ def features(column: pa.Array, automaton: Automaton) -> np.ndarray:
         count = lambda x: np.bincount(row, x, stop - first)  # noqa: B023, E731
         plain, exact = ~quoted, edits == 0
         part = out[first:stop]
-        part[:, 0] = np.log1p(count(weight * (plain & exact)))
-        part[:, 1] = count(plain & exact) > 0
+        # A misspelled hit counts nearly like an exact one, so far as the labels don't say otherwise.
+        part[:, 0] = np.log1p(count(weight * plain * np.where(exact, 1, 0.75)))
+        part[:, 1] = count(plain) > 0
         part[:, 2] = np.log1p(count(weight * (plain & ~exact)))
         part[:, 3] = count(plain & ~exact) > 0
         part[:, 4] = np.log1p(count(weight * quoted))
