@@ -39,7 +39,7 @@ from siltstone.llm.shared import small_batches
 TIERS = (256, 512, 1024, 2048)
 STEP_TOKENS = 16_384
 END = 1
-CACHE_WORDS = 400_000
+CACHE_WORDS = 1_000_000
 #: Bytes of text that are tokenised and packed together.
 PART_BYTES = 4 << 20
 
