@@ -3,7 +3,7 @@
 Base patterns find assignments to telling names, access keys and hexadecimal runs. Further candidates are
 maximal runs of at least ``LEAST_RUN`` characters of ``[A-Za-z0-9+/_=-]``. Those under a base match are
 labelled samples of random strings, the others of ordinary identifiers: their character pairs, counted over
-the whole corpus, train two first-order models. A candidate that no base match touches is a secret if
+all distinct candidates of the corpus, train two first-order models. A candidate that no base match touches is a secret if
 its log-likelihood ratio is at least ``LEAST_RATIO``, and ``LEAST_MEAN`` for each pair.
 
 Places come without a position function: the pieces between matches and the matches themselves are
@@ -76,12 +76,13 @@ def found_spans(documents: DataFrame) -> DataFrame:
 
 def ratios(spans: DataFrame) -> list[float]:
     """Log-likelihood ratios of all pairs of ASCII characters, by 128 * first + second."""
-    samples = spans.filter(F.col("value").isNotNull()).select("touched", "value")
+    samples = spans.filter(F.col("value").isNotNull()).select("touched", "value").distinct()
     pairs = samples.select("touched", F.explode(F.expr("transform(sequence(1, char_length(value) - 1), i -> substr(value, i, 2))")).alias("pair"))
     counted = pairs.groupBy("touched", "pair").agg(F.count("*").alias("n")).collect()  # at most 2 x 66 x 66 rows
     models = {True: {}, False: {}}
     for r in counted:
-        models[r["touched"]][r["pair"]] = r["n"]
+        # An unknown secret is among the ordinary samples: a pair of one sample alone is no evidence there.
+        models[r["touched"]][r["pair"]] = r["n"] if r["touched"] else r["n"] - 1
     if not models[True] or not models[False]:
         return []
     alphabet = sorted({c for m in models.values() for pair in m for c in pair})
