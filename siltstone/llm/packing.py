@@ -66,7 +66,7 @@ class Encoder:
         self.place, self.ids, self.begin = {b"": 0}, array("I"), array("q", [0, 0])
 
     def learn(self, words: list[bytes]):
-        for word, found in zip(words, self.tokenizer.encode_batch([w.decode() for w in words], add_special_tokens=False)):
+        for word, found in zip(words, self.tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)):
             self.place[word] = len(self.begin) - 1
             self.ids.extend(found.ids)
             self.begin.append(len(self.ids))
