@@ -6,7 +6,7 @@ so one hot value costs one partial row per task.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # Fixed value: term buckets returned by one term aggregation.
@@ -33,9 +33,23 @@ def keyword_count(df: DataFrame, column: str) -> DataFrame:
     return df.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("term")).agg(F.count("*").alias("n"))
 
 
+def candidates(counts: DataFrame, name: str, k: int) -> DataFrame:
+    """The rows that can be among the k largest by a count.
+
+    A top-k sends k rows of every task to the last one. A histogram of the counts, four bins a doubling,
+    tells the bin in which the k-th largest lies; what is in a lower bin goes before. The shuffle of the
+    counts serves both.
+    """
+    level = F.coalesce(F.floor(F.log2(name) * 4), F.lit(-1))
+    falling = Window.partitionBy(F.lit(0)).orderBy(F.desc("level"))  # at most 253 rows
+    levels = counts.groupBy(level.alias("level")).agg(F.count("*").alias("rows"))
+    reached = levels.withColumn("above", F.sum("rows").over(falling)).where(F.col("above") >= k)
+    return counts.where(level >= F.coalesce(reached.agg(F.max("level")).scalar(), F.lit(-1)))
+
+
 def top_terms(counts: DataFrame, k: int = TERM_BUCKETS) -> DataFrame:
     """The k most frequent terms, ties by term."""
-    return counts.orderBy(F.desc("n"), F.asc("term")).limit(k)
+    return candidates(counts, "n", k).orderBy(F.desc("n"), F.asc("term")).limit(k)
 
 
 def term_count(df: DataFrame, terms: Column, min_doc_count: int = 1, limit: int | None = None) -> DataFrame:

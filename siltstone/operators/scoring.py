@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siltstone.functions.predicates import is_admissible
+from siltstone.operators.counts import candidates
 from siltstone.session import scratch_path
 
 TAG, NOT_TAG, IGNORED = "TAG", "NOT_TAG", "IGNORED"
@@ -66,7 +67,7 @@ def limit_buckets(counts: DataFrame, fields: Sequence[Field], buckets: int) -> D
     counts.write.parquet(path)
     written = spark.read.parquet(path)
     tops = [
-        written.where(F.col(field.name) > 0)
+        candidates(written.where(F.col(field.name) > 0), field.name, buckets)
         .orderBy(F.desc(field.name), F.asc("term"))
         .limit(buckets)
         .select("term", *[

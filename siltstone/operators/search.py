@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
-from operator import add, or_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,11 +26,6 @@ def analyze_text(spark: SparkSession, text: str, analyzer: Callable[[Column], Co
     return term_listing(spark.range(1).select("id", F.lit(text).alias("text")), "id", "text", analyzer).drop("id")
 
 
-def occurrences(terms: Column, wanted: str) -> Column:
-    """How often a term is in an array of terms."""
-    return F.size(F.filter(terms, lambda term: term == wanted))
-
-
 def match_search(
     df: DataFrame,
     doc_id: str,
@@ -45,47 +38,42 @@ def match_search(
     """The k best documents for the query as (doc_id, score), ties by id.
 
     ``stored_terms`` names the term array of an analysed table; it then stands for analysing the
-    text again.
+    text again. ``doc_id`` is a key of the table.
 
-    Length and term counts are taken inside each row, so no postings are exploded or shuffled.
-    They are needed twice, for the corpus statistics and for the scores; to analyse every text
-    only once they are written to the scratch folder, a few bytes per document. The statistics
-    are one aggregated row, read as a scalar subquery, and scoring keeps k rows per task.
+    The query's terms are a small table, as large as the query, and joined to the terms of every row
+    where it is read. What is left, one row per document and one per term found in it, is written to
+    the scratch folder, because corpus statistics and scores both need it. Scoring shuffles hits only.
     """
     spark = df.sparkSession
-    # The query is one literal: its terms are needed to write down the plan.
-    terms = sorted({row["term"] for row in analyze_text(spark, query, analyzer).collect()})
-    if not terms:
-        return df.select(doc_id, F.lit(0.0).alias("score")).where(F.lit(False))
-
     path = scratch_path(spark, "postings")
+    wanted = analyze_text(spark, query, analyzer).select("term").distinct().withColumn("_wanted", F.lit(True))
     terms_of_row = F.col(stored_terms) if stored_terms else analyzer(F.col(text))
-    df.select(doc_id, terms_of_row.alias("_terms")).select(
-        doc_id,
-        F.size("_terms").alias("_length"),
-        *[occurrences(F.col("_terms"), term).alias(f"_tf{i}") for i, term in enumerate(terms)],
-    ).write.parquet(path)
-    docs = spark.read.parquet(path).where(F.col("_length") > 0)
-
-    stats = docs.agg(
-        F.struct(
-            F.count("*").alias("docs"),
-            F.avg("_length").alias("length"),
-            *[F.count_if(F.col(f"_tf{i}") > 0).alias(f"df{i}") for i in range(len(terms))],
-        ).alias("stats")
+    # The row without a term stands for the document itself.
+    with_itself = F.concat(F.array(F.lit(None).cast("string")), "_terms")
+    (
+        df.select(doc_id, terms_of_row.alias("_terms"))
+        .select(doc_id, F.size("_terms").alias("_length"), F.explode(with_itself).alias("term"))
+        .join(F.broadcast(wanted), "term", "left")
+        .where(F.col("term").isNull() | F.col("_wanted"))
+        .groupBy(doc_id, "_length", "term").agg(F.count("*").alias("_tf"))
+        .write.parquet(path)
+    )
+    found = spark.read.parquet(path).where(F.col("_length") > 0)
+    hits = found.where(F.col("term").isNotNull())
+    stats = found.where(F.col("term").isNull()).agg(
+        F.struct(F.count("*").alias("docs"), F.avg("_length").alias("length"))
     ).scalar()
+    having = hits.groupBy("term").agg(F.count("*").alias("_having"))
 
+    idf = F.log1p((F.col("_stats")["docs"] - F.col("_having") + 0.5) / (F.col("_having") + 0.5))
     norm = BM25_K1 * (1 - BM25_B + BM25_B * F.col("_length") / F.col("_stats")["length"])
-    parts = []
-    for i in range(len(terms)):
-        having = F.col("_stats")[f"df{i}"]
-        idf = F.log1p((F.col("_stats")["docs"] - having + 0.5) / (having + 0.5))
-        parts.append(idf * F.col(f"_tf{i}") / (F.col(f"_tf{i}") + norm))
-    hit = reduce(or_, [F.col(f"_tf{i}") > 0 for i in range(len(terms))])
+    part = F.struct("term", (idf * F.col("_tf") / (F.col("_tf") + norm)).alias("part"))
+    # Summed up in the order of the terms, so that equal documents have equal scores.
+    parts = F.array_sort(F.collect_list(part))
     return (
-        docs.where(hit)
+        hits.join(F.broadcast(having), "term")
         .withColumn("_stats", stats)
-        .select(doc_id, reduce(add, parts).alias("score"))
+        .groupBy(doc_id).agg(F.aggregate(parts, F.lit(0.0), lambda total, x: total + x["part"]).alias("score"))
         .orderBy(F.desc("score"), F.asc(doc_id))
         .limit(k)
     )

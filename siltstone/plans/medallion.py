@@ -176,12 +176,20 @@ def analysed_copy(index: DataFrame, text_fields: tuple[str, ...] = ANALYSED_FIEL
 
 
 def score_terms(
-    postings: DataFrame, dictionary: DataFrame, fields: list[Field] = POSTING_FIELDS, buckets: int | None = None
+    postings: DataFrame,
+    dictionary: DataFrame,
+    fields: list[Field] = POSTING_FIELDS,
+    buckets: int | None = None,
+    stored: bool = False,
 ) -> DataFrame:
-    """Points and class of every term of the postings: tags, then text fields, then dictionary."""
+    """Points and class of every term of the postings: tags, then text fields, then dictionary.
+
+    With ``stored`` the postings are an :func:`analysed_copy`; its term arrays are read instead of the texts.
+    """
     tag_field = fields[0].name
     terms = field_terms(postings, {
-        field.name: analyze_tags(field.name) if field.name == tag_field else analyze(field.name)
+        field.name: F.col(f"{field.name}_terms") if stored
+        else analyze_tags(field.name) if field.name == tag_field else analyze(field.name)
         for field in fields
     })
     return classify(weighted_points(terms, fields, tag_field, buckets), dictionary)

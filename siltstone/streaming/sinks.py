@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import replace
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,7 +17,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from siltstone.operators.counts import row_count
 from siltstone.operators.incremental import latest_per_key
-from siltstone.sources.tables import TableSpec, read_table
+from siltstone.sources.tables import TableSpec, read_files, read_table
 
 
 def _run(writer: DataStreamWriter, wait: bool) -> StreamingQuery:
@@ -102,11 +103,40 @@ def upsert_to_table(
 
 
 def read_keyed_table(spark: SparkSession, table: TableSpec, key: str) -> DataFrame:
-    """One row per key: the one of the newest batch that has the key."""
+    """One row per key: the one of the newest batch that has the key, from the last compaction on."""
     versions = read_table(spark, _with_columns(table, "batch"))
+    upto = _compacted_upto(spark, table)
+    if upto is not None:
+        compacted = read_files(spark, f"{table.base_path.rstrip('/')}/compacted/{upto}", table.file_format, table.schema)
+        versions = versions.where(F.col("batch") > upto).unionByName(compacted.withColumn("batch", F.lit(upto)))
     return latest_per_key(versions, key, ["batch"]).drop("batch")
 
 
+def compact_keyed_table(spark: SparkSession, table: TableSpec, key: str) -> None:
+    """Write the current rows down, so that reads cover one row per key and the batches since.
+
+    The copy counts once its number is in the log, which is written last: a run that dies before is
+    without effect. Batches keep their folders. They go on counting from the checkpoint beside the
+    table; whoever deletes that deletes the table with it.
+    """
+    newest = read_table(spark, _with_columns(table, "batch")).agg(F.max("batch")).first()[0]
+    upto = _compacted_upto(spark, table)
+    if newest is None or (upto is not None and upto >= newest):
+        return
+    base = table.base_path.rstrip("/")
+    read_keyed_table(spark, table, key).write.format(table.file_format).mode("overwrite").save(f"{base}/compacted/{newest}")
+    spark.range(newest, newest + 1).write.mode("append").parquet(f"{base}/compactions")
+
+
+def _compacted_upto(spark: SparkSession, table: TableSpec) -> int | None:
+    try:
+        return spark.read.schema("id long").parquet(f"{table.base_path.rstrip('/')}/compactions").agg(F.max("id")).first()[0]
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
 def _with_columns(table: TableSpec, *names: str) -> TableSpec:
     """The table with the columns a sink adds, where its schema is given."""
     if table.schema is None:

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from siltstone.functions.predicates import DROP_WORDS
 from siltstone.functions.text import ENGLISH_STOP_WORDS, VIETNAMESE_STOP_WORDS
-from siltstone.operators.scoring import POSTING_FIELDS
+from siltstone.operators.scoring import POSTING_FIELDS, POSTING_FIELDS_STRICT
 from siltstone.workload.queries import (
     ABSENT, LAST_SEEN, LAST_SEEN_PAGE, PAGE_SOURCE, RUN_LIMIT, SCORE_DIGITS, SCORED_FIELDS, SEARCH_TEXT,
 )
@@ -275,11 +275,15 @@ ORACLE: dict[str, str] = {
     "match_search": _SEARCH,
     "match_search_stored": _SEARCH,
     "weighted_points": f"SELECT term, points FROM ({_points(_FIELD_COUNTS, SCORED_FIELDS)})",
-    "weighted_points_buckets": f"SELECT term, points FROM ({_points(_FIELD_COUNTS, SCORED_FIELDS, 1000)})",
+    "weighted_points_buckets": f"SELECT term, points FROM ({_points(_FIELD_COUNTS, SCORED_FIELDS, 10000)})",
     "term_scoring": _SCORING,
     "tag_points": f"SELECT term, points FROM ({_SCORING}) WHERE class = 'TAG'",
     "other_points": f"SELECT term, points FROM ({_SCORING}) WHERE class = 'NOT_TAG'",
     "posting_scores": _classes(_points(_POSTING_COUNTS, POSTING_FIELDS)),
+    "posting_scores_stored": _classes(_points(_POSTING_COUNTS, POSTING_FIELDS)),
+    "posting_scores_strict": _classes(_points(_POSTING_COUNTS, POSTING_FIELDS_STRICT)),
+    "tag_points_table": _frequency_table(f"SELECT term, points AS n FROM ({_SCORING}) WHERE class = 'TAG'"),
+    "other_points_table": _frequency_table(f"SELECT term, points AS n FROM ({_SCORING}) WHERE class = 'NOT_TAG'"),
     "term_flags": f"""
         SELECT term, position(' ' IN term) = 0 AND strlen(term) <> length(term) AS single_non_ascii,
                list_has_any(string_split(term, ' '), [{_strings(DROP_WORDS)}]) AS drop_word,
@@ -320,6 +324,9 @@ ORACLE: dict[str, str] = {
     "stream_keyed_upsert": """
         SELECT user_id, event_id, event_type, value FROM events
         QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) = 1""",
+    "stream_keyed_compacted": """
+        SELECT user_id, event_id, event_type, value FROM events
+        QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) = 1""",
     "medallion_flow": _relative(f"SELECT tag AS term, count(*) AS n FROM ({_PAGE_TAGS}) GROUP BY tag"),
     "medallion_silver": _SILVER,
     "medallion_index": _SILVER,

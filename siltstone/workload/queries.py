@@ -328,7 +328,7 @@ def weighted_points(spark, sf_dir):
 
 
 def weighted_points_buckets(spark, sf_dir):
-    return scoring.weighted_points(scored_terms(spark, sf_dir), SCORED_FIELDS, buckets=1000)
+    return scoring.weighted_points(scored_terms(spark, sf_dir), SCORED_FIELDS, buckets=counts.TERM_BUCKETS)
 
 
 def term_scoring(spark, sf_dir):
@@ -429,6 +429,31 @@ def high_water_mark(spark, sf_dir):
     return incremental.high_water_mark(order_pages(spark, sf_dir), "id", ["page", "pos"])
 
 
+def _stored_scores(spark: SparkSession, sf_dir: str, fields: list[scoring.Field]) -> DataFrame:
+    """Scores from the term arrays of a written analysed copy."""
+    silver = pages(spark, sf_dir).select(extract_posting(F.col("html"), PAGE_SELECTORS).alias("posting"))
+    copy = TableSpec(scratch_path(spark, "analysed"))
+    write_table(medallion.analysed_copy(silver.select("posting.*")), copy)
+    scored = medallion.score_terms(read_table(spark, copy), dictionary(spark, sf_dir), fields, stored=True)
+    return scored.select("term", "points", "class")
+
+
+def posting_scores_stored(spark, sf_dir):
+    return _stored_scores(spark, sf_dir, scoring.POSTING_FIELDS)
+
+
+def posting_scores_strict(spark, sf_dir):
+    return _stored_scores(spark, sf_dir, scoring.POSTING_FIELDS_STRICT)
+
+
+def tag_points_table(spark, sf_dir):
+    return ranking.frequency_table(tag_points(spark, sf_dir).withColumnRenamed("points", "n"))
+
+
+def other_points_table(spark, sf_dir):
+    return ranking.frequency_table(other_points(spark, sf_dir).withColumnRenamed("points", "n"))
+
+
 def keyed_upsert(spark, sf_dir):
     events = table(spark, sf_dir, "events", "user_id", "event_id", "event_type", "value")
     early = F.col("event_type").isin("signup", "error", "click")
@@ -475,6 +500,14 @@ def stream_keyed_upsert(spark, sf_dir):
     return sinks.read_keyed_table(spark, index, "user_id")
 
 
+def stream_keyed_compacted(spark, sf_dir):
+    index = TableSpec(scratch_path(spark, "index"))
+    events = table_stream(spark, sf_dir, "events").select("user_id", "event_id", "event_type", "value")
+    sinks.upsert_to_table(events, index, "user_id", ["event_id"])
+    sinks.compact_keyed_table(spark, index, "user_id")
+    return sinks.read_keyed_table(spark, index, "user_id")
+
+
 def _run_lake(spark: SparkSession, sf_dir: str) -> tuple[medallion.Lakehouse, DataFrame]:
     lake = medallion.Lakehouse(scratch_path(spark, "lake"))
 
@@ -530,11 +563,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         tag_terms, term_count, term_count_min3, term_count_min10, term_buckets, term_top, word_frequency,
         word_frequency_stop, most_frequent, relative_weight, match_search,
         match_search_stored,
-        weighted_points, weighted_points_buckets, term_scoring, tag_points, other_points, posting_scores, term_flags,
+        weighted_points, weighted_points_buckets, term_scoring, tag_points, other_points, posting_scores,
+        posting_scores_stored, posting_scores_strict, tag_points_table, other_points_table, term_flags,
         terms_allowed, terms_dropped, dictionary_duplicates, dictionary_sorted,
         batch_concat, page_max, latest_limit, since_marker, since_marker_absent, new_rows, high_water_mark,
         keyed_upsert, analysed_copy,
-        stream_bronze, stream_tag_count, stream_row_count, stream_keyed_upsert,
+        stream_bronze, stream_tag_count, stream_row_count, stream_keyed_upsert, stream_keyed_compacted,
         medallion_flow, medallion_silver, medallion_index, integration_messages, table_rows,
     ]
 }

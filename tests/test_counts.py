@@ -56,3 +56,11 @@ def test_frequency_map(spark):
     for row in shards:
         merged.update(row["frequency"])
     assert dict(merged) == {**expected, "t0": 0}
+
+
+def test_top_terms_after_the_cut(spark):
+    rows = [(f"t{i:03}", n) for i, n in enumerate([1] * 50 + [2] * 20 + [3] * 5 + [900, 901, 5_000_000_000])]
+    df = spark.createDataFrame(rows, "term string, n bigint")
+    ordered = sorted(rows, key=lambda r: (-r[1], r[0]))
+    for k in (1, 2, 3, 4, 8, 9, 28, 29, 60, 78, 100):
+        assert [tuple(r) for r in counts.top_terms(df, k).collect()] == ordered[:k]

@@ -35,6 +35,17 @@ def test_match_search(spark):
         assert all(abs(row["score"] - score) < 1e-9 for row, (_, score) in zip(got, expected))
 
 
+def test_long_query(spark):
+    rng = random.Random(12)
+    words = [f"w{i}" for i in range(5000)]
+    rows = [(i, " ".join(rng.choice(words) for _ in range(20))) for i in range(60)]
+    got = match_search(spark.createDataFrame(rows, "id int, t string"), "id", "t", " ".join(words), text.tokenize, 60).collect()
+    expected = dict(brute_force({i: t.split() for i, t in rows}, set(words), 60))
+    assert {row["id"] for row in got} == set(expected)
+    assert all(abs(row["score"] - expected[row["id"]]) < 1e-9 for row in got)
+    assert [row["score"] for row in got] == sorted((row["score"] for row in got), reverse=True)
+
+
 def test_no_match(spark):
     df = spark.createDataFrame([(1, "java sql")], "id int, t string")
     assert match_search(df, "id", "t", "kotlin").collect() == []

@@ -72,6 +72,26 @@ def test_upsert_replaces_by_key(spark, path, source):
     assert run() == {(1, "c"), (2, "0"), (3, "x")}
 
 
+def test_compaction_keeps_the_rows(spark, path, source):
+    table, add = source
+    out = TableSpec(f"{path}/out", schema=table.schema)
+
+    def run(compact):
+        sinks.upsert_to_table(read_table_stream(spark, table), out, "id", ["v"])
+        if compact:
+            sinks.compact_keyed_table(spark, out, "id")
+        rows = sinks.read_keyed_table(spark, out, "id")
+        return {tuple(row)[:2] for row in rows.collect()}
+
+    add((1, "a", []), (2, "a", []))
+    assert run(True) == {(1, "a"), (2, "a")}
+    add((2, "0", []), (3, "x", []))
+    assert run(False) == {(1, "a"), (2, "0"), (3, "x")}
+    assert run(True) == run(True) == {(1, "a"), (2, "0"), (3, "x")}
+    add((1, "z", []))
+    assert run(False) == {(1, "z"), (2, "0"), (3, "x")}
+
+
 @pytest.mark.parametrize("sink", ["upsert", "complete"])
 def test_replayed_batch_overwrites_itself(spark, path, monkeypatch, sink):
     out = TableSpec(f"{path}/out")
