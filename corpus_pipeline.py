@@ -23,13 +23,26 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates the document with the smallest id stays, once."""
-    # Ids to drop: few numbers, sent to all tasks only if they were counted to be few.
-    out = near_duplicates(docs).filter("doc_id <> component_id or (doc_id is null and component_id is not null)")
-    out = written(out.select(F.col("doc_id").alias("gone_id")).distinct(), "gone")
-    count = out.count()
-    kept = docs.join(checked_broadcast(out, count), F.col("doc_id").cast("long").eqNullSafe(F.col("gone_id")), "left_anti") if count else docs
-    return kept
+    """Of each group of near duplicates the document with the smallest id stays, once; one without id only if none has one."""
+    # A document is an id (or none) and a text: its hash stands for the id, so rows without id are told apart.
+    node = F.xxhash64(F.col("doc_id").cast("long"), "text")
+    found = near_duplicates(docs.select(node.alias("doc_id"), "text")).filter("n_shingles > 0")
+    found = found.groupBy(F.col("doc_id").alias("node")).agg(F.min("component_id").alias("component"), F.count("*").alias("copies"))
+    ids = docs.select(node.alias("node"), F.col("doc_id").cast("long").alias("id")).distinct()
+    found = written(found.join(ids, "node"), "found")
+    stay = found.groupBy("component").agg(F.min(F.struct(F.col("id").isNull().alias("lost"), "id", "node")).alias("least"))
+    stay = written(stay.select(F.col("least.node").alias("node")), "stay")
+    # Numbers of documents to drop, and of those to keep once: sent to all tasks only if they were counted to be few.
+    gone = written(found.join(stay, "node", "left_anti").select(F.col("node").alias("gone_node")), "gone")
+    again = written(found.filter("copies > 1").join(stay, "node", "left_semi").select(F.col("node").alias("gone_node")), "again")
+    n_gone, n_again = gone.count(), again.count()
+    kept = docs.join(checked_broadcast(gone, n_gone), node == F.col("gone_node"), "left_anti") if n_gone else docs
+    if not n_again:
+        return kept
+    again = checked_broadcast(again, n_again)
+    row = F.struct(*docs.columns)
+    one = kept.join(again, node == F.col("gone_node"), "left_semi").groupBy(node.alias("node")).agg(F.min_by(row, F.to_json(row)).alias("row"))
+    return kept.join(again, node == F.col("gone_node"), "left_anti").union(one.select("row.*"))
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -337,3 +337,25 @@ def test_pipeline(spark, documents, nothing, path):
     docs = spark.read.parquet(f"{path}/full/documents.parquet")
     for _, stage in corpus_pipeline.STAGES[:-1]:
         assert stage(spark, docs, f"{path}/full").columns == frame.columns
+
+
+def test_near_copies_without_ids(spark):
+    rng = random.Random(11)
+    a, b, c, d, e, f = (prose(80, rng) for _ in range(6))
+    near = lambda text: text + " and more"
+    rows = [
+        (1, a), (None, near(a)),  # the one with an id stays
+        (None, b),  # no copies: stays
+        (None, c), (None, near(c)), (None, c),  # one of three stays
+        (5, d), (5, d), (6, near(d)),  # the repeated row stays once
+        (7, e), (7, f),  # one id, two texts
+        (None, None), (None, ""), (9, ""), (9, ""),  # nothing to compare
+    ]
+    docs = spark.createDataFrame([(i, t, "en", "s", None) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    out = corpus_pipeline.ngram_jaccard_join(spark, docs.repartition(3), "")
+    assert out.columns == docs.columns
+    left = [(r["doc_id"], r["text"]) for r in out.collect()]
+    among = [x for x in left if x[1] in (c, near(c))]
+    assert len(among) == 1 and among[0][0] is None
+    rest = [(1, a), (None, b), (5, d), (7, e), (7, f), (None, None), (None, ""), (9, ""), (9, "")]
+    assert sorted((x for x in left if x not in among), key=repr) == sorted(rest, key=repr)
