@@ -30,7 +30,7 @@ def op2_site_style_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The texts that are left, and what was removed from them."""
-    return without_repeated_spans(_table(spark, sf_dir, "documents"))
+    return without_repeated_spans(_table(spark, sf_dir, "documents"), backward=True)
 
 
 def op4_run_length_index(spark: SparkSession, sf_dir: str) -> DataFrame:

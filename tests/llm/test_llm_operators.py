@@ -359,3 +359,28 @@ def test_near_copies_without_ids(spark):
     assert len(among) == 1 and among[0][0] is None
     rest = [(1, a), (None, b), (5, d), (7, e), (7, f), (None, None), (None, ""), (9, ""), (9, "")]
     assert sorted((x for x in left if x not in among), key=repr) == sorted(rest, key=repr)
+
+
+def test_every_repeated_run_of_sentences_goes(spark):
+    rng = random.Random(13)
+    sentence = lambda n: " ".join(rng.choice(VOCABULARY) for _ in range(n)) + "."
+    passages = [[sentence(n) for n in sizes] for sizes in ((30, 30, 8, 8), (45, 8), (8, 45), (6, 6, 6, 1), (9, 12, 1, 1), (3,) * 12, (50,), (19,))]
+    texts = [" ".join(p) for p in passages] * 2
+    texts += [" ".join([sentence(7), *p, sentence(5), *passages[i - 1][:2]]) for i, p in enumerate(passages)]
+    short = [sentence(rng.randint(1, 12)) for _ in range(5)]
+    texts += [" ".join(rng.choice(short) for _ in range(30)) for _ in range(4)]
+    seen, expected = set(), []
+    for text in texts:
+        cut = [tuple(s.split()) for s in re.split(r"(?<=[.])(?= )", text)]
+        gone = set()
+        for a in range(len(cut)):
+            for b in range(a + 1, len(cut) + 1):
+                if b - a >= 2 and sum(map(len, cut[a:b])) >= 20 or b - a == 1 and len(cut[a]) >= 40:
+                    if tuple(cut[a:b]) in seen:
+                        gone.update(range(a, b))
+                    seen.add(tuple(cut[a:b]))
+        expected.append((len(cut), len(gone)))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    got = by_id(sentences.without_repeated_spans(df, backward=True))
+    assert [(got[i]["n_sentences"], got[i]["n_removed"]) for i in range(len(texts))] == expected
+    assert got[8]["text"] == got[9]["text"] == "" and got[15]["text"] == texts[15]
