@@ -1,9 +1,10 @@
 """Secret scans with character Markov models, with DataFrame operations only.
 
 Base patterns find assignments to telling names, access keys and hexadecimal runs. Further candidates are
-maximal runs of at least ``LEAST_RUN`` characters of ``[A-Za-z0-9+/_=-]``. Those under a base match are
-labelled samples of random strings, the others of ordinary identifiers: their character pairs, counted over
-all distinct candidates of the corpus, train two first-order models. A candidate that no base match touches is a secret if
+maximal runs of at least ``LEAST_RUN`` characters of ``[A-Za-z0-9+/_=-]``. A base match may cover only a part of one:
+the parts under base matches are labelled samples of random strings, the parts outside, if they have ``LEAST_RUN``
+characters again, of ordinary identifiers: their character pairs, counted over
+all distinct samples of the corpus, train two first-order models. A part outside base matches is a secret if
 its log-likelihood ratio is at least ``LEAST_RATIO``, and ``LEAST_MEAN`` for each pair.
 
 Places come without a position function: the pieces between matches and the matches themselves are
@@ -47,8 +48,32 @@ def _measured(kind: int):
         F.lit(kind).alias("kind"), i.alias("no"), F.char_length(x["gap"]).alias("gap"), F.char_length(x["match"]).alias("size"), x["value"].alias("value"))
 
 
+def _parts(placed: DataFrame) -> DataFrame:
+    """doc_id, digest, start, end, value, touched: the parts of candidates under base matches, and those outside that are long enough."""
+    base = F.col("kind") < len(KINDS) - 1
+    # One sweep over the ends of a document's spans: how many base matches and candidates are open from each to the next.
+    edge = lambda at, step: F.struct(F.col(at).alias("at"), F.when(base, step).otherwise(0).alias("base"), F.when(base, 0).otherwise(step).alias("run"))
+    edges = placed.select("doc_id", "digest", F.explode(F.array(edge("start", 1), edge("end", -1))).alias("e")).select("doc_id", "digest", "e.*")
+    order = Window.partitionBy("doc_id", "digest").orderBy("at")
+    past = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    pieces = edges.select(
+        "doc_id", "digest", F.col("at").alias("start"), F.lead("at").over(order).alias("end"), (F.sum("base").over(past) > 0).alias("touched"),
+        F.sum("run").over(past).alias("open"), F.max(F.when(F.col("run") > 0, F.col("at"))).over(past).alias("first")).filter("open > 0 and start < end")
+    order = Window.partitionBy("doc_id", "digest").orderBy("start")
+    new = F.coalesce((F.lag("first").over(order) != F.col("first")) | (F.lag("touched").over(order) != F.col("touched")), F.lit(True))
+    pieces = pieces.withColumn("new", new.cast("int")).withColumn("part", F.sum("new").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    pieces = pieces.groupBy("doc_id", "digest", "first", "part", "touched").agg(F.min("start").alias("start"), F.max("end").alias("end"))
+    both = pieces.select("doc_id", "digest", "first", F.struct("start", "end", "touched").alias("own"), F.lit(None).cast("string").alias("value")).unionByName(
+        placed.filter(~base).select("doc_id", "digest", F.col("start").alias("first"), "value"), allowMissingColumns=True)
+    whole = both.groupBy("doc_id", "digest", "first").agg(F.collect_list("own").alias("own"), F.max("value").alias("value"))
+    out = whole.select("doc_id", "digest", "first", "value", F.explode("own").alias("own")).select("doc_id", "digest", "first", "value", "own.*")
+    size = (F.col("end") - F.col("start")).cast("int")
+    out = out.withColumn("value", F.substr("value", (F.col("start") - F.col("first") + 1).cast("int"), size))
+    return out.filter((F.col("touched") & (size > 1)) | (size >= LEAST_RUN)).select("doc_id", "digest", "start", "end", "value", "touched")
+
+
 def found_spans(documents: DataFrame) -> DataFrame:
-    """doc_id, digest, kind (its number), start, end, value of all base matches and candidates, and whether a candidate touches a base match."""
+    """doc_id, digest, kind (its number), start, end, value of all base matches and parts of candidates, and whether a part is under a base match."""
     rows = _keyed(documents).select(F.col("own_id").alias("doc_id"), "digest", "text").filter("text <> ''")
     kinds = []
     for number, pattern in enumerate(PATTERNS):
@@ -65,13 +90,10 @@ def found_spans(documents: DataFrame) -> DataFrame:
     before = Window.partitionBy("doc_id", "digest", "kind").orderBy("no")
     placed = own.withColumn("end", F.sum(F.col("gap") + F.col("size")).over(before)).withColumn("start", F.col("end") - F.col("size"))
     placed = placed.filter((F.col("kind") > 0) | (F.char_length("value") >= LEAST_VALUE))
-    base = F.col("kind") < len(KINDS) - 1
-    order = Window.partitionBy("doc_id", "digest").orderBy("start")
-    reach = F.max(F.when(base, F.col("end"))).over(order.rangeBetween(Window.unboundedPreceding, Window.currentRow))
-    ahead = F.min(F.when(base, F.col("start"))).over(order.rangeBetween(Window.currentRow, Window.unboundedFollowing))
-    touched = F.coalesce(reach > F.col("start"), F.lit(False)) | F.coalesce(ahead < F.col("end"), F.lit(False))
-    placed = placed.withColumn("touched", touched)
-    return placed.select("doc_id", "digest", "kind", "start", "end", F.when(~base, F.col("value")).alias("value"), "touched")
+    placed = written(placed.select("doc_id", "digest", "kind", "start", "end", "value"), "matches")
+    markov = len(KINDS) - 1
+    base = placed.filter(F.col("kind") < markov).withColumn("value", F.lit(None).cast("string")).withColumn("touched", F.lit(True))
+    return base.unionByName(_parts(placed).withColumn("kind", F.lit(markov)))
 
 
 def ratios(spans: DataFrame) -> list[float]:
