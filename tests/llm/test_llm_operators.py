@@ -402,3 +402,17 @@ def test_secrets_beside_base_matches(spark):
     assert got[902]["spans"] == "markov:0:33,access:33:53,markov:53:94" and got[903]["spans"] == "hex:0:20"
     assert "markov" not in got[904]["spans"] and all("markov" not in got[i]["spans"] for i in range(200))
     assert not any(x in r["text"] for r in secrets.redacted(df).collect() for x in (one, two, three)) and texts[900]["text"].endswith(" end")
+
+
+def test_article_text_that_repeats_in_few_pages_stays(spark):
+    rng = random.Random(3)
+    cells = [rng.choice(["Yes", "No"]) for _ in range(26)]
+    table = "<table>" + "".join(f"<tr><td>{c}</td></tr>" for c in cells) + "</table>"
+    rows = [(1, "http://one.x/a", f"<div><p>{prose(30, rng)}</p>{table}</div>")] * 9
+    heads = ["Method", "Results", "Summary", "Sources", "History"]
+    for i in range(300):  # a large host: five sub-headings take turns, a shop line is on all pages, beside other shapes
+        body = "".join(f"<{t}>{prose(8, rng)}</{t}>" for t in rng.choices(["p", "ul", "h3"], k=4))
+        rows.append((100 + i, "http://two.x/a", f"<div><section>our shop</section><h2>{heads[i % 5]}</h2>{body}</div>"))
+    got = {r["page_id"]: r["text"] for r in style_tree.main_texts(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got[1].split("\n")[1:] == cells
+    assert all(heads[i % 5] in got[100 + i].split("\n") and "our shop" not in got[100 + i] for i in range(300))
