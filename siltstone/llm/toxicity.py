@@ -3,12 +3,20 @@
 Learning. Of the labelled rows whose crc32(id as text) mod 4 is not 2, at most about ``TRAIN_ROWS`` are
 taken (by a hash of the id). Words, and word beginnings of ``PREFIXES`` characters, that are in at least
 ``SUPPORT`` toxic ones and much more often there than in the others make the lexicon: at most
-``LEXICON`` terms, with the logarithm of that ratio as weight.
+``LEXICON`` terms, and the words found among them that one of their beginnings covers, with the logarithm of
+that ratio as weight.
 
 Matching. The lexicon is a trie. The Levenshtein automaton of distance 1 (0 for terms under ``SHORT``
-letters, and for word beginnings) is intersected with it: a state is a set of (trie node, edits so far).
+letters) is intersected with it: a state is a set of (trie node, edits so far). A word beginning may hold its
+edit before its last letter, which must be there: else any word with the letters before would do.
 The sets that can be reached are numbered, which gives one table from state and byte to state. All
-words of a block of texts run through the table side by side until they fail.
+words of a block of texts run through the table side by side until they fail; a word's match is that with the
+fewest edits, then the greatest weight.
+
+Misspellings. Ordinary words lie one edit from terms too. A word that several clean training rows hold is no
+misspelling. The others give each term a second weight for its misspelled matches: the same ratio, counted over
+the training rows' misspelled matches, beginning from the term's own weight; they count if it is as great as a
+term's must be.
 
 Context. Every hit looks at the ``WINDOW`` words on each side. One between quotation marks, or near a word
 that reports speech, counts as quoted, another as abuse. A document's features are its abusive, quoted
@@ -24,7 +32,7 @@ from __future__ import annotations
 
 import math
 import re
-from collections import Counter
+from collections import Counter, deque
 
 import numpy as np
 import pyarrow as pa
@@ -39,6 +47,8 @@ SUPPORT, RATIO = 5, 8.0
 LEXICON = 300
 PREFIXES = (5, 6, 7)
 SHORT = 5
+#: Clean training rows that hold an ordinary word.
+ORDINARY = 2
 WINDOW = 8
 THRESHOLD = 0.3
 #: Words that report what somebody else said.
@@ -72,12 +82,17 @@ def lexicon(rows: DataFrame, toxic: int, clean: int) -> dict[str, float]:
     best = best.orderBy(gain.desc(), F.length("term"), "term").limit(4 * LEXICON).collect()
     out: dict[str, float] = {}
     rows: dict[str, int] = {}
+    beside = 0  # words that a beginning covers: they are there for their misspellings, and take no other term's place
     for r in best:
         term, whole = r["term"], r["term"].rstrip("*")
         covered = any(f"{whole[:n]}*" in out for n in range(1, len(whole) + (term == whole)))
+        if covered and term == whole:
+            out[term] = r["weight"]
+            beside += 1
+            continue
         # A beginning adds nothing to a word that makes up most of it, and a word can be matched misspelled.
         mostly = term != whole and any(w.startswith(whole) and n >= 0.7 * r["toxic"] for w, n in rows.items())
-        if len(out) < LEXICON and not covered and not mostly:
+        if len(out) - beside < LEXICON and not covered and not mostly:
             out[term] = r["weight"]
             rows[term] = r["toxic"]
     return out
@@ -91,6 +106,8 @@ class Automaton:
         accept: list[list[tuple[int, bool, bool]]] = [[]]  # (term, beginning, may be misspelled)
         bends = [False]
         self.weights = np.array([*terms.values(), 0.0])
+        #: Weights of misspelled matches, and words that are none.
+        self.bent, self.known = self.weights.copy(), frozenset()
         for t, term in enumerate(terms):
             node = 0
             path = [0]
@@ -102,7 +119,7 @@ class Automaton:
                     bends.append(False)
                 node = children[node][byte]
                 path.append(node)
-            bend = not term.endswith("*") and len(term) >= SHORT
+            bend = len(term.rstrip("*")) >= SHORT
             accept[node].append((t, term.endswith("*"), bend))
             if bend:
                 for p in path:
@@ -114,6 +131,9 @@ class Automaton:
             if 97 <= b <= 122:
                 self.symbol[b - 32] = k + 1
 
+        # (node, 2) beside (node, 1): the last letter was there, as the end of a misspelled beginning needs.
+        bent = [any(start and bend for _, start, bend in a) for a in accept]
+
         def closure(state):
             out = set(state)
             for node, edits in state:
@@ -124,68 +144,102 @@ class Automaton:
         def step(state, byte):
             out = set()
             for node, edits in state:
-                if byte in children[node]:
-                    out.add((children[node][byte], edits))
+                if edits < 2 and byte in children[node]:
+                    child = children[node][byte]
+                    out.add((child, edits))
+                    if edits == 1 and bent[child]:
+                        out.add((child, 2))
                 if edits == 0 and bends[node]:
                     out.add((node, 1))
                     out.update((c, 1) for c in children[node].values() if bends[c])
-            return closure(out)
+            # Paths with an edit go on only in terms that may have one.
+            return closure({(node, edits) for node, edits in out if edits == 0 or bends[node]})
 
         def meaning(state):
-            best = (-1, 2)
-            for node, edits in state:
-                for t, _, bend in accept[node]:
-                    if edits == 0 or bend:
-                        best = min(best, (t, edits), key=lambda x: (x[1], -self.weights[x[0]])) if best[0] >= 0 else (t, edits)
-            return best
+            found = [(edits, -self.weights[t], t) for node, edits in state for t, start, bend in accept[node] if not start and edits < 2 and (edits == 0 or bend)]
+            return min(found, default=(2, 0, -1))[::2]
 
         def begun(state):
-            return max((t for node, edits in state if edits == 0 for t, start, _ in accept[node] if start), default=-1)
+            found = [(edits // 2, -self.weights[t], t) for node, edits in state for t, start, bend in accept[node] if start and (edits == 0 or (edits == 2 and bend))]
+            return min(found, default=(2, 0, -1))[::2]
 
         # Beginnings stay matched whatever follows: they are kept beside the state of the walk.
-        first = closure({(0, 0)})
-        number, todo, table = {frozenset(): 0, first: 1}, [first], [[0] * (len(symbols) + 1)]
-        self.term, self.edits, self.begins = [-1], [2], [-1]
+        first = closure([(0, 0)])
+        number, todo, table = {frozenset(): 0, first: 1}, deque([first]), [[0] * (len(symbols) + 1)]
+        place = {b: k + 1 for k, b in enumerate(symbols)}
+        self.edits, self.term, self.begin_edits, self.begins = [2], [-1], [2], [-1]
+
+        def numbered(state):
+            if state not in number:
+                number[state] = len(number)
+                todo.append(state)
+            return number[state]
+
         while todo:
-            state = todo.pop(0)
-            row = []
-            for byte in [None, *symbols]:
-                following = step(state, byte)
-                if following not in number:
-                    number[following] = len(number)
-                    todo.append(following)
-                row.append(number[following])
+            state = todo.popleft()
+            row = [numbered(step(state, None))] * (len(symbols) + 1)
+            for byte in sorted({b for node, edits in state if edits < 2 for b in children[node]}):
+                row[place[byte]] = numbered(step(state, byte))
             table.append(row)
-            t, e = meaning(state)
-            self.term.append(t)
-            self.edits.append(e)
-            self.begins.append(begun(state))
+            for (edits, term), kept in ((meaning(state), (self.edits, self.term)), (begun(state), (self.begin_edits, self.begins))):
+                kept[0].append(edits)
+                kept[1].append(term)
         self.table = np.array(table, np.int32)
-        self.term, self.edits, self.begins = (np.array(x, np.int64) for x in (self.term, self.edits, self.begins))
+        self.term, self.edits, self.begins, self.begin_edits = (np.array(x, np.int64) for x in (self.term, self.edits, self.begins, self.begin_edits))
 
     def match(self, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Index of each word that matches, its term and its edits."""
         word, place, state = np.arange(len(start)), start.copy(), np.ones(len(start), np.int32)
-        begun = np.full(len(start), -1)
-        found = []
+        best, best_edits = np.full(len(start), -1), np.full(len(start), 2)
+
+        def better(at, term, edits):
+            new = (term >= 0) & ((edits < best_edits[at]) | ((edits == best_edits[at]) & (self.weights[term] > self.weights[best[at]])))
+            best[at[new]], best_edits[at[new]] = term[new], edits[new]
+
         while len(word):
             over = place >= end[word]
             if over.any():
-                term, edits = self.term[state[over]], self.edits[state[over]]
-                hit = (term >= 0) & (begun[word[over]] < 0)
-                found.append((word[over][hit], term[hit], edits[hit]))
+                better(word[over], self.term[state[over]], self.edits[state[over]])
                 word, place, state = word[~over], place[~over], state[~over]
             state = self.table[state, self.symbol[data[place]]]
             place = place + 1
-            begins = self.begins[state]
-            begun[word[begins >= 0]] = begins[begins >= 0]
+            begins = self.begins[state] >= 0
+            if begins.any():
+                better(word[begins], self.begins[state[begins]], self.begin_edits[state[begins]])
             alive = state > 0
             word, place, state = word[alive], place[alive], state[alive]
-        starts = np.flatnonzero(begun >= 0)
-        found.append((starts, begun[starts], np.zeros(len(starts), np.int64)))
-        word, term, edits = (np.concatenate(x) for x in zip(*found))
-        order = np.argsort(word, kind="stable")
-        return word[order], term[order], edits[order]
+        hit = np.flatnonzero(best >= 0)
+        if self.known:
+            hit = hit[[best_edits[k] == 0 or data[start[k]:end[k]].tobytes().lower() not in self.known for k in hit]]
+        return hit, best[hit], best_edits[hit]
+
+    def learn(self, found: list[tuple[bytes, int, int, int]], toxic: int, clean: int) -> None:
+        """Weigh misspelled matches from (word, term, toxic rows, clean rows) of training rows."""
+        self.known = frozenset(w for w, _, _, c in found if c >= ORDINARY)
+        counts = np.zeros((2, len(self.weights)))
+        for w, t, *n in found:
+            if w not in self.known:
+                counts[:, t] += n
+        # Without matches the weight is the term's own.
+        start = 0.5 * np.exp(self.weights) * (toxic + 1) / (clean + 1)
+        self.bent = np.minimum(self.weights, np.log((counts[0] + start) / (toxic + 1)) - np.log((counts[1] + 0.5) / (clean + 1)))
+
+
+def _misspelled(automaton: Automaton):
+    def run(batches):
+        schema = pa.schema([("word", pa.binary()), ("term", pa.int64()), ("toxic", pa.int64()), ("clean", pa.int64())])
+        for b in batches:
+            counts = Counter(), Counter()
+            for text, label in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                own = [w.encode() for w in dict.fromkeys(_WORD.findall((text or "").lower()))]
+                size = np.array([len(w) for w in own], np.int64)
+                start = np.cumsum(size) - size
+                hit, term, edits = automaton.match(np.frombuffer(b"".join(own), np.uint8), start, start + size)
+                counts[label].update((own[h], t) for h, t, e in zip(hit.tolist(), term.tolist(), edits.tolist()) if e)
+            both = sorted(counts[0] | counts[1])
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*((w, t, counts[1][w, t], counts[0][w, t]) for w, t in both)) if both else [[]] * 4, schema)], schema=schema)
+
+    return run
 
 
 def features(column: pa.Array, automaton: Automaton) -> np.ndarray:
@@ -205,6 +259,8 @@ def features(column: pa.Array, automaton: Automaton) -> np.ndarray:
             continue
         begin, finish = solid[low], solid[high - 1] + 1
         hit, term, edits = automaton.match(mine, begin, finish)
+        some = (edits == 0) | (automaton.bent[term] >= math.log(RATIO))
+        hit, term, edits = hit[some], term[some], edits[some]
         if not len(hit):
             continue
         row = rows[hit]
@@ -217,7 +273,7 @@ def features(column: pa.Array, automaton: Automaton) -> np.ndarray:
         for k in np.flatnonzero(~quoted):
             near = range(left[k], right[k] + 1)
             quoted[k] = any(mine[begin[j]:finish[j]].tobytes().lower() in reports for j in near if finish[j] - begin[j] <= 6)
-        weight = automaton.weights[term]
+        weight = np.where(edits == 0, automaton.weights[term], automaton.bent[term])
         count = lambda x: np.bincount(row, x, stop - first)  # noqa: B023, E731
         plain, exact = ~quoted, edits == 0
         part = out[first:stop]
@@ -265,6 +321,9 @@ def train(documents: DataFrame, labels: DataFrame):
     if len(counts) < 2:
         return None
     automaton = Automaton(lexicon(rows, counts[1], counts[0]))
+    found = rows.select("text", "toxic").mapInArrow(_misspelled(automaton), "word binary, term long, toxic long, clean long")
+    found = found.groupBy("word", "term").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")).collect()  # of about TRAIN_ROWS rows
+    automaton.learn([(bytes(r["word"]), r["term"], r["toxic"], r["clean"]) for r in found], counts[1], counts[0])
 
     def run(batches):
         schema = pa.schema([("doc_id", pa.int64()), ("toxic", pa.int32()), ("x", pa.list_(pa.float64()))])

@@ -416,3 +416,31 @@ def test_article_text_that_repeats_in_few_pages_stays(spark):
     got = {r["page_id"]: r["text"] for r in style_tree.main_texts(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
     assert got[1].split("\n")[1:] == cells
     assert all(heads[i % 5] in got[100 + i].split("\n") and "our shop" not in got[100 + i] for i in range(300))
+
+
+def test_misspelled_beginnings(spark):
+    automaton = toxicity.Automaton({"idiot*": 2.0, "idiotic": 3.0, "scum*": 1.0})
+    words = ["idiots", "idlots", "diotas", "idiiotx", "idio", "idiox", "idiotix", "scun", "scumx", "sxumx"]
+    data = np.frombuffer(" ".join(words).encode(), np.uint8)
+    start = np.cumsum([0, *(len(w) + 1 for w in words)])[:-1]
+    hit, term, edits = automaton.match(data, start, start + [len(w) for w in words])
+    assert {words[h]: (t, e) for h, t, e in zip(hit, term, edits)} == {
+        "idiots": (0, 0), "idlots": (0, 1), "diotas": (0, 1), "idiiotx": (0, 1), "idiotix": (0, 0), "scumx": (2, 0)}
+    rng = random.Random(4)
+    ends = ["".join(rng.choice("aeiou") + rng.choice("klmnr") for _ in range(3)) for _ in range(300)]
+    rows = []
+    for i in range(1200):
+        text = prose(rng.randint(20, 60), rng).split(" ")
+        toxic = i % 5 == 0
+        if toxic:  # every word of the stem is found once: it is learned as a beginning, and its misspellings are none of the others
+            text[rng.randrange(len(text))] = "zwerpf" + ends[i // 5]
+        elif i % 5 < 3:  # an ordinary word one edit from the stem
+            text.append("zwerfan")
+        rows.append((i, " ".join(text), int(toxic)))
+    held = [i for i in range(2000, 2400) if zlib.crc32(str(i).encode()) % 4 == 2]
+    rows += [(i, prose(40, rng) + " " + rng.choice(["zwxrpf", "zwrpf", "zwerxpf", "xwerpf"]) + ends[250 + i % 50], 1) for i in held[::2]]
+    rows += [(i, prose(40, rng) + " zwerfan", 0) for i in held[1::2]]
+    texts = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id long, toxic int")
+    got = by_id(toxicity.toxicity(texts, labels))
+    assert len(held) > 50 and all(got[i]["held_out"] and got[i]["predicted"] == label for i, _, label in rows if i in set(held))
