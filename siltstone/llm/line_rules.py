@@ -6,16 +6,18 @@ which two hashes are equal sorts them, and adds up the places under windows foun
 Line rule. A line is normalised (lower case, digits as 0, other than letters and digits as one space)
 and hashed. Lines are counted in distinct texts per host (the source of a document; copies of one text
 count once). A line in more than ``MOST`` distinct texts, and in more than ``MOST_SHARE`` of the host's,
-is boilerplate: it is removed from the text it judges. A document whose words are then fewer than
+is boilerplate: it is removed. A document whose words are then fewer than
 ``LEAST_LEFT`` of before is depleted and rejected, like one that fails the base rules. (Short lines
-weigh little, so a document with some boilerplate stays.)
+weigh little, so a document with some boilerplate stays.) ``line_rules`` gives the numbers of the removed lines
+beside its verdict, and ``without_boilerplate`` the documents that are kept, without those lines.
 
 Scale. The hashes of the lines are made once and written. Lines are counted by (host, line, text digest) with map-side aggregation, then by (host, line):
 the result is small. Rows meet the boilerplate lines salted by ``SALTS``, so a line that every third
 document has is dealt to many tasks.
 
 Defined cases: a null or empty text has no words and fails. A null source is a host of its own. Rows are
-told apart by id and text; repeated rows get the same result each. Extra columns are ignored.
+told apart by id and text; repeated rows get the same result each. Extra columns are ignored, or kept by
+``without_boilerplate``.
 """
 
 from __future__ import annotations
@@ -64,16 +66,16 @@ def _normal(line):
 
 
 def _lines(documents: DataFrame) -> DataFrame:
-    """doc_id, host, digest, line (hash of the normalised line) and its characters without white space."""
+    """doc_id, host, digest, number and hash of the normalised line, and its characters without white space."""
     text = F.coalesce("text", F.lit(""))
-    rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("source", F.lit("")).alias("host"), F.xxhash64(text).alias("digest"), F.explode(F.split(text, "\n")).alias("raw"))
+    rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("source", F.lit("")).alias("host"), F.xxhash64(text).alias("digest"), F.posexplode(F.split(text, "\n")).alias("no", "raw"))
     chars = F.char_length(F.translate("raw", " \t\n\x0b\x0c\r", ""))
-    rows = rows.select("doc_id", "host", "digest", _normal(F.col("raw")).alias("normal"), chars.alias("chars"))
-    return rows.filter("normal <> ''").select("doc_id", "host", "digest", F.xxhash64("normal").alias("line"), "chars")
+    rows = rows.select("doc_id", "host", "digest", "no", _normal(F.col("raw")).alias("normal"), chars.alias("chars"))
+    return rows.filter("normal <> ''").select("doc_id", "host", "digest", "no", F.xxhash64("normal").alias("line"), "chars")
 
 
-def line_rules(documents: DataFrame) -> DataFrame:
-    """Per row of ``documents`` (doc_id, text, source): the base counts, base_failed, kept, and the share of words left."""
+def _judged(documents: DataFrame) -> DataFrame:
+    """What ``line_rules`` returns, with host and digest of every row."""
     base = _base(documents).withColumn("base_failed", (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEAT * F.col("n_words"))).drop("lines")
     lines = written(_lines(documents), "lines")
     texts = documents.select(F.coalesce("source", F.lit("")).alias("host"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("digest"))
@@ -82,17 +84,33 @@ def line_rules(documents: DataFrame) -> DataFrame:
     often = seen.join(hosts, "host").filter(F.col("n") > MOST_SHARE * F.col("texts")).select("host", "line")
     often = often.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     salted = lines.withColumn("salt", F.pmod(F.hash("doc_id", "digest"), F.lit(SALTS)))
-    gone = salted.join(often, ["host", "line", "salt"]).groupBy("doc_id", "host", "digest").agg(F.sum("chars").alias("gone"), F.count("*").alias("n_gone"))
-    gone = gone.withColumnsRenamed({"doc_id": "id", "host": "own_host", "digest": "own"})
-    rows = base.groupBy("doc_id", "host", "digest").agg(F.count("*").alias("copies"))
-    rows = rows.join(gone, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("digest") == F.col("own")) & (F.col("host") == F.col("own_host")))
-    rows = rows.select(F.col("id"), "own_host", "own", (F.col("gone") / F.col("copies")).alias("gone"))
-    joined = base.join(rows, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("digest") == F.col("own")) & (F.col("host") == F.col("own_host")), "left")
-    left = F.when(F.col("word_chars") > 0, 1 - F.coalesce("gone", F.lit(0.0)) / F.col("word_chars")).otherwise(0.0)
+    # A set of lines: repeated rows have the same.
+    gone = salted.join(often, ["host", "line", "salt"]).groupBy("doc_id", "host", "digest").agg(F.array_sort(F.collect_set(F.struct("no", "chars"))).alias("lines"))
+    gone = gone.select(F.col("doc_id").alias("id"), F.col("host").alias("own_host"), F.col("digest").alias("own"), F.col("lines.no").alias("removed"),
+                       F.aggregate("lines", F.lit(0).cast("long"), lambda n, x: n + x["chars"]).alias("gone"))
+    joined = base.join(gone, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("digest") == F.col("own")) & (F.col("host") == F.col("own_host")), "left")
+    left = F.when(F.col("word_chars") > 0, 1 - F.coalesce("gone", F.lit(0)) / F.col("word_chars")).otherwise(0.0)
     joined = joined.withColumn("share_left", F.round(left, 6))
     return joined.select(
-        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
-        (~F.col("base_failed") & (F.col("share_left") >= LEAST_LEFT)).alias("kept"), "share_left")
+        "host", "digest", "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
+        (~F.col("base_failed") & (F.col("share_left") >= LEAST_LEFT)).alias("kept"), "share_left", F.coalesce("removed", F.array().cast("array<int>")).alias("removed_lines"))
+
+
+def line_rules(documents: DataFrame) -> DataFrame:
+    """Per row of ``documents`` (doc_id, text, source): the base counts, base_failed, kept, the share of words left, and the numbers (from 0) of removed lines."""
+    return _judged(documents).drop("host", "digest")
+
+
+def without_boilerplate(documents: DataFrame) -> DataFrame:
+    """The kept rows of ``documents``, with all their columns, without the boilerplate lines in the text."""
+    changed = _judged(documents).filter(~F.col("kept") | (F.size("removed_lines") > 0))
+    changed = changed.select(F.struct("doc_id", "host", "digest").alias("changed_row"), "kept", "removed_lines").distinct()
+    changed = written(changed.withColumnsRenamed({"kept": "line_kept", "removed_lines": "line_gone"}), "changed")
+    text = F.coalesce("text", F.lit(""))
+    row = F.struct(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("source", F.lit("")).alias("host"), F.xxhash64(text).alias("digest"))
+    joined = documents.withColumn("line_row", row).join(changed, F.col("line_row").eqNullSafe(F.col("changed_row")), "left").filter(F.coalesce("line_kept", F.lit(True)))
+    left = F.array_join(F.filter(F.split("text", "\n"), lambda x, i: ~F.array_contains("line_gone", i)), "\n")
+    return joined.withColumn("text", F.when(F.size("line_gone") > 0, left).otherwise(F.col("text"))).select(*documents.columns)
 
 
 ORACLE = rf"""

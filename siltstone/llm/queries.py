@@ -42,7 +42,7 @@ def op5_hierarchical_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_rules(_table(spark, sf_dir, "documents"))
+    return line_rules(_table(spark, sf_dir, "documents")).drop("removed_lines")
 
 
 def op7_markov_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -444,3 +444,26 @@ def test_misspelled_beginnings(spark):
     labels = spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id long, toxic int")
     got = by_id(toxicity.toxicity(texts, labels))
     assert len(held) > 50 and all(got[i]["held_out"] and got[i]["predicted"] == label for i, _, label in rows if i in set(held))
+
+
+def test_boilerplate_lines_are_removed(spark, nothing):
+    rng = random.Random(6)
+    line = "The same line at the foot of every page of this site."
+    own = [prose(60, rng) for _ in range(60)]
+    rows = [(i, f"Home - {i % 10} News - About us\n{own[i]}\n\n{line} ", "s", i) for i in range(60)] + [(100 + i, f"{i} " + line, "s", 0) for i in range(40)]
+    rows += [rows[5], (None, rows[6][1], "s", 0), (200, own[0] + "\n" + line, "other", 0), (201, None, None, 0)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, more int").repartition(3)
+    last = lambda i: own[i].count("\n") + 3
+    got = line_rules.line_rules(df).collect()
+    assert len(got) == len(rows) and all(r["removed_lines"] == [0, last(r["doc_id"])] for r in got if r["doc_id"] in range(60))
+    out = line_rules.without_boilerplate(df)
+    assert out.columns == df.columns
+    left = sorted((tuple(r) for r in out.collect()), key=repr)
+    expected = [(i, own[i] + "\n", "s", i) for i in [*range(60), 5]] + [(None, own[6] + "\n", "s", 0), (200, own[0] + "\n" + line, "other", 0)]
+    assert [r for r in left if r[0] not in range(100, 140)] == sorted(expected, key=repr)
+    assert not any(r[0] in range(110, 140) for r in left)
+    for r in got:  # the share is that of the text that is left
+        if r["doc_id"] in range(60):
+            solid = lambda t: len("".join(t.split()))
+            assert r["share_left"] == round(solid(own[r["doc_id"]]) / solid(rows[r["doc_id"]][1]), 6)
+    assert line_rules.without_boilerplate(nothing).count() == 0
