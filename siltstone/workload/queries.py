@@ -206,8 +206,9 @@ def frequency_table_top(spark, sf_dir):
     return ranking.frequency_table(term_count(spark, sf_dir), ranking.CLOUD_WORDS)
 
 
-def frequency_map(spark, sf_dir):
-    mapped = counts.frequency_map(tag_frequency(spark, sf_dir), "term", "n")
+def frequency_map(spark, sf_dir, shards=256):
+    """One map per shard, so that no task has all tags; give more shards for more than some million distinct tags."""
+    mapped = counts.frequency_map(tag_frequency(spark, sf_dir), "term", "n", shards)
     return mapped.select(F.explode("frequency").alias("tag", "n"))
 
 

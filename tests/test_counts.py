@@ -64,3 +64,16 @@ def test_top_terms_after_the_cut(spark):
     ordered = sorted(rows, key=lambda r: (-r[1], r[0]))
     for k in (1, 2, 3, 4, 8, 9, 28, 29, 60, 78, 100):
         assert [tuple(r) for r in counts.top_terms(df, k).collect()] == ordered[:k]
+
+
+def test_frequency_map_query_deals_tags_to_shards(spark, monkeypatch):
+    from siltstone.workload import queries
+
+    rows = [(f"tag{i}", i) for i in range(2000)]
+    tags, made = spark.createDataFrame(rows, "term string, n long"), []
+    plain = counts.frequency_map
+    monkeypatch.setattr(queries, "tag_frequency", lambda *_: tags)
+    monkeypatch.setattr(queries.counts, "frequency_map", lambda *a: made.append(plain(*a)) or made[-1])
+    assert sorted(map(tuple, queries.frequency_map(spark, "").collect())) == sorted(rows)
+    sizes = [len(r["frequency"]) for r in made[0].collect()]
+    assert sum(sizes) == 2000 and max(sizes) < 100
