@@ -8,6 +8,9 @@ from siltstone.llm.jaccard import near_duplicates
 from siltstone.llm.licenses import license_scan
 from siltstone.llm.line_rules import line_rules
 from siltstone.llm.packing import packed
+from siltstone.llm.periodic import word_runs
+from siltstone.llm.postings import nearest
+from siltstone.llm.repair import repaired
 from siltstone.llm.secrets import secret_scan
 from siltstone.llm.sentences import without_repeated_spans
 from siltstone.llm.style_tree import main_texts
@@ -62,4 +65,16 @@ def op10_string_tiling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op11_four_russians_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repaired(_table(spark, sf_dir, "conversations"))
+
+
+def op12_balanced_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(_table(spark, sf_dir, "embeddings"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return word_runs(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {name: f for name, f in list(globals().items()) if name.startswith("op")}
