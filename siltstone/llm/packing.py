@@ -25,7 +25,6 @@ import os
 import zlib
 from array import array
 from collections import deque
-from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -33,13 +32,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siltstone.llm.shared import small_batches
-
+from siltstone.llm.shared import U64, mix, runs, small_batches
 
 TIERS = (256, 512, 1024, 2048)
 STEP_TOKENS = 16_384
 END = 1
-CACHE_WORDS = 2_500_000
+CACHE_WORDS = 2_000_000
 #: Bytes of text that are tokenised and packed together.
 PART_BYTES = 4 << 20
 
@@ -69,7 +67,10 @@ def tokenizer_path() -> str:
 
 
 class Encoder:
-    """Token ids of texts by a cache of words."""
+    """Token ids of texts by a cache of words, kept as a hash table of flat arrays.
+
+    A word of at most eight bytes is its own key, a longer one has a 64-bit hash; lengths are compared too.
+    """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -79,43 +80,96 @@ class Encoder:
         self.forget()
 
     def forget(self):
-        self.place, self.ids, self.begin = {b"": 0}, array("I"), array("q", [0, 0])
-
-    def learn(self, words: list[bytes]):
-        for word, found in zip(words, self.tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)):
-            self.place[word] = len(self.begin) - 1
+        self.ids, self.begin = array("I"), array("q", [0, 0])  # word 0 is the empty one
+        self.keys, self.sizes, self.numbers = np.zeros(1 << 12, U64), np.zeros(1 << 12, np.int32), np.full(1 << 12, -1, np.int32)
+        self.put(np.zeros(1, U64), np.zeros(1, np.int32), np.zeros(1, np.int32))
+
+    def find(self, key: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """Numbers of words, -1 for new ones."""
+        out = np.full(len(key), -1, np.int32)
+        top = len(self.keys) - 1
+        open_, slot = np.arange(len(key)), (mix(key) & U64(top)).astype(np.int64)
+        while len(open_):
+            number = self.numbers[slot]
+            same = (self.keys[slot] == key[open_]) & (self.sizes[slot] == size[open_])
+            hit = same & (number >= 0)
+            out[open_[hit]] = number[hit]
+            further = (number >= 0) & ~same
+            open_, slot = open_[further], (slot[further] + 1) & top
+        return out
+
+    def put(self, key: np.ndarray, size: np.ndarray, number: np.ndarray) -> None:
+        """Take in distinct words that are not there."""
+        top = len(self.keys) - 1
+        slot = (mix(key) & U64(top)).astype(np.int64)
+        while len(key):
+            free = np.flatnonzero(self.numbers[slot] < 0)
+            free = free[np.unique(slot[free], return_index=True)[1]]
+            at = slot[free]
+            self.keys[at], self.sizes[at], self.numbers[at] = key[free], size[free], number[free]
+            left = np.ones(len(key), bool)
+            left[free] = False
+            key, size, number, slot = key[left], size[left], number[left], (slot[left] + 1) & top
+
+    def learn(self, key: np.ndarray, size: np.ndarray, words: list[bytes]) -> None:
+        first = len(self.begin) - 1
+        for found in self.tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False):
             self.ids.extend(found.ids)
             self.begin.append(len(self.ids))
+        if 2 * len(self.begin) > len(self.keys):
+            kept = np.flatnonzero(self.numbers >= 0)
+            old = self.keys[kept], self.sizes[kept], self.numbers[kept]
+            slots = 1 << (4 * len(self.begin)).bit_length()
+            self.keys, self.sizes, self.numbers = np.zeros(slots, U64), np.zeros(slots, np.int32), np.full(slots, -1, np.int32)
+            self.put(*old)
+        self.put(key, size, np.arange(first, first + len(words), dtype=np.int32))
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text, and the end id."""
-        if len(self.place) > CACHE_WORDS:
+        if len(self.begin) > CACHE_WORDS:
             self.forget()
         raws, whole = [t.encode() for t in texts], {}
         for i, raw in enumerate(raws):
             if b"<|" in raw:
                 whole[i], raws[i] = np.array(self.tokenizer.encode(texts[i], add_special_tokens=False).ids, np.uint32), b""
-        raw = np.frombuffer(b" ".join(raws).translate(FOLD), np.uint8)
-        cut = parted(raw)
-        spaced = np.full(len(raw) + np.count_nonzero(cut), 32, np.uint8)
-        spaced[np.arange(len(raw)) + np.cumsum(cut)] = raw
-        pieces = spaced.tobytes().split(b" ")
-        before = np.concatenate([[0], np.cumsum(cut | (raw == 32))])
-        first = before[np.cumsum([0, *(len(r) + 1 for r in raws[:-1])])]
-        at = np.fromiter(map(self.place.get, pieces, repeat(-1)), np.int64, len(pieces))
-        new = np.flatnonzero(at < 0).tolist()
-        if new:
-            words = [pieces[i] for i in new]
-            self.learn(list(dict.fromkeys(words)))
-            at[new] = np.fromiter(map(self.place.__getitem__, words), np.int64, len(new))
-        begin, ids = np.frombuffer(self.begin, np.int64), np.frombuffer(self.ids, np.uint32)
-        start, size = begin[at], begin[at + 1] - begin[at]
+        starts = np.cumsum([0, *(len(r) + 1 for r in raws[:-1])])
+        joined = b" ".join(raws).translate(FOLD)
+        raw = np.frombuffer(joined, np.uint8)
+        edge = np.flatnonzero(parted(raw) | (raw == 32))
+        begin, stop = np.append(0, edge + (raw[edge] == 32)), np.append(edge, len(raw))
+        first = np.searchsorted(edge, starts)
+        key, size = word_keys(joined, begin, stop)
+        at = self.find(key, size)
+        new = np.flatnonzero(at < 0)
+        if len(new):
+            order = new[np.lexsort((size[new], key[new]))]
+            distinct = order[runs(key[order], size[order])]
+            self.learn(key[distinct], size[distinct], [joined[x:y] for x, y in zip(begin[distinct].tolist(), stop[distinct].tolist())])
+            at[new] = self.find(key[new], size[new])
+        known, ids = np.frombuffer(self.begin, np.int64), np.frombuffer(self.ids, np.uint32)
+        start, size = known[at], known[at + 1] - known[at]
         done = np.cumsum(size)
         flat = ids[np.repeat(start - done + size, size) + np.arange(done[-1])] if len(at) and done[-1] else np.zeros(0, np.uint32)
-        edges = np.concatenate([[0], done])[np.append(first, len(pieces))]
+        edges = np.concatenate([[0], done])[np.append(first, len(begin))]
         return [np.append(whole.get(i, flat[edges[i]:edges[i + 1]]), np.uint32(END)) for i in range(len(texts))]
 
 
+def word_keys(raw: bytes, begin: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A number for the bytes of each word, and its length."""
+    padded = raw + bytes(8)
+    eight = np.ndarray(len(raw) + 1, "<u8", padded, strides=(1,))
+    size = (stop - begin).astype(np.int32)
+    mask = np.array([(1 << 8 * n) - 1 for n in range(9)], U64)
+    key = eight[begin] & mask[np.minimum(size, 8)]
+    long, done = np.flatnonzero(size > 8), 8
+    while len(long):
+        more = eight[begin[long] + done] & mask[np.minimum(size[long] - done, 8)]
+        key[long] = mix(key[long] * U64(0x9E3779B97F4A7C15) + mix(more + U64(done)))
+        done += 8
+        long = long[size[long] > done]
+    return key, size
+
+
 ENCODERS: dict[str, Encoder] = {}
 
 
