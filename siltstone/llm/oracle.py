@@ -16,26 +16,8 @@ walk(r, s) AS (SELECT r, r FROM docs UNION SELECT walk.r, sides.b FROM walk JOIN
 SELECT d.doc_id, coalesce(any_value(sizes.n), 0) AS n_shingles, min(e.doc_id) AS component_id
 FROM walk JOIN docs d ON d.r = walk.r JOIN docs e ON e.r = walk.s LEFT JOIN sizes ON sizes.r = walk.r GROUP BY walk.r, d.doc_id"""
 
-# Runs of sentences: from each the shortest with two sentences and 20 words, or one sentence of 40 words.
-_SPANS = r"""
-WITH docs AS (SELECT row_number() OVER (ORDER BY doc_id) AS r, doc_id, coalesce(text, '') AS text FROM documents),
-parts AS (SELECT r, generate_subscripts(p, 1) AS k, unnest(p) AS part FROM (SELECT r, string_split_regex(regexp_replace(text, '([.!?])([\x20\x09-\x0D])', '\1' || chr(10) || '\2', 'g'), chr(10)) AS p FROM docs)),
-cut AS (SELECT r, k, regexp_extract_all(translate(part, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM parts),
-sentences AS (SELECT r, row_number() OVER (PARTITION BY r ORDER BY k) AS k, w, len(w) AS n, sum(len(w)) OVER (PARTITION BY r ORDER BY k) AS total FROM cut WHERE len(w) > 0),
-stops AS (SELECT a.r, a.k, CASE WHEN any_value(a.n) >= 40 THEN a.k ELSE min(b.k) FILTER (b.k > a.k AND b.total - a.total + a.n >= 20) END AS stop
-  FROM sentences a JOIN sentences b ON a.r = b.r AND b.k BETWEEN a.k AND a.k + 20 GROUP BY a.r, a.k),
-spans AS (SELECT s.r, s.k, s.stop, list(t.w ORDER BY t.k) AS span FROM stops s JOIN sentences t ON t.r = s.r AND t.k BETWEEN s.k AND s.stop WHERE stop IS NOT NULL GROUP BY ALL),
-later AS (SELECT r, k, stop FROM spans QUALIFY row_number() OVER (PARTITION BY span ORDER BY r, k) > 1),
-gone AS (SELECT DISTINCT r, unnest(range(k, stop + 1)) AS k FROM later),
-edges AS (SELECT r, count(*) AS n, count(*) FILTER (new) AS runs FROM (SELECT r, coalesce(k - lag(k) OVER (PARTITION BY r ORDER BY k) > 1, true) AS new FROM gone) GROUP BY r),
-counts AS (SELECT r, count(*) AS n FROM sentences GROUP BY r)
-SELECT doc_id, coalesce(counts.n, 0) AS n_sentences, coalesce(edges.n, 0) AS n_removed, coalesce(edges.runs, 0) AS n_runs
-FROM docs LEFT JOIN counts USING (r) LEFT JOIN edges USING (r)"""
-
 ORACLE: dict[str, str] = {
     "op1_diagonal_licenses": licenses.ORACLE,
     "op6_line_frequency": line_rules.ORACLE,
     "op9_partenum_jaccard": _JACCARD,
 }
-#: Without the text that is left, which the tests hold against a plain version.
-SPANS = _SPANS

@@ -1,7 +1,7 @@
 """First places: of hashed spans all over the documents, the places that are not the first of their span.
 
-A place is a document (its id as an order number, and a digest of its text), a first unit and a number
-of units. A map block sends one place per span to the group of its slice of the hash space, and lets the
+A place is a document (its id as an order number, and a 64-bit digest of its text, by which rows without id
+or with one id are told apart), a first unit and a number of units. A map block sends one place per span to the group of its slice of the hash space, and lets the
 others go at once, as they are repeated for certain: a span that is everywhere costs one entry a block.
 """
 
@@ -12,12 +12,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siltstone.llm.shared import U64, batch, flat, number_bytes, pack, row_order, runs, signed, text_digests, unpack
+from siltstone.llm.shared import U64, batch, number_bytes, pack, runs, signed, unpack
 
 #: Places of a map block, and of a group of the hash space.
-BLOCK, GROUP = 500_000, 500_000
-#: Bits of a text's digest: they only keep rows of one id apart.
-DIGEST = U64(0xFFFF)
+BLOCK, GROUP = 250_000, 500_000
 
 BLOCK_SCHEMA = pa.schema([("slice", pa.int32()), ("base", pa.int64()), ("widths", pa.list_(pa.int32())), ("span", pa.binary()), ("doc", pa.binary()), ("digest", pa.binary()), ("first", pa.binary()), ("n", pa.binary()), ("repeated", pa.bool_())])
 BLOCK_TYPE = "slice int, base long, widths array<int>, span binary, doc binary, digest binary, first binary, n binary, repeated boolean"
@@ -25,6 +23,14 @@ BLOCK_TYPE = "slice int, base long, widths array<int>, span binary, doc binary,
 UNITS = 20
 
 
+def filled(where: np.ndarray, mine: np.ndarray):
+    """Groups that some of these places go to, with them."""
+    mine = mine[np.argsort(where[mine], kind="stable")]
+    head = np.flatnonzero(runs(where[mine])) if len(mine) else mine
+    for a, b in zip(head, np.append(head[1:], len(mine))):
+        yield int(where[mine[a]]), mine[a:b]
+
+
 def place_block(parts: list, groups: int) -> pa.RecordBatch:
     """Rows for the groups from (span hash, document, digest, first, n) arrays."""
     span, doc, digest, first, n = (np.concatenate(x) for x in zip(*parts))
@@ -33,20 +39,16 @@ def place_block(parts: list, groups: int) -> pa.RecordBatch:
     keep = runs(span, doc, digest, first)  # a repeated row is one document
     span, doc, digest, first, n = (x[keep] for x in (span, doc, digest, first, n))
     later = ~runs(span)
-    where = np.where(later, doc, (span >> U64(40)).astype(np.int64)) % groups
+    where = np.where(later, doc ^ digest, (span >> U64(40)).astype(np.int64)) % groups
     base = int(doc.min())
     widths = [number_bytes(int(doc.max()) - base), number_bytes(first.max()), number_bytes(n.max())]
     out = [[] for _ in BLOCK_SCHEMA]
     for repeated in (False, True):
         mine = np.flatnonzero(later == repeated)
-        mine = mine[np.argsort(where[mine], kind="stable")]
-        cuts = np.searchsorted(where[mine], np.arange(groups + 1))
-        for g in range(groups):
-            o = mine[cuts[g]:cuts[g + 1]]
-            if len(o):
-                row = (g, base, widths, b"" if repeated else pack(span[o], 8), pack(doc[o].astype(U64) - U64(base % (1 << 64)), widths[0]), pack(digest[o], 2), pack(first[o], widths[1]), pack(n[o], widths[2]), repeated)
-                for c, v in zip(out, row):
-                    c.append(v)
+        for g, o in filled(where, mine):
+            row = (g, base, widths, b"" if repeated else pack(span[o], 8), pack(doc[o].astype(U64) - U64(base % (1 << 64)), widths[0]), pack(digest[o], 8), pack(first[o], widths[1]), pack(n[o], widths[2]), repeated)
+            for c, v in zip(out, row):
+                c.append(v)
     return batch(BLOCK_SCHEMA, *out)
 
 
@@ -56,7 +58,7 @@ def _later(table: pa.Table) -> pa.Table:
     for r in table.to_pylist():
         w = r["widths"]
         doc = signed(unpack(r["doc"], w[0]) + U64(r["base"] % (1 << 64)))
-        place = doc, unpack(r["digest"], 2).view(np.int64), unpack(r["first"], w[1]).view(np.int64), unpack(r["n"], w[2]).view(np.int64)
+        place = doc, unpack(r["digest"], 8).view(np.int64), unpack(r["first"], w[1]).view(np.int64), unpack(r["n"], w[2]).view(np.int64)
         if r["repeated"]:
             out.append(place)
         else:
@@ -95,17 +97,8 @@ def unpacked(places: list[bytes] | None) -> tuple[np.ndarray, np.ndarray]:
     return both >> UNITS, both & ((1 << UNITS) - 1)
 
 
-def text_keys(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    return (text_digests(data, offsets) & DIGEST).view(np.int64) if len(offsets) > 1 else np.zeros(0, np.int64)
-
-
-def _keys(batches):
-    schema = pa.schema([("doc_id", pa.int64()), ("text", pa.large_string()), ("row", pa.int64()), ("digest", pa.int64())])
-    for b in batches:
-        ids = b.column(0).cast(pa.int64())
-        yield pa.RecordBatch.from_arrays([ids, b.column(1).cast(pa.large_string()), pa.array(row_order(ids)), pa.array(text_keys(*flat(b.column(1))))], schema=schema)
-
-
 def keyed(documents: DataFrame) -> DataFrame:
-    """doc_id, text, row, digest: the last two name a document in places."""
-    return documents.mapInArrow(_keys, "doc_id long, text string, row long, digest long")
+    """doc_id, text, row, digest: the last two name a document in places; rows without id come last."""
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    row = F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1))
+    return documents.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), row.alias("row"), F.xxhash64(text).alias("digest"))

@@ -33,11 +33,11 @@ def op2_site_style_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The texts that are left, and what was removed from them."""
-    return without_repeated_spans(_table(spark, sf_dir, "documents"), backward=True)
+    return without_repeated_spans(_table(spark, sf_dir, "documents"))
 
 
 def op4_run_length_index(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return without_repeated_bytes(_table(spark, sf_dir, "documents")).drop("kept")
+    return without_repeated_bytes(_table(spark, sf_dir, "documents"), kept=False)
 
 
 def op5_hierarchical_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,7 +6,7 @@ words alone, is repeated wherever it is found but at its first place (smallest i
 The sentences under repeated runs are removed from the text with the gaps after them.
 
 Spans. Not all runs are hashed: of those that start at a sentence the shortest, and of those that end at it
-the shortest (``backward``; without, the last sentences of a repeated run stay if they start no span). They cover all: a sentence of a repeated run either starts a span that ends in the run, or lies
+the shortest. They cover all: a sentence of a repeated run either starts a span that ends in the run, or lies
 in the span that ends where the run does, and the run's first place has the same spans. Equal spans have
 equal lengths, so they meet by one hash.
 
@@ -29,8 +29,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siltstone.llm.places import BLOCK, BLOCK_TYPE, GROUP, gathered, keyed, place_block, repeated_places, text_keys, unpacked
-from siltstone.llm.shared import PUNCTUATION, SPACE, U64, flat, mix, powers, row_order, runs, slices, small_batches, words, written
+from siltstone.llm.places import BLOCK, BLOCK_TYPE, GROUP, gathered, keyed, place_block, repeated_places, unpacked
+from siltstone.llm.shared import PUNCTUATION, SPACE, U64, flat, mix, powers, runs, slices, small_batches, words, written
 
 LEAST_SENTENCES, LEAST_WORDS, LONG_SENTENCE = 2, 20, 40
 
@@ -65,8 +65,8 @@ def sentences(data: np.ndarray, offsets: np.ndarray):
     return value, n, row, begin, close
 
 
-def spans(value: np.ndarray, n: np.ndarray, row: np.ndarray, backward: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """First sentence, number of sentences and hash of every span, forward from each sentence and, if so asked, back from each."""
+def spans(value: np.ndarray, n: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First sentence, number of sentences and hash of every span, forward from each sentence and back from each."""
     m = len(value)
     if not m:
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, U64)
@@ -77,24 +77,24 @@ def spans(value: np.ndarray, n: np.ndarray, row: np.ndarray, backward: bool) ->
     row_end = np.searchsorted(row, row, "right")
     whole = stop <= row_end
     first, stop = first[whole], stop[whole]
-    if backward:  # from each sentence that is no span alone
-        end = np.flatnonzero(n < LONG_SENTENCE) + 1
-        back = np.minimum(np.searchsorted(total, total[end] - LEAST_WORDS, "right") - 1, end - LEAST_SENTENCES)
-        inside = back >= np.searchsorted(row, row[end - 1])
-        both = np.concatenate([first * (m + 1) + stop, back[inside] * (m + 1) + end[inside]])
-        first, stop = np.divmod(np.unique(both), m + 1)
+    # Back, from each sentence that is no span alone.
+    end = np.flatnonzero(n < LONG_SENTENCE) + 1
+    back = np.minimum(np.searchsorted(total, total[end] - LEAST_WORDS, "right") - 1, end - LEAST_SENTENCES)
+    inside = back >= np.searchsorted(row, row[end - 1])
+    both = np.concatenate([first * (m + 1) + stop, back[inside] * (m + 1) + end[inside]])
+    first, stop = np.divmod(np.unique(both), m + 1)
     up, down = powers(m + 1)
     chain = np.zeros(m + 1, U64)
     np.cumsum(value * up[:m], out=chain[1:])
     return first, stop - first, mix((chain[stop] - chain[first]) * down[first] + (stop - first).astype(U64))
 
 
-def _blocks(groups: int, backward: bool):
+def _blocks(groups: int):
     def run(batches):
         parts, size = [], 0
         for ids, digests, _, found in _sliced(batches):
             value, n, row, _, _ = found
-            first, count, span = spans(value, n, row, backward)
+            first, count, span = spans(value, n, row)
             begin = np.searchsorted(row, row[first]) if len(first) else first
             parts.append((span, ids[row[first]], digests[row[first]], first - begin, count))
             size += len(span)
@@ -110,11 +110,11 @@ def _blocks(groups: int, backward: bool):
 def _sliced(batches: Iterator[pa.RecordBatch]):
     for b in batches:
         data, offsets = flat(b.column(1))
-        ids = row_order(b.column(0))
+        ids, digests = (b.column(c).to_numpy() for c in ("row", "digest"))
         for start, stop in slices(offsets):
             part = offsets[start:stop + 1]
             mine, at = data[part[0]:part[-1]], part - part[0]
-            yield ids[start:stop], text_keys(mine, at), (mine, at), sentences(mine, at)
+            yield ids[start:stop], digests[start:stop], (mine, at), sentences(mine, at)
 
 
 def _clean(batches):
@@ -137,14 +137,11 @@ def _clean(batches):
         yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out) if out else [[]] * 5, schema)], schema=schema)
 
 
-def without_repeated_spans(documents: DataFrame, backward: bool = False) -> DataFrame:
-    """Per row of ``documents`` (doc_id, text): doc_id, the text that is left, n_sentences, n_removed, n_runs.
-
-    With ``backward`` every repeated run goes whole.
-    """
-    documents = small_batches(documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
-    total = documents.agg(F.sum(F.length("text"))).first()[0] or 0
+def without_repeated_spans(documents: DataFrame) -> DataFrame:
+    """Per row of ``documents`` (doc_id, text): doc_id, the text that is left, n_sentences, n_removed, n_runs."""
+    texts = small_batches(keyed(documents))
+    total = texts.agg(F.sum(F.length("text"))).first()[0] or 0
     groups = max(64, math.ceil(total / 60 / GROUP))
-    places = written(gathered(repeated_places(documents.mapInArrow(_blocks(groups, backward), BLOCK_TYPE))), "places")
-    return keyed(documents).join(places, ["row", "digest"], "left").select("doc_id", "text", "places").mapInArrow(
+    places = written(gathered(repeated_places(texts.mapInArrow(_blocks(groups), BLOCK_TYPE))), "places")
+    return texts.join(places, ["row", "digest"], "left").select("doc_id", "text", "places").mapInArrow(
         _clean, "doc_id long, text string, n_sentences long, n_removed long, n_runs long")

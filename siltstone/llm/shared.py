@@ -217,18 +217,3 @@ def runs(*keys: np.ndarray) -> np.ndarray:
         for key in keys:
             new[1:] |= key[1:] != key[:-1]
     return new
-
-
-def row_order(ids: pa.Array) -> np.ndarray:
-    """Numbers that order rows by id, rows without one last."""
-    last = np.iinfo(np.int64).max
-    return ids.cast(pa.int64()).fill_null(last).to_numpy()
-
-
-def text_digests(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """A 63-bit digest of each row's bytes."""
-    up, down = powers(len(data) + 1)
-    total = np.zeros(len(data) + 1, U64)
-    np.cumsum(BYTE_CODE[data] * up[:len(data)], out=total[1:])
-    size = np.diff(offsets)
-    return mix((total[offsets[1:]] - total[offsets[:-1]]) * down[offsets[:-1]] + size.astype(U64)) >> U64(1)

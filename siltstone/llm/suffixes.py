@@ -35,16 +35,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from siltstone.llm.places import (
-    BLOCK, BLOCK_TYPE, GROUP, UNITS, by_document, gathered, keyed, place_block, repeated_places, text_keys, unpacked,
+    BLOCK, BLOCK_TYPE, GROUP, UNITS, by_document, filled, gathered, keyed, place_block, repeated_places, unpacked,
 )
 from siltstone.llm.shared import (
-    BROADCAST_ROWS, BYTE_CODE, U64, batch, flat, mix, number_bytes, pack, powers, row_order, runs, signed, slices, small_batches, unpack, written,
+    BROADCAST_ROWS, BYTE_CODE, U64, batch, flat, mix, number_bytes, pack, powers, runs, signed, slices, small_batches, unpack, written,
 )
 
 LENGTH, GRAM = 100, 32
 BIN = 1 << 19
 HOT = 4_000
 
+#: Bytes of remaining texts that leave a worker together.
+KEPT_BYTES = 8 << 20
+
 FULL, BYTES, WINDOWS = 0, 1, 2
 
 
@@ -100,32 +103,28 @@ def _meet_blocks(groups: int):
         keep = runs(gram, segment, doc, digest, first)
         gram, segment, doc, digest, first, n = (x[keep] for x in (gram, segment, doc, digest, first, n))
         later = ~runs(gram, segment)
-        where = np.where(later, doc, (gram >> U64(48)).astype(np.int64)) % groups
+        where = np.where(later, doc ^ digest, (gram >> U64(24)).astype(np.int64)) % groups
         base = int(doc.min())
         widths = [number_bytes(int(doc.max()) - base), number_bytes(first.max())]
         out = [[] for _ in MET]
         for repeated in (False, True):
             mine = np.flatnonzero(later == repeated)
-            mine = mine[np.argsort(where[mine], kind="stable")]
-            cuts = np.searchsorted(where[mine], np.arange(groups + 1))
-            for g in range(groups):
-                o = mine[cuts[g]:cuts[g + 1]]
-                if len(o):
-                    hashes = (b"", b"") if repeated else (pack(gram[o], 6), pack(segment[o], 5))
-                    row = (g, base, widths, *hashes, pack(doc[o].astype(U64) - U64(base % (1 << 64)), widths[0]), pack(digest[o], 2), pack(first[o], widths[1]), pack(n[o], 1), repeated)
-                    for c, v in zip(out, row):
-                        c.append(v)
+            for g, o in filled(where, mine):
+                hashes = (b"", b"") if repeated else (pack(gram[o], 6), pack(segment[o], 8))
+                row = (g, base, widths, *hashes, pack(doc[o].astype(U64) - U64(base % (1 << 64)), widths[0]), pack(digest[o], 8), pack(first[o], widths[1]), pack(n[o], 1), repeated)
+                for c, v in zip(out, row):
+                    c.append(v)
         return batch(MET, *out)
 
     def run(batches):
         parts, size = [], 0
         for b in batches:
             data, offsets = flat(b.column(1))
-            ids = row_order(b.column(0))
+            ids, digests = (b.column(c).to_numpy() for c in ("row", "digest"))
             for start, stop in slices(offsets):
                 mine, at = data[offsets[start]:offsets[stop]], offsets[start:stop + 1] - offsets[start]
                 row, first, n, gram, segment = segments(mine, at)
-                parts.append((gram, segment, ids[start:stop][row], text_keys(mine, at)[row], first - at[row], n))
+                parts.append((gram, segment, ids[start:stop][row], digests[start:stop][row], first - at[row], n))
                 size += len(gram)
                 if size >= BLOCK:
                     yield block(parts)
@@ -142,11 +141,11 @@ def _settle(table: pa.Table) -> pa.Table:
     for r in table.to_pylist():
         w = r["widths"]
         doc = signed(unpack(r["doc"], w[0]) + U64(r["base"] % (1 << 64)))
-        place = doc, unpack(r["digest"], 2).view(np.int64), unpack(r["first"], w[1]).view(np.int64), unpack(r["n"], 1).view(np.int64)
+        place = doc, unpack(r["digest"], 8).view(np.int64), unpack(r["first"], w[1]).view(np.int64), unpack(r["n"], 1).view(np.int64)
         if r["repeated"]:
             out.append((np.full(len(doc), FULL), np.zeros(len(doc), U64), *place))
         else:
-            kept.append((unpack(r["gram"], 6), unpack(r["segment"], 5), *place))
+            kept.append((unpack(r["gram"], 6), unpack(r["segment"], 8), *place))
     if kept:
         gram, segment, doc, digest, first, n = (np.concatenate(x) for x in zip(*kept))
         order = np.lexsort((first, digest, doc, segment, gram))
@@ -195,7 +194,8 @@ def _bytes_blocks(bins: int):
     def run(batches):
         parts, size = [], 0
         for b in batches:
-            for row, digest, text, places, grams in zip(*(c.to_pylist() for c in b.columns)):
+            for r in range(b.num_rows):
+                row, digest, text, places, grams = (c[r].as_py() for c in b.columns)
                 raw = text.encode()
                 first, n = unpacked(places)
                 where = mix(unpack(b"".join(grams), 6)) % U64(bins)
@@ -300,7 +300,8 @@ def _window_blocks(groups: int):
     def run(batches):
         parts, size = [], 0
         for b in batches:
-            for row, digest, text, places, _ in zip(*(c.to_pylist() for c in b.columns)):
+            for r in range(b.num_rows):
+                row, digest, text, places, _ = (c[r].as_py() for c in b.columns)
                 data = np.frombuffer(text.encode(), np.uint8)
                 total, down = _prefix_sums(data)
                 first, n = unpacked(places)
@@ -319,35 +320,47 @@ def _window_blocks(groups: int):
 # Texts ------------------------------------------------------------------------------------------
 
 
-def _cut(batches):
-    schema = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string()), ("kept", pa.binary())])
-    for b in batches:
-        out = []
-        for doc, text, places in zip(*(c.to_pylist() for c in b.columns)):
-            raw = (text or "").encode()
-            if not places:
-                out.append((doc, len(raw), 0, 0, hashlib.sha256(raw).hexdigest(), raw))
-                continue
+def _cut(kept: bool):
+    """Rows (doc_id, text, places) to what is removed from each, with the rest itself if asked for."""
+    fields = [("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string())]
+    schema = pa.schema(fields + [("kept", pa.binary())] * kept)
+
+    def row(doc, text, places):
+        raw = (text or "").encode()
+        left, removed, spans = raw, 0, 0
+        if places:
             first, n = unpacked(places)
             under = np.zeros(len(raw) + 1, np.int64)
             np.add.at(under, first, 1)
             np.add.at(under, first + n + LENGTH - 1, -1)
             gone = np.cumsum(under)[:-1] > 0
             left = np.frombuffer(raw, np.uint8)[~gone].tobytes()
-            spans = int(gone[0]) + int(np.count_nonzero(gone[1:] & ~gone[:-1]))
-            out.append((doc, len(raw), int(gone.sum()), spans, hashlib.sha256(left).hexdigest(), left))
-        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out) if out else [[]] * 6, schema)], schema=schema)
+            removed, spans = int(gone.sum()), int(gone[0]) + int(np.count_nonzero(gone[1:] & ~gone[:-1]))
+        return (doc, len(raw), removed, spans, hashlib.sha256(left).hexdigest(), *[left] * kept)
+
+    def run(batches):
+        for b in batches:
+            out, size = [], 0
+            for r in range(b.num_rows):  # one text at a time
+                out.append(row(*(c[r].as_py() for c in b.columns)))
+                size += len(out[-1][-1]) if kept else 0
+                if size >= KEPT_BYTES:
+                    yield batch(schema, *zip(*out))
+                    out, size = [], 0
+            if out:
+                yield batch(schema, *zip(*out))
+
+    return run
 
 
-def without_repeated_bytes(documents: DataFrame) -> DataFrame:
-    """Per row of ``documents`` (doc_id, text): doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept (bytes)."""
-    documents = small_batches(documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
-    total = documents.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+def without_repeated_bytes(documents: DataFrame, kept: bool = True) -> DataFrame:
+    """Per row of ``documents`` (doc_id, text): doc_id, n_bytes, n_removed, n_spans, kept_sha256, and ``kept`` (bytes) if asked for."""
+    texts = small_batches(keyed(documents))
+    total = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     groups = max(64, math.ceil(total / 35 / GROUP))
-    met = documents.mapInArrow(_meet_blocks(groups), MET_TYPE)
+    met = texts.mapInArrow(_meet_blocks(groups), MET_TYPE)
     kind = "row long, digest long, kind int, places binary, grams binary, size long"
     found = written(met.groupBy("slice").applyInArrow(_settle, kind), "segments")
-    texts = keyed(documents)
 
     def with_texts(places: DataFrame) -> DataFrame:
         ids = places.select("row").distinct()
@@ -366,9 +379,9 @@ def without_repeated_bytes(documents: DataFrame) -> DataFrame:
         marks = marks.union(repeated_places(parts(WINDOWS).mapInArrow(_window_blocks(slices_), BLOCK_TYPE)))
     marks = written(gathered(marks), "marks")
     ids = marks.select("row").distinct()
-    out = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
+    out = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * kept
     if ids.count() > BROADCAST_ROWS:
-        return texts.join(marks, ["row", "digest"], "left").select("doc_id", "text", "places").mapInArrow(_cut, out)
+        return texts.join(marks, ["row", "digest"], "left").select("doc_id", "text", "places").mapInArrow(_cut(kept), out)
     touched = texts.join(F.broadcast(ids), "row", "left_semi").join(marks, ["row", "digest"], "left").select("doc_id", "text", "places")
     rest = texts.join(F.broadcast(ids), "row", "left_anti").select("doc_id", "text", F.lit(None).cast("array<binary>").alias("places"))
-    return touched.union(rest).mapInArrow(_cut, out)
+    return touched.union(rest).mapInArrow(_cut(kept), out)
