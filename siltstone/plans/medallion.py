@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,14 +14,19 @@ from siltstone.functions.predicates import has_empty_section
 from siltstone.functions.records import content_digest, content_id, decode_payload, record_id, strip_newlines
 from siltstone.functions.text import analyze, analyze_tags
 from siltstone.operators.counts import tag_count
-from siltstone.operators.incremental import high_water_mark, new_rows, when_any
+from siltstone.operators.incremental import everything, high_water_mark, new_rows, next_gaps, rows_in_gaps, when_any
 from siltstone.operators.ranking import relative_weights
 from siltstone.operators.scoring import POSTING_FIELDS, Field, classify, field_terms, weighted_points
 from siltstone.plans.etl import run_etl
 from siltstone.schemas import ANALYSED_FIELDS, BRONZE_SCHEMA, GOLD_TAG_SCHEMA, SILVER_SCHEMA
+from siltstone.sources import keyed
 from siltstone.sources.records import to_bronze, to_messages
 from siltstone.sources.tables import TableSpec, read_table, read_table_stream, write_table
-from siltstone.streaming.sinks import append_to_table, complete_to_table, read_complete_table, upsert_to_table
+from siltstone.streaming.sinks import append_to_table, read_keyed_table, update_to_table, upsert_to_table
+
+
+#: The order of a listing: newest postings first.
+LISTING = ["page", "pos"]
 
 
 @dataclass(frozen=True)
@@ -41,6 +47,10 @@ class Lakehouse:
     def markers(self) -> TableSpec:
         return self._table("markers")
 
+    @property
+    def gaps(self) -> TableSpec:
+        return self._table("gaps")
+
     @property
     def records(self) -> TableSpec:
         return self._table("records")
@@ -87,15 +97,36 @@ def run_integration(
     selectors: PostingSelectors = PostingSelectors(),
     limit: int | None = None,
     last_seen: str | None = None,
+    gaps: DataFrame | None = None,
 ) -> DataFrame:
-    """New postings of a run: the first ``limit`` in page order, cut at the last-seen digest.
+    """New postings of a run: with ``gaps`` the first ``limit`` that no run has collected yet.
 
-    The short content id may name several postings, so the cut goes by the digest of the whole
-    fields. The parsed pages are written first, because the cut reads them twice.
+    Without them, the first ``limit`` in page order, cut at the last-seen digest: what lies between the
+    limit and that posting is then left out for good. The short content id may name several postings, so
+    both go by the digest of the whole fields. The parsed pages are written first, because the cut reads
+    them twice.
     """
     write_table(collected_postings(fetched, source, selectors), collected)
     rows = read_table(fetched.sparkSession, collected)
-    return new_rows(rows, "digest", ["page", "pos"], limit, last_seen)
+    if gaps is None:
+        return new_rows(rows, "digest", LISTING, limit, last_seen)
+    return rows_in_gaps(rows, "digest", LISTING, gaps, limit)
+
+
+def read_gaps(spark: SparkSession, lake: Lakehouse, last_seen: str | None = None) -> DataFrame:
+    """What the last run left open; before the first run everything, or what is above ``last_seen``."""
+    try:
+        runs = read_table(spark, lake.gaps)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return everything(spark, [] if last_seen is None else [f"{last_seen}#1"])
+    return runs.where(F.col("run") == runs.agg(F.max("run")).scalar()).drop("run")
+
+
+def write_gaps(gaps: DataFrame, lake: Lakehouse) -> None:
+    """Add the gaps after a run, with the time as its number; one file, so a run is there whole or not."""
+    write_table(gaps.withColumn("run", F.current_timestamp()).coalesce(1), lake.gaps, "append")
 
 
 def posting_messages(postings: DataFrame, group: str) -> DataFrame:
@@ -147,7 +178,7 @@ def run_processing(
     silver = read_table_stream(spark, lake.silver, files_per_batch)
     sinks = [
         upsert_to_table(silver, lake.index, "id", ["id"], wait=False),
-        complete_to_table(tag_count(silver), lake.gold_tags, wait=False),
+        update_to_table(tag_count(silver), lake.gold_tags, "tag", wait=False),
     ]
     try:
         for query in sinks:
@@ -162,7 +193,7 @@ def run_processing(
 
 def run_analysis(spark: SparkSession, lake: Lakehouse, words: int | None = None) -> DataFrame:
     """Relative weights of all tags of the gold table, or of the most frequent ones."""
-    tags = read_complete_table(spark, lake.gold_tags)
+    tags = read_keyed_table(spark, lake.gold_tags, "tag")
     return relative_weights(tags.select(F.col("tag").alias("term"), F.col("tag_post_count").alias("n")), words)
 
 
@@ -175,6 +206,20 @@ def analysed_copy(index: DataFrame, text_fields: tuple[str, ...] = ANALYSED_FIEL
     )
 
 
+def refresh_analysed_copy(spark: SparkSession, index: TableSpec, copy: TableSpec, key: str = "id", **fields) -> DataFrame:
+    """Analyse the rows of a keyed index that changed since the last refresh, and give them.
+
+    The copy is a keyed table too; its last batch is the mark up to which the index was read, so a
+    refresh that dies is done again. What did not change is not read. Read it with ``read_keyed_table``.
+    """
+    mark = keyed.state_of(spark, copy).committed
+    changed, upto = keyed.changes_after(spark, index, key, mark)
+    analysed = analysed_copy(changed, **fields)
+    if upto is not None and upto != mark:
+        keyed.put_batch(analysed, copy, key, upto)
+    return analysed
+
+
 def score_terms(
     postings: DataFrame,
     dictionary: DataFrame,
@@ -225,13 +270,18 @@ def run_all(
     """The whole chain; the stages after integration run only if there are new postings.
 
     ``send`` puts new postings into the record stream (see :func:`posting_messages`), ``receive``
-    opens that stream. The marker of the next run (:func:`next_marker`) moves only after sending:
-    a failed send and a run without new postings leave it as it was.
+    opens that stream. With a limit, postings beyond it stay open for later runs: the gaps around what
+    was collected are kept in a table. Gaps and the marker of the next run (:func:`next_marker`) move
+    only after sending: a failed send and a run without new postings leave them as they were.
+    ``last_seen`` bounds the first run; later ones go by the gaps.
     """
-    postings = run_integration(fetched, source, lake.collected, selectors, limit, last_seen)
+    gaps = read_gaps(spark, lake, last_seen)
+    postings = run_integration(fetched, source, lake.collected, selectors, limit, gaps=gaps)
     if not when_any(postings, send):
         return None
-    first = high_water_mark(read_table(spark, lake.collected), "digest", ["page", "pos"])
+    collected = read_table(spark, lake.collected)
+    write_gaps(next_gaps(collected, "digest", LISTING, gaps, limit), lake)
+    first = high_water_mark(collected, "digest", LISTING)
     write_table(first.withColumn("moved", F.current_timestamp()), lake.markers, "append")
     return run_stages(spark, lake, receive(), selectors, files_per_batch)
 

@@ -1,4 +1,4 @@
-"""One-shot incremental sinks: append, complete, keyed upsert, console and running count.
+"""One-shot incremental sinks: append, complete, keyed upsert, keyed update, console and running count.
 
 Each call processes what is new since the last one and commits its progress to a checkpoint. It
 returns when it is done, or at once with ``wait=False``; it gives the streaming query either way.
@@ -9,7 +9,6 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import replace
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,7 +16,8 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from siltstone.operators.counts import row_count
 from siltstone.operators.incremental import latest_per_key
-from siltstone.sources.tables import TableSpec, read_files, read_table
+from siltstone.sources import keyed
+from siltstone.sources.tables import TableSpec, read_table
 
 
 def _run(writer: DataStreamWriter, wait: bool) -> StreamingQuery:
@@ -83,58 +83,52 @@ def upsert_to_table(
 ) -> StreamingQuery:
     """Keyed append: a later row with the same key replaces the earlier one.
 
-    A batch is reduced to its last row per key and stored under its batch number, so writing
-    costs as much as the batch and not as much as the table, and a replayed batch overwrites
-    itself. :func:`read_keyed_table` resolves the versions.
+    A batch is reduced to its last row per key and stored under its batch number (see
+    :mod:`siltstone.sources.keyed`), so writing costs as much as the batch and not as much as the
+    table, and a replayed batch overwrites itself. Batches go on counting from the checkpoint beside
+    the table; whoever deletes that deletes the table with it.
     """
+    return _run_batches(df, table, "append", lambda batch, batch_id: _store(latest_per_key(batch, key, order), table, key, batch_id), wait)
 
-    def write(batch: DataFrame, batch_id: int) -> None:
-        rows = latest_per_key(batch, key, order)
-        if table.file_format == "delta":
-            (
-                rows.withColumn("batch", F.lit(batch_id).cast("long"))
-                .write.format("delta").mode("overwrite").option("replaceWhere", f"batch = {batch_id}")
-                .save(table.data_path)
-            )
-        else:
-            rows.write.format(table.file_format).mode("overwrite").save(f"{table.data_path}/batch={batch_id}")
 
-    return _run_batches(df, table, "append", write, wait)
+def update_to_table(df: DataFrame, table: TableSpec, key: str, wait: bool = True) -> StreamingQuery:
+    """Follow a streaming aggregate in update mode: each batch stores only the keys whose result changed.
 
+    The aggregate has one row per ``key``. Read the table with :func:`read_keyed_table`.
+    """
+    return _run_batches(df, table, "update", lambda batch, batch_id: _store(batch, table, key, batch_id), wait)
+
+
+def _store(rows: DataFrame, table: TableSpec, key: str, batch_id: int) -> None:
+    if table.file_format == "delta":
+        (
+            rows.withColumn("batch", F.lit(batch_id).cast("long"))
+            .write.format("delta").mode("overwrite").option("replaceWhere", f"batch = {batch_id}")
+            .save(table.data_path)
+        )
+    else:
+        keyed.put_batch(rows, table, key, batch_id)
 
-def read_keyed_table(spark: SparkSession, table: TableSpec, key: str) -> DataFrame:
-    """One row per key: the one of the newest batch that has the key, from the last compaction on."""
-    versions = read_table(spark, _with_columns(table, "batch"))
-    upto = _compacted_upto(spark, table)
-    if upto is not None:
-        compacted = read_files(spark, f"{table.base_path.rstrip('/')}/compacted/{upto}", table.file_format, table.schema)
-        versions = versions.where(F.col("batch") > upto).unionByName(compacted.withColumn("batch", F.lit(upto)))
-    return latest_per_key(versions, key, ["batch"]).drop("batch")
+
+def read_keyed_table(spark: SparkSession, table: TableSpec, key: str, values: Sequence | None = None) -> DataFrame:
+    """One row per key: the one of the newest batch that has the key; with ``values`` only of these keys."""
+    if table.file_format == "delta":
+        rows = latest_per_key(read_table(spark, _with_columns(table, "batch")), key, ["batch"]).drop("batch")
+        return rows if values is None else rows.where(F.col(key).isin(*values))
+    return keyed.read_current(spark, table, key, values)
 
 
-def compact_keyed_table(spark: SparkSession, table: TableSpec, key: str) -> None:
-    """Write the current rows down, so that reads cover one row per key and the batches since.
+def compact_keyed_table(spark: SparkSession, table: TableSpec, key: str, retention_seconds: float | None = None) -> list[int]:
+    """Merge the buckets that changed since their last merge, then delete what older merges replaced.
 
-    The copy counts once its number is in the log, which is written last: a run that dies before is
-    without effect. Batches keep their folders. They go on counting from the checkpoint beside the
-    table; whoever deletes that deletes the table with it.
+    A merge counts once it is in the log, which is written last: a run that dies before is without
+    effect. Files are deleted only if ``retention_seconds`` is given, and only those replaced by a
+    merge at least that old.
     """
-    newest = read_table(spark, _with_columns(table, "batch")).agg(F.max("batch")).first()[0]
-    upto = _compacted_upto(spark, table)
-    if newest is None or (upto is not None and upto >= newest):
-        return
-    base = table.base_path.rstrip("/")
-    read_keyed_table(spark, table, key).write.format(table.file_format).mode("overwrite").save(f"{base}/compacted/{newest}")
-    spark.range(newest, newest + 1).write.mode("append").parquet(f"{base}/compactions")
-
-
-def _compacted_upto(spark: SparkSession, table: TableSpec) -> int | None:
-    try:
-        return spark.read.schema("id long").parquet(f"{table.base_path.rstrip('/')}/compactions").agg(F.max("id")).first()[0]
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return None
+    merged = keyed.merge_buckets(spark, table, key)
+    if retention_seconds is not None:
+        keyed.vacuum(spark, table, retention_seconds)
+    return merged
 
 
 def _with_columns(table: TableSpec, *names: str) -> TableSpec:

@@ -10,7 +10,7 @@ from siltstone.functions.predicates import DROP_WORDS
 from siltstone.functions.text import ENGLISH_STOP_WORDS, VIETNAMESE_STOP_WORDS
 from siltstone.operators.scoring import POSTING_FIELDS, POSTING_FIELDS_STRICT
 from siltstone.workload.queries import (
-    ABSENT, LAST_SEEN, LAST_SEEN_PAGE, PAGE_SOURCE, RUN_LIMIT, SCORE_DIGITS, SCORED_FIELDS, SEARCH_TEXT,
+    ABSENT, LAST_SEEN, LAST_SEEN_PAGE, LISTED_UNTIL, PAGE_SOURCE, READ_USERS, RUN_LIMIT, SCORE_DIGITS, SCORED_FIELDS, SEARCH_TEXT,
 )
 
 
@@ -212,6 +212,14 @@ _SILVER = f"""
     FROM ({_PAGES})"""
 
 
+_ANALYSED = f"""
+        SELECT doc_id, CAST(coalesce(terms, 0) AS INTEGER) AS terms,
+               CAST(coalesce(distinct_terms, 0) AS INTEGER) AS distinct_terms
+        FROM documents LEFT JOIN (
+            SELECT doc, count(*) AS terms, count(DISTINCT term) AS distinct_terms
+            FROM ({_term_rows('documents', 'doc_id', 'text')}) GROUP BY doc) ON doc = doc_id"""
+
+
 ORACLE: dict[str, str] = {
     "bronze_projection": _BRONZE,
     "raw_values": f"SELECT value FROM ({_BRONZE})",
@@ -307,19 +315,27 @@ ORACLE: dict[str, str] = {
     "since_marker": _since(_ORDER_PAGES, LAST_SEEN),
     "since_marker_absent": _since(_ORDER_PAGES, ABSENT),
     "new_rows": _since(f"SELECT * FROM ({_ORDER_PAGES}) ORDER BY page, pos LIMIT {RUN_LIMIT}", LAST_SEEN),
+    "limited_runs": f"""
+        WITH orders_ AS (SELECT *, (SELECT count(*) // 4 FROM orders) AS quarter FROM ({_ORDER_PAGES})),
+             first_ AS (SELECT id FROM orders_ WHERE page > -{LISTED_UNTIL[0]} QUALIFY row_number() OVER (ORDER BY page, pos) <= quarter),
+             second_ AS (SELECT id FROM orders_ WHERE page > -{LISTED_UNTIL[1]} AND id NOT IN (SELECT id FROM first_)
+                         QUALIFY row_number() OVER (ORDER BY page, pos) <= quarter)
+        SELECT id, CAST(CASE WHEN id IN (SELECT id FROM first_) THEN 1 WHEN id IN (SELECT id FROM second_) THEN 2 ELSE 3 END AS INTEGER) AS run
+        FROM orders_""",
     "high_water_mark": f"SELECT id AS marker FROM ({_ORDER_PAGES}) ORDER BY page, pos LIMIT 1",
     "keyed_upsert": """
         SELECT user_id, event_id, event_type, value FROM events
         QUALIFY row_number() OVER (PARTITION BY user_id
             ORDER BY event_type IN ('signup', 'error', 'click'), event_id DESC) = 1""",
-    "analysed_copy": f"""
-        SELECT doc_id, CAST(coalesce(terms, 0) AS INTEGER) AS terms,
-               CAST(coalesce(distinct_terms, 0) AS INTEGER) AS distinct_terms
-        FROM documents LEFT JOIN (
-            SELECT doc, count(*) AS terms, count(DISTINCT term) AS distinct_terms
-            FROM ({_term_rows('documents', 'doc_id', 'text')}) GROUP BY doc) ON doc = doc_id""",
+    "keyed_point_read": f"""
+        SELECT user_id, event_id, event_type, value FROM events WHERE user_id IN ({', '.join(map(str, READ_USERS))})
+        QUALIFY row_number() OVER (PARTITION BY user_id
+            ORDER BY event_type IN ('signup', 'error', 'click'), event_id DESC) = 1""",
+    "analysed_changes": _ANALYSED,
+    "analysed_copy": _ANALYSED,
     "stream_bronze": _BRONZE,
     "stream_tag_count": _TAG_COUNT,
+    "stream_tag_update": _TAG_COUNT,
     "stream_row_count": "SELECT count(*) AS row_count FROM lineitem",
     "stream_keyed_upsert": """
         SELECT user_id, event_id, event_type, value FROM events

@@ -12,6 +12,7 @@ from siltstone.functions.html import PostingSelectors, extract_posting
 from siltstone.operators import counts, incremental, ranking, scoring, search
 from siltstone.plans import medallion
 from siltstone.session import scratch_path
+from siltstone.sources import keyed
 from siltstone.sources.dictionary import dictionary_lines, duplicate_entries, sorted_entries
 from siltstone.sources.records import read_record_files, to_bronze, value_text
 from siltstone.sources.tables import TableSpec, read_table, table_report, write_table
@@ -34,11 +35,21 @@ LAST_SEEN = 1000
 ABSENT = -1
 LAST_SEEN_PAGE = "123fb1f9a8f717ce5c3d62699e3809e6e24c0b29c5074fb2dbe63dbd8debda27"
 RUN_LIMIT = 1000
+# Days since 1970: the first and the second listing end before them.
+LISTED_UNTIL = (10_341, 10_830)
+# Keys of a point read.
+READ_USERS = (7, 42, 99, 10**9)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str | Column) -> DataFrame:
+    """A sample table. ``siltstone.scan.tasks`` (unset by default) deals its rows to so many tasks.
+
+    That is for files of one row group, which a scan can't divide; a cluster's tables have many.
+    """
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    return df.select(*columns) if columns else df
+    df = df.select(*columns) if columns else df
+    tasks = spark.conf.get("siltstone.scan.tasks", None)
+    return df.repartition(int(tasks)) if tasks else df
 
 
 def table_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -426,6 +437,18 @@ def new_rows(spark, sf_dir):
     return incremental.new_rows(order_pages(spark, sf_dir), "id", ["page", "pos"], RUN_LIMIT, LAST_SEEN)
 
 
+def limited_runs(spark, sf_dir):
+    """Three runs over a growing listing, the first two limited to a quarter of all orders; which run took which."""
+    orders = order_pages(spark, sf_dir)
+    limit = orders.count() // 4
+    gaps, taken = incremental.everything(spark), []
+    for run, (listed, n) in enumerate([(F.col("page") > -LISTED_UNTIL[0], limit), (F.col("page") > -LISTED_UNTIL[1], limit), (F.lit(True), None)], start=1):
+        listing = orders.where(listed)
+        taken.append(incremental.rows_in_gaps(listing, "id", ["page", "pos"], gaps, n).select("id", F.lit(run).alias("run")))
+        gaps = incremental.next_gaps(listing, "id", ["page", "pos"], gaps, n)
+    return incremental.concat_batches(taken)
+
+
 def high_water_mark(spark, sf_dir):
     return incremental.high_water_mark(order_pages(spark, sf_dir), "id", ["page", "pos"])
 
@@ -488,6 +511,12 @@ def stream_tag_count(spark, sf_dir):
     return sinks.read_complete_table(spark, gold)
 
 
+def stream_tag_update(spark, sf_dir):
+    gold = TableSpec(scratch_path(spark, "tags"))
+    sinks.update_to_table(counts.tag_count(part_tags(table_stream(spark, sf_dir, "part"))), gold, "tag")
+    return sinks.read_keyed_table(spark, gold, "tag")
+
+
 def stream_row_count(spark, sf_dir):
     total = TableSpec(scratch_path(spark, "total"))
     sinks.count_to_table(table_stream(spark, sf_dir, "lineitem"), total)
@@ -509,6 +538,31 @@ def stream_keyed_compacted(spark, sf_dir):
     return sinks.read_keyed_table(spark, index, "user_id")
 
 
+def keyed_point_read(spark, sf_dir):
+    """The current rows of a few keys: two batches, a merge between them, one bucket read for each key."""
+    index = TableSpec(scratch_path(spark, "index"))
+    events = table(spark, sf_dir, "events", "user_id", "event_id", "event_type", "value")
+    early = F.col("event_type").isin("signup", "error", "click")
+    for batch, rows in enumerate([events.where(early), events.where(~early)]):
+        keyed.put_batch(incremental.latest_per_key(rows, "user_id", ["event_id"]), index, "user_id", batch)
+        if batch == 0:
+            keyed.merge_buckets(spark, index, "user_id")
+    return sinks.read_keyed_table(spark, index, "user_id", READ_USERS)
+
+
+def analysed_changes(spark, sf_dir):
+    """An analysed copy of the documents, refreshed after a second batch has replaced and added some."""
+    index, copy = TableSpec(scratch_path(spark, "index")), TableSpec(scratch_path(spark, "analysed"))
+    docs = documents(spark, sf_dir)
+    first = docs.where(F.col("doc_id") % 4 != 3).withColumn("text", F.when(F.col("doc_id") % 4 == 2, "old text").otherwise(F.col("text")))
+    for batch, rows in enumerate([first, docs.where(F.col("doc_id") % 4 > 1)]):
+        keyed.put_batch(rows, index, "doc_id", batch)
+        medallion.refresh_analysed_copy(spark, index, copy, "doc_id", text_fields=("text",), tags=None)
+    return sinks.read_keyed_table(spark, copy, "doc_id").select(
+        "doc_id", F.size("text_terms").alias("terms"), F.size(F.array_distinct("text_terms")).alias("distinct_terms")
+    )
+
+
 def _run_lake(spark: SparkSession, sf_dir: str) -> tuple[medallion.Lakehouse, DataFrame]:
     lake = medallion.Lakehouse(scratch_path(spark, "lake"))
 
@@ -567,9 +621,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         weighted_points, weighted_points_buckets, term_scoring, tag_points, other_points, posting_scores,
         posting_scores_stored, posting_scores_strict, tag_points_table, other_points_table, term_flags,
         terms_allowed, terms_dropped, dictionary_duplicates, dictionary_sorted,
-        batch_concat, page_max, latest_limit, since_marker, since_marker_absent, new_rows, high_water_mark,
-        keyed_upsert, analysed_copy,
-        stream_bronze, stream_tag_count, stream_row_count, stream_keyed_upsert, stream_keyed_compacted,
+        batch_concat, page_max, latest_limit, since_marker, since_marker_absent, new_rows, limited_runs, high_water_mark,
+        keyed_upsert, keyed_point_read, analysed_copy, analysed_changes,
+        stream_bronze, stream_tag_count, stream_tag_update, stream_row_count, stream_keyed_upsert, stream_keyed_compacted,
         medallion_flow, medallion_silver, medallion_index, integration_messages, table_rows,
     ]
 }

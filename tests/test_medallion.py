@@ -10,7 +10,7 @@ from siltstone.plans.etl import run_etl
 from siltstone.schemas import ANALYSED_INDEX_SCHEMA, GOLD_TAG_SCHEMA, SILVER_SCHEMA
 from siltstone.sources.records import read_record_files
 from siltstone.sources.tables import TableSpec, read_table, write_table
-from siltstone.streaming.sinks import read_complete_table, read_keyed_table
+from siltstone.streaming.sinks import read_keyed_table
 
 
 def page(title, company, tags, *paragraphs):
@@ -80,7 +80,7 @@ def test_stages_twice(spark, path):
 
     write_table(records(spark, [*PAGES[2:], PAGES[0]], start=2), arrivals, "append")
     medallion.run_stages(spark, lake, read_record_files(spark, arrivals.data_path))
-    gold = read_complete_table(spark, lake.gold_tags)
+    gold = read_keyed_table(spark, lake.gold_tags, "tag")
     assert [(f.name, f.dataType) for f in gold.schema] == [(f.name, f.dataType) for f in GOLD_TAG_SCHEMA]
     assert {tuple(row) for row in gold.collect()} == {("SQL", 3), ("C#", 2)}
 
