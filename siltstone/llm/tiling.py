@@ -8,7 +8,9 @@ of ``SEED`` words is left. The share of the item's words under tiles is the cove
 count like a verbatim passage. From ``COVERAGE`` on, the item leaked.
 
 The index of the items is sent to all tasks in blocks of at most ``BLOCK_WORDS`` words (an item is in
-one block), each in a pass of its own, so its size is bounded however large the benchmark is.
+one block), each in a pass of its own, so its size is bounded however large the benchmark is. A text's
+seeds are joined ``HITS`` hits at a time, and a text with more takes its items some at a time: a very long
+text of one word needs no more memory than another.
 
 Defined cases: null or empty texts and items match nothing. An item of fewer than ``SEED`` words
 matches only by its whole word sequence. Repeated rows and repeated items are all reported. Rows without
@@ -26,11 +28,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siltstone.llm.shared import PUNCTUATION, U64, flat, grams, mix, runs, slices, small_batches, words
+from siltstone.llm.shared import PUNCTUATION, flat, grams, runs, slices, small_batches, words
 
 SEED = 5
 COVERAGE = 0.5
 BLOCK_WORDS = 2_000_000
+#: Places of seeds in the items that are looked at together.
+HITS = 1 << 20
 
 
 def _index(texts: list[str]) -> dict:
@@ -49,30 +53,112 @@ def _index(texts: list[str]) -> dict:
     return index
 
 
-def tile(matches: list[tuple[int, int, int]], least: int) -> list[tuple[int, int, int]]:
-    """Greedy tiles of (document word, item word, length) matches, longest first, none under ``least``."""
-    heap = [(-n, d, i) for d, i, n in matches]
-    heapq.heapify(heap)
-    used_d, used_i, tiles = set(), set(), []
-    while heap:
-        n, d, i = heapq.heappop(heap)
-        free = [d + j not in used_d and i + j not in used_i for j in range(-n)]
-        if all(free):
-            tiles.append((d, i, -n))
-            used_d.update(range(d, d - n))
-            used_i.update(range(i, i - n))
+def _open(used: bytearray, least: int) -> np.ndarray:
+    """Number of places before each one from which ``least`` words are free."""
+    taken = np.concatenate([[0], np.cumsum(np.frombuffer(used, np.uint8), dtype=np.int64)])
+    n = len(used)
+    free = taken[np.minimum(np.arange(n) + least, n)] == taken[:-1]
+    return np.concatenate([[0], np.cumsum(free)])
+
+
+def tile(matches, least: int, whole: int | None = None) -> list[tuple[int, int, int]]:
+    """Greedy tiles of (document word, item word, length) matches, longest first, none under ``least``.
+
+    ``whole`` is the item's length: when fewer than ``least`` of its words are free, no tile can follow.
+    """
+    matches = np.asarray(matches, np.int64).reshape(-1, 3)
+    d, i, n = matches.T
+    order = np.lexsort((i, d, -n))
+    low_d = int(d.min(initial=0))
+    used_d, used_i = bytearray(int((d + n).max(initial=0)) - low_d), bytearray(int((i + n).max(initial=0)))
+    cut: list[tuple[int, int, int]] = []  # what is left of matches that lost words to longer ones
+    tiles, free_i, at, tried = [], len(used_i) if whole is None else whole, 0, 0
+    while free_i >= least and (at < len(order) or cut):
+        if tried > max(1000, (len(order) - at) // 8):  # drop matches without a free run on either side
+            rest, at, tried = order[at:], 0, 0
+            open_d, open_i = _open(used_d, least), _open(used_i, least)
+            x, y, until = d[rest] - low_d, i[rest], n[rest] - least + 1
+            order = rest[(open_d[x + until] > open_d[x]) & (open_i[y + until] > open_i[y])]
             continue
-        start = None
-        for j, ok in enumerate([*free, False]):
-            if ok and start is None:
-                start = j
-            elif not ok and start is not None:
-                if j - start >= least:
-                    heapq.heappush(heap, (start - j, d + start, i + start))
-                start = None
+        tried += 1
+        there = (-int(n[order[at]]), int(d[order[at]]), int(i[order[at]])) if at < len(order) else None
+        if cut and (there is None or cut[0] < there):
+            size, x, y = heapq.heappop(cut)
+        else:
+            (size, x, y), at = there, at + 1
+        size, x = -size, x - low_d
+        if used_d.find(1, x, x + size) < 0 and used_i.find(1, y, y + size) < 0:
+            tiles.append((x + low_d, y, size))
+            used_d[x:x + size] = used_i[y:y + size] = b"\x01" * size
+            free_i -= size
+            continue
+        taken = np.frombuffer(used_d, np.uint8, size, x) | np.frombuffer(used_i, np.uint8, size, y)
+        edges = np.flatnonzero(np.diff(taken, prepend=1, append=1))
+        for start, stop in edges.reshape(-1, 2).tolist():
+            if stop - start >= least:
+                heapq.heappush(cut, (start - stop, x + low_d + start, y + start))
     return tiles
 
 
+def _matches(row, item, d, i, seeds):
+    """Join the parts of matches of one row and item that follow each other on a diagonal; ``seeds`` counts a part's seeds."""
+    diagonal = d - i
+    order = np.lexsort((d, diagonal, item, row))
+    row, item, d, i, diagonal, seeds = (x[order] for x in (row, item, d, i, diagonal, seeds))
+    first = np.flatnonzero(runs(row, item, diagonal, d - np.cumsum(seeds) + seeds))
+    total = np.add.reduceat(seeds, first) if len(first) else seeds
+    return row[first], item[first], d[first], i[first], total
+
+
+def _expanded(rows, at, low, n, index):
+    """Matches of a text's seeds, ``HITS`` hits at a time, so that repetitive texts don't fill the worker."""
+    _, items, places = index
+    parts = []
+    for a, b in slices(np.concatenate([[0], np.cumsum(n)]), HITS):
+        m = n[a:b]
+        entry = np.repeat(low[a:b] - np.cumsum(m) + m, m) + np.arange(m.sum())
+        d = np.repeat(at[a:b], m)
+        parts.append(_matches(rows[d], items[entry], d, places[entry], np.ones(len(d), np.int64)))
+    return parts[0] if len(parts) == 1 else _matches(*(np.concatenate(x) for x in zip(*parts)))
+
+
+def _groups(seed, at, rows, index, size, k):
+    """Matches of whole (row, item) pairs: all at once if they have few hits, else row by row and some items at a time."""
+
+    def hits(seed, at, keys):
+        low = np.searchsorted(keys, seed)
+        hit = np.flatnonzero(keys[np.minimum(low, len(keys) - 1)] == seed)
+        low = low[hit]
+        return at[hit], low, np.searchsorted(keys, seed[hit], "right") - low
+
+    at, low, n = hits(seed, at, index[0])
+    if not len(at):
+        return
+    if n.sum() <= HITS:
+        yield _expanded(rows, at, low, n, index)
+        return
+    first = np.flatnonzero(runs(rows[at]))
+    for a, b in zip(first, np.append(first[1:], len(at))):
+        if n[a:b].sum() <= HITS:
+            yield _expanded(rows, at[a:b], low[a:b], n[a:b], index)
+            continue
+        # Hits of each item, counted by entry of the index; an item with too few for its coverage can't leak.
+        change = np.zeros(len(index[0]) + 1, np.int64)
+        np.add.at(change, low[a:b], 1)
+        np.add.at(change, low[a:b] + n[a:b], -1)
+        count = np.bincount(index[1], np.cumsum(change)[:-1], len(size)).astype(np.int64)
+        count[count * k < COVERAGE * size] = 0
+        own = np.flatnonzero(count)
+        entries = low[a:b]
+        for x, y in slices(np.concatenate([[0], np.cumsum(count[own])]), HITS):
+            mine = np.zeros(len(size), bool)
+            mine[own[x:y]] = True
+            mine = mine[index[1]]
+            part = tuple(column[mine] for column in index)
+            at_, low_, n_ = hits(index[0][entries], at[a:b], part[0])
+            yield _expanded(rows, at_, low_, n_, part)
+
+
 def _found(column: pa.Array, index: dict) -> Iterator[tuple[int, int, int, int]]:
     """(row, item, tiles, words under them) of the items that a row's text covers enough."""
     data, offsets = flat(column)
@@ -84,31 +170,17 @@ def _found(column: pa.Array, index: dict) -> Iterator[tuple[int, int, int, int]]
             if k not in index:
                 continue
             seed, at = grams(hashes, rows, k)
-            keys, items, places = index[k]
-            low = np.searchsorted(keys, seed)
-            hit = np.flatnonzero(keys[np.minimum(low, len(keys) - 1)] == seed)
-            if not len(hit):
-                continue
-            low = low[hit]
-            n = np.searchsorted(keys, seed[hit], "right") - low
-            entry = np.repeat(low, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-            d, item, i = np.repeat(at[hit], n), items[entry], places[entry]
-            row, diagonal = rows[d], d - i
-            order = np.lexsort((d, diagonal, item, row))
-            row, item, d, i, diagonal = (x[order] for x in (row, item, d, i, diagonal))
-            head = runs(row, item, diagonal, d - np.arange(len(d)))
-            first = np.flatnonzero(head)
-            length = np.diff(np.append(first, len(d))) + k - 1
-            row, item, d, i = row[first], item[first], d[first], i[first]
-            pair = np.flatnonzero(runs(row, item))
-            for a, b in zip(pair, np.append(pair[1:], len(row))):
-                whole = int(size[item[a]])
-                if length[a:b].sum() < COVERAGE * whole:
-                    continue
-                tiles = tile(list(zip(d[a:b].tolist(), i[a:b].tolist(), length[a:b].tolist())), k)
-                covered = sum(t[2] for t in tiles)
-                if covered >= COVERAGE * whole:
-                    yield start + int(row[a]), int(item[a]), len(tiles), covered
+            for row, item, d, i, seeds in _groups(seed, at, rows, index[k], size, k):
+                length = seeds + k - 1
+                pair = np.flatnonzero(runs(row, item))
+                for a, b in zip(pair, np.append(pair[1:], len(row))):
+                    whole = int(size[item[a]])
+                    if length[a:b].sum() < COVERAGE * whole:
+                        continue
+                    tiles = tile(np.column_stack((d[a:b], i[a:b], length[a:b])), k, whole)
+                    covered = sum(t[2] for t in tiles)
+                    if covered >= COVERAGE * whole:
+                        yield start + int(row[a]), int(item[a]), len(tiles), covered
 
 
 def _blocks(benchmark: DataFrame) -> Iterator[tuple[list, object]]:
