@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 # Fixed value: term buckets returned by one term aggregation.
 TERM_BUCKETS = 10_000
+#: Hashed counters of the first pass of ``frequent_term_count``; bounds the rows it shuffles per task and broadcasts.
+HASHED_COUNTERS = 1 << 20
 
 
 def row_count(df: DataFrame, name: str = "count") -> DataFrame:
@@ -68,6 +70,23 @@ def term_count(df: DataFrame, terms: Column, min_doc_count: int = 1, limit: int
     return counts if limit is None else top_terms(counts, limit)
 
 
+def frequent_term_count(df: DataFrame, terms: Column, min_doc_count: int, counters: int = HASHED_COUNTERS) -> DataFrame:
+    """Documents per term of the terms in at least ``min_doc_count`` rows, without shuffling most rare terms.
+
+    A first pass counts terms by hash in ``counters`` counters: a counter is an upper bound of its terms' counts.
+    Only terms whose counter reaches the minimum are shuffled and counted, exactly, in a second pass, so the
+    result does not depend on ``counters``. What is saved is the shuffle of rare terms, as long as a counter has
+    fewer than ``min_doc_count`` of them on average; the price is that texts are analysed twice. Give more
+    counters for more distinct terms. A NULL array has no terms; a NULL term counts like any other.
+    """
+    bucket = F.pmod(F.xxhash64("term"), F.lit(counters))
+    each = df.select(F.explode(F.array_distinct(terms)).alias("term")).withColumn("_bucket", bucket)
+    reached = each.groupBy("_bucket").agg(F.count("*").alias("_most")).where(F.col("_most") >= min_doc_count)
+    # At most one number per counter.
+    possible = each.join(F.broadcast(reached.select("_bucket")), "_bucket", "left_semi")
+    return possible.groupBy("term").agg(F.count("*").alias("n")).where(F.col("n") >= min_doc_count)
+
+
 def word_frequency(df: DataFrame, tokens: Column, stop_words: list[str] | None = None) -> DataFrame:
     """Occurrences per token, optionally without stop words."""
     words = df.select(F.explode(tokens).alias("term"))

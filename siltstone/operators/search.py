@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from siltstone.functions.text import analyze
@@ -77,3 +77,50 @@ def match_search(
         .orderBy(F.desc("score"), F.asc(doc_id))
         .limit(k)
     )
+
+
+def match_search_many(
+    df: DataFrame,
+    doc_id: str,
+    text: str,
+    queries: DataFrame,
+    query_id: str,
+    query: str,
+    analyzer: Callable[[Column], Column] = analyze,
+    k: int = HITS,
+    stored_terms: str | None = None,
+) -> DataFrame:
+    """The k best documents of every query as (query_id, rank, doc_id, score), as so many single searches would give.
+
+    Rows of one ``query_id`` are one query. A query without text, terms or hits has no rows. Only rows of terms that
+    some query asks for are shuffled, by document and term, and written. The k best of a query are taken in every
+    task before what is left is sent to the query's task: k rows of each, however many documents it hits. No side is
+    forced to be broadcast, as queries can be many; a term in most documents is scored once for each query that has it.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, "hits")
+    terms = F.col(stored_terms) if stored_terms else analyzer(F.col(text))
+    asked = queries.select(F.col(query_id).alias("_query"), F.explode(analyzer(F.col(query))).alias("term")).distinct()
+    lengths = df.select(F.size(terms).alias("_length")).where(F.col("_length") > 0)
+    stats = lengths.agg(F.struct(F.count("*").alias("docs"), F.avg("_length").alias("length"))).scalar()
+    (
+        df.select(F.col(doc_id).alias("_doc"), terms.alias("_terms"))
+        .select("_doc", F.size("_terms").alias("_length"), F.explode("_terms").alias("term"))
+        .join(asked.select("term").distinct(), "term", "left_semi")
+        .groupBy("_doc", "_length", "term").agg(F.count("*").alias("_tf"))
+        .write.parquet(path)
+    )
+    hits = spark.read.parquet(path)
+    having = hits.groupBy("term").agg(F.count("*").alias("_having"))
+    idf = F.log1p((F.col("_stats")["docs"] - F.col("_having") + 0.5) / (F.col("_having") + 0.5))
+    norm = BM25_K1 * (1 - BM25_B + BM25_B * F.col("_length") / F.col("_stats")["length"])
+    part = F.struct("term", (idf * F.col("_tf") / (F.col("_tf") + norm)).alias("part"))
+    parts = F.array_sort(F.collect_list(part))  # one per term of the query
+    scores = (
+        hits.join(asked.join(having, "term"), "term")
+        .withColumn("_stats", stats)
+        .groupBy("_query", "_doc").agg(F.aggregate(parts, F.lit(0.0), lambda total, x: total + x["part"]).alias("score"))
+    )
+    best = Window.partitionBy("_query").orderBy(F.desc("score"), F.asc("_doc"))
+    ranked = scores.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+    return ranked.select(F.col("_query").alias("query_id"), "rank", F.col("_doc").alias("doc_id"), "score")

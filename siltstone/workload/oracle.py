@@ -205,6 +205,20 @@ _SEARCH = f"""
           FROM tf JOIN df USING (term) JOIN lengths USING (doc), corpus GROUP BY tf.doc
           ORDER BY score DESC, tf.doc LIMIT 10)"""
 
+_SEARCH_MANY = f"""
+    WITH rows AS MATERIALIZED ({_term_rows('documents', 'doc_id', 'text')}),
+    query AS (SELECT DISTINCT doc AS query_id, term FROM ({_term_rows('benchmark', 'item_id', 'text')})),
+    lengths AS (SELECT doc, count(*) AS len FROM rows GROUP BY doc),
+    corpus AS (SELECT count(*) AS docs, avg(len) AS avg_len FROM lengths),
+    tf AS (SELECT doc, term, count(*) AS tf FROM rows WHERE term IN (SELECT term FROM query) GROUP BY doc, term),
+    df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+    parts AS (SELECT query_id, doc, term, ln(1 + (docs - df + 0.5) / (df + 0.5)) * tf / (tf + 1.2 * (1 - 0.75 + 0.75 * len / avg_len)) AS part
+              FROM query JOIN tf USING (term) JOIN df USING (term) JOIN lengths USING (doc), corpus),
+    scores AS (SELECT query_id, doc, list_reduce(list(part ORDER BY term), lambda a, b: a + b) AS score FROM parts GROUP BY query_id, doc)
+    SELECT query_id, CAST(rank AS INTEGER) AS rank, doc AS doc_id, round(score, {SCORE_DIGITS}) AS score
+    FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc) AS rank FROM scores)
+    WHERE rank <= 10"""
+
 _SILVER = f"""
     SELECT (page_id % 4) * 1000000000 + page_id // 4 AS id, '{PAGE_SOURCE}' AS source,
            CAST(page_id AS INTEGER) AS collect_id, title, array_to_string(tags, '|') AS tags,
@@ -269,6 +283,7 @@ ORACLE: dict[str, str] = {
     "term_count": _DOC_TERM_COUNTS,
     "term_count_min3": f"SELECT * FROM ({_DOC_TERM_COUNTS}) WHERE n >= 3",
     "term_count_min10": f"SELECT * FROM ({_DOC_TERM_COUNTS}) WHERE n >= 10",
+    "frequent_terms": f"SELECT * FROM ({_DOC_TERM_COUNTS}) WHERE n >= 10",
     "term_buckets": f"SELECT * FROM ({_DOC_TERM_COUNTS}) ORDER BY n DESC, term LIMIT 10000",
     "term_top": f"SELECT * FROM ({_DOC_TERM_COUNTS}) ORDER BY n DESC, term LIMIT 100",
     "word_frequency": f"""
@@ -282,6 +297,7 @@ ORACLE: dict[str, str] = {
     "relative_weight": _relative(_DOC_TERM_COUNTS),
     "match_search": _SEARCH,
     "match_search_stored": _SEARCH,
+    "match_search_many": _SEARCH_MANY,
     "weighted_points": f"SELECT term, points FROM ({_points(_FIELD_COUNTS, SCORED_FIELDS)})",
     "weighted_points_buckets": f"SELECT term, points FROM ({_points(_FIELD_COUNTS, SCORED_FIELDS, 10000)})",
     "term_scoring": _SCORING,

@@ -278,6 +278,10 @@ def term_count_min10(spark, sf_dir):
     return counts.term_count(documents(spark, sf_dir), text.analyze("text"), 10)
 
 
+def frequent_terms(spark, sf_dir):
+    return counts.frequent_term_count(documents(spark, sf_dir), text.analyze("text"), 10)
+
+
 def term_buckets(spark, sf_dir):
     return counts.term_count(documents(spark, sf_dir), text.analyze("text"), limit=counts.TERM_BUCKETS)
 
@@ -308,6 +312,13 @@ def match_search(spark, sf_dir):
     return hits.withColumn("score", F.round("score", SCORE_DIGITS))
 
 
+def match_search_many(spark, sf_dir):
+    """All benchmark texts as queries over all documents."""
+    asked = table(spark, sf_dir, "benchmark", "item_id", "text")
+    hits = search.match_search_many(documents(spark, sf_dir), "doc_id", "text", asked, "item_id", "text")
+    return hits.withColumn("score", F.round("score", SCORE_DIGITS))
+
+
 def match_search_stored(spark, sf_dir):
     index = written_copy(spark, sf_dir)
     hits = search.match_search(index, "doc_id", "text", SEARCH_TEXT, stored_terms="text_terms")
@@ -615,9 +626,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         abnormal_records, content_id, row_label,
         tag_count, company_count, row_count, keyword_count, frequency_table, frequency_table_top, frequency_map,
         tokenize, token_word_count, stopwords_english, stopwords_vietnamese, shingles, number_blank, analyze_text,
-        tag_terms, term_count, term_count_min3, term_count_min10, term_buckets, term_top, word_frequency,
+        tag_terms, term_count, term_count_min3, term_count_min10, frequent_terms, term_buckets, term_top, word_frequency,
         word_frequency_stop, most_frequent, relative_weight, match_search,
-        match_search_stored,
+        match_search_stored, match_search_many,
         weighted_points, weighted_points_buckets, term_scoring, tag_points, other_points, posting_scores,
         posting_scores_stored, posting_scores_strict, tag_points_table, other_points_table, term_flags,
         terms_allowed, terms_dropped, dictionary_duplicates, dictionary_sorted,

@@ -1,3 +1,4 @@
+import random
 from collections import Counter
 
 from pyspark.sql import functions as F
@@ -40,6 +41,20 @@ def test_one_term_in_every_row(spark):
     assert got == {"hot": 20_000}
 
 
+def test_frequent_terms_do_not_depend_on_the_counters(spark):
+    rng = random.Random(21)
+    rows = [" ".join(f"w{int(rng.paretovariate(0.6)) % 900}" for _ in range(rng.randint(0, 30))) for _ in range(300)]
+    df = docs(spark, *rows, None, "", rows[0])
+    plain = as_dict(counts.term_count(df, text.analyze("t")))
+    for least in (1, 4, 50, 10**6):
+        want = {term: n for term, n in plain.items() if n >= least}
+        for counters in (1, 64, counts.HASHED_COUNTERS):
+            assert as_dict(counts.frequent_term_count(df, text.analyze("t"), least, counters)) == want
+    assert as_dict(counts.frequent_term_count(df.limit(0), text.analyze("t"), 2)) == {}
+    nulls = spark.createDataFrame([([None, "a", "_bucket"],), ([None, "a"],), (None,), ([],)], "term array<string>")
+    assert as_dict(counts.frequent_term_count(nulls, F.col("term"), 2)) == {None: 2, "a": 2}
+
+
 def test_word_frequency(spark):
     df = docs(spark, "the cat the dog", "a cat")
     assert as_dict(counts.word_frequency(df, text.tokenize("t"))) == {"the": 2, "cat": 2, "dog": 1, "a": 1}

@@ -1,8 +1,10 @@
 import math
 import random
 
+from pyspark.sql import functions as F
+
 from siltstone.functions import text
-from siltstone.operators.search import match_search
+from siltstone.operators.search import match_search, match_search_many
 
 K1, B = 1.2, 0.75
 
@@ -50,3 +52,34 @@ def test_no_match(spark):
     df = spark.createDataFrame([(1, "java sql")], "id int, t string")
     assert match_search(df, "id", "t", "kotlin").collect() == []
     assert match_search(df, "id", "t", "the of").collect() == []
+
+
+def test_many_queries_equal_single_searches(spark):
+    rng = random.Random(13)
+    words = [f"w{i}" for i in range(40)] + ["hot"] * 20
+    rows = [(i, " ".join(rng.choice(words) for _ in range(rng.randint(0, 12)))) for i in range(150)]
+    rows += [(200 + i, rows[i][1]) for i in range(20)] + [(999, None)]
+    asked = [(i, " ".join(rng.choice(words) for _ in range(rng.randint(1, 5)))) for i in range(200)]
+    df = spark.createDataFrame(rows, "id int, t string").withColumn("terms", text.tokenize("t")).withColumn("score", F.lit("x"))
+    queries = spark.createDataFrame([*asked, (300, None), (301, ""), (302, "nowhere"), (303, "w1"), (303, "w2")], "q int, said string")
+    documents = {i: (t or "").split() for i, t in rows}
+    for stored in (None, "terms"):
+        got = {}
+        for r in match_search_many(df, "id", "t", queries, "q", "said", text.tokenize, 5, stored).orderBy("query_id", "rank").collect():
+            got.setdefault(r["query_id"], []).append((r["rank"], r["doc_id"], r["score"]))
+        assert set(got) <= {*range(200), 303}
+        for q, said in [*asked, (303, "w1 w2")]:
+            want = brute_force(documents, sorted(set(said.split())), 5)
+            assert [x[:2] for x in got.get(q, [])] == [(n + 1, i) for n, (i, _) in enumerate(want)]
+            assert all(abs(x[2] - score) < 1e-9 for x, (_, score) in zip(got.get(q, []), want))
+    single = match_search(df, "id", "t", asked[0][1], text.tokenize, 5).collect()
+    assert [(r["id"], r["score"]) for r in single] == [x[1:] for x in got[0]]
+    assert match_search_many(df, "id", "t", queries.limit(0), "q", "said", text.tokenize).count() == 0
+    assert match_search_many(df.limit(0), "id", "t", queries, "q", "said", text.tokenize).count() == 0
+
+
+def test_the_best_of_a_query_are_cut_before_the_shuffle(spark):
+    df = spark.createDataFrame([(1, "java sql")], "id int, t string")
+    queries = spark.createDataFrame([(1, "java")], "q int, said string")
+    plan = match_search_many(df, "id", "t", queries, "q", "said", text.tokenize)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("WindowGroupLimit") == 2
