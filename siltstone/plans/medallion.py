@@ -22,6 +22,7 @@ from siltstone.schemas import ANALYSED_FIELDS, BRONZE_SCHEMA, GOLD_TAG_SCHEMA, S
 from siltstone.sources import keyed
 from siltstone.sources.records import to_bronze, to_messages
 from siltstone.sources.tables import TableSpec, read_table, read_table_stream, write_table
+from siltstone.streaming.fanout import add_counts, append_batch, fan_out, read_batches, upsert_batch
 from siltstone.streaming.sinks import append_to_table, read_keyed_table, update_to_table, upsert_to_table
 
 
@@ -63,6 +64,14 @@ class Lakehouse:
     def silver(self) -> TableSpec:
         return self._table("silver", SILVER_SCHEMA)
 
+    @property
+    def silver_batches(self) -> TableSpec:
+        return self._table("silver_batches", SILVER_SCHEMA)
+
+    @property
+    def commits(self) -> TableSpec:
+        return self._table("commits")
+
     @property
     def gold_tags(self) -> TableSpec:
         return self._table("gold/tags", GOLD_TAG_SCHEMA)
@@ -189,6 +198,30 @@ def run_processing(
     return silver
 
 
+def run_processing_together(
+    spark: SparkSession,
+    lake: Lakehouse,
+    selectors: PostingSelectors = PostingSelectors(),
+    files_per_batch: int | None = None,
+) -> DataFrame:
+    """Bronze to silver, index and gold tag counts, by one stream that parses and reads every page once.
+
+    A batch counts when all three have it (see :mod:`siltstone.streaming.fanout`); a run that died between two
+    of them is finished by the next. Gives the silver rows of whole batches. A lake is processed either so or
+    by :func:`run_processing`, as both number the batches of the same index and counts.
+    """
+    fan_out(
+        to_silver(read_table_stream(spark, lake.bronze, files_per_batch), selectors),
+        lake.commits,
+        {
+            "silver": append_batch(lake.silver_batches),
+            "index": upsert_batch(lake.index, "id", ["id"]),
+            "gold": add_counts(lake.gold_tags, "tag", "tag_post_count", tag_count),
+        },
+    )
+    return read_batches(spark, lake.silver_batches, lake.commits)
+
+
 # Analysis --------------------------------------------------------------------------------------
 
 def run_analysis(spark: SparkSession, lake: Lakehouse, words: int | None = None) -> DataFrame:
@@ -248,10 +281,14 @@ def run_stages(
     records: DataFrame,
     selectors: PostingSelectors = PostingSelectors(),
     files_per_batch: int | None = None,
+    processing: Callable[..., DataFrame] = run_processing,
 ) -> DataFrame:
-    """Storage, processing and analysis of what a record stream holds."""
+    """Storage, processing and analysis of what a record stream holds.
+
+    ``processing`` is :func:`run_processing` or :func:`run_processing_together`.
+    """
     run_storage(records, lake.bronze)
-    run_processing(spark, lake, selectors, files_per_batch)
+    processing(spark, lake, selectors, files_per_batch)
     return run_analysis(spark, lake)
 
 
@@ -266,6 +303,7 @@ def run_all(
     limit: int | None = None,
     last_seen: str | None = None,
     files_per_batch: int | None = None,
+    processing: Callable[..., DataFrame] = run_processing,
 ) -> DataFrame | None:
     """The whole chain; the stages after integration run only if there are new postings.
 
@@ -283,7 +321,7 @@ def run_all(
     write_gaps(next_gaps(collected, "digest", LISTING, gaps, limit), lake)
     first = high_water_mark(collected, "digest", LISTING)
     write_table(first.withColumn("moved", F.current_timestamp()), lake.markers, "append")
-    return run_stages(spark, lake, receive(), selectors, files_per_batch)
+    return run_stages(spark, lake, receive(), selectors, files_per_batch, processing)
 
 
 def next_marker(spark: SparkSession, lake: Lakehouse) -> DataFrame:

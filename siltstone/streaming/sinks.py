@@ -6,13 +6,15 @@ returns when it is done, or at once with ``wait=False``; it gives the streaming
 
 from __future__ import annotations
 
+import threading
+import uuid
 from collections.abc import Callable, Sequence
 from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery, StreamingQueryListener
 
 from siltstone.operators.counts import row_count
 from siltstone.operators.incremental import latest_per_key
@@ -139,12 +141,68 @@ def _with_columns(table: TableSpec, *names: str) -> TableSpec:
     return replace(table, schema=T.StructType(table.schema.fields + added))
 
 
+class _Progress(StreamingQueryListener):
+    """Collects what every batch of a query observed; ``ended`` is set after the last of them."""
+
+    def __init__(self, name: str):
+        self.name, self.rows, self.ended = name, {}, {}
+
+    def end_of(self, run: str) -> threading.Event:
+        return self.ended.setdefault(run, threading.Event())
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        progress = event.progress
+        seen = progress.observedMetrics.get(self.name)
+        if seen is not None:
+            self.rows.setdefault(str(progress.runId), {})[progress.batchId] = seen["rows"]
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        self.end_of(str(event.runId)).set()
+
+
+def counted_stream(df: DataFrame, start: Callable[[DataFrame], StreamingQuery], seconds: float = 60.0) -> dict[int, int]:
+    """Run a one-shot stream and give the rows of each of its batches, counted in the same pass.
+
+    ``start`` starts the query over the stream it is given and may wait for its end. Progress is told after
+    the fact, so this waits up to ``seconds`` for the last of it once the query has ended. A batch without new
+    rows may be missing. A query that fails raises its error here.
+    """
+    progress = _Progress(f"rows_{uuid.uuid4().hex}")
+    streams = df.sparkSession.streams
+    streams.addListener(progress)
+    try:
+        query = start(df.observe(progress.name, F.count(F.lit(1)).alias("rows")))
+        query.awaitTermination()
+        run = str(query.runId)
+        if not progress.end_of(run).wait(seconds):
+            raise TimeoutError("the progress of the stream has not been told")
+        return progress.rows.get(run, {})
+    finally:
+        streams.removeListener(progress)
+
+
 def show_stream(df: DataFrame, description: str = "", with_count: bool = True, output_mode: str = "append") -> None:
-    """Print a stream once and, if asked, its total row count."""
+    """Print a stream once and, if asked, its total row count, both from one query.
+
+    In complete mode the count is that of the last result, else of all rows given.
+    """
     print(f"console: {description}")
-    _run(df.writeStream.format("console").outputMode(output_mode), wait=True)
-    if with_count:
-        _run(row_count(df).writeStream.format("console").outputMode("complete"), wait=True)
+
+    def start(rows: DataFrame) -> StreamingQuery:
+        return _run(rows.writeStream.format("console").outputMode(output_mode), wait=True)
+
+    if not with_count:
+        start(df)
+        return
+    rows = counted_stream(df, start)
+    total = rows.get(max(rows), 0) if rows and output_mode == "complete" else sum(rows.values())
+    print(f"rows: {total}")
 
 
 def count_to_table(df: DataFrame, table: TableSpec, wait: bool = True) -> StreamingQuery:

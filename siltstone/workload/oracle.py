@@ -10,7 +10,7 @@ from siltstone.functions.predicates import DROP_WORDS
 from siltstone.functions.text import ENGLISH_STOP_WORDS, VIETNAMESE_STOP_WORDS
 from siltstone.operators.scoring import POSTING_FIELDS, POSTING_FIELDS_STRICT
 from siltstone.workload.queries import (
-    ABSENT, LAST_SEEN, LAST_SEEN_PAGE, LISTED_UNTIL, PAGE_SOURCE, READ_USERS, RUN_LIMIT, SCORE_DIGITS, SCORED_FIELDS, SEARCH_TEXT,
+    ABSENT, LAST_SEEN, LAST_SEEN_PAGE, LISTED_UNTIL, PAGE_SOURCE, READ_USERS, REPORT_PARTITIONS, RUN_LIMIT, SCORE_DIGITS, SCORED_FIELDS, SEARCH_TEXT,
 )
 
 
@@ -361,10 +361,13 @@ ORACLE: dict[str, str] = {
         QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) = 1""",
     "medallion_flow": _relative(f"SELECT tag AS term, count(*) AS n FROM ({_PAGE_TAGS}) GROUP BY tag"),
     "medallion_silver": _SILVER,
+    "medallion_together": _SILVER,
+    "medallion_together_weights": _relative(f"SELECT tag AS term, count(*) AS n FROM ({_PAGE_TAGS}) GROUP BY tag"),
     "medallion_index": _SILVER,
     "integration_messages": f"""
         SELECT md5(raw) AS raw_md5, 'source' AS header1, 'message_group_id' AS header2,
                '{PAGE_SOURCE}' AS value1, 'run 1' AS value2
         FROM ({_since(_COLLECTED, LAST_SEEN_PAGE, "digest")})""",
     "table_rows": "SELECT count(*) AS row_count FROM lineitem",
+    "table_partitions": f"SELECT CAST({REPORT_PARTITIONS} AS BIGINT) AS partitions, count(*) AS row_count FROM lineitem",
 }

@@ -17,6 +17,7 @@ from siltstone.sources.dictionary import dictionary_lines, duplicate_entries, so
 from siltstone.sources.records import read_record_files, to_bronze, value_text
 from siltstone.sources.tables import TableSpec, read_table, table_report, write_table
 from siltstone.streaming import sinks
+from siltstone.streaming.fanout import read_batches
 
 # The sample pages have no posting classes: title, first heading, navigation entries, paragraphs.
 PAGE_SELECTORS = PostingSelectors(title="title", company="h1", tag_list="ul", paragraph="p")
@@ -37,6 +38,7 @@ LAST_SEEN_PAGE = "123fb1f9a8f717ce5c3d62699e3809e6e24c0b29c5074fb2dbe63dbd8debda
 RUN_LIMIT = 1000
 # Days since 1970: the first and the second listing end before them.
 LISTED_UNTIL = (10_341, 10_830)
+REPORT_PARTITIONS = 8
 # Keys of a point read.
 READ_USERS = (7, 42, 99, 10**9)
 
@@ -574,7 +576,7 @@ def analysed_changes(spark, sf_dir):
     )
 
 
-def _run_lake(spark: SparkSession, sf_dir: str) -> tuple[medallion.Lakehouse, DataFrame]:
+def _run_lake(spark: SparkSession, sf_dir: str, **options) -> tuple[medallion.Lakehouse, DataFrame]:
     lake = medallion.Lakehouse(scratch_path(spark, "lake"))
 
     def send(postings: DataFrame) -> None:
@@ -583,7 +585,7 @@ def _run_lake(spark: SparkSession, sf_dir: str) -> tuple[medallion.Lakehouse, Da
 
     weights = medallion.run_all(
         spark, lake, fetched_pages(spark, sf_dir), F.lit(PAGE_SOURCE), send,
-        lambda: read_record_files(spark, lake.records.data_path), PAGE_SELECTORS,
+        lambda: read_record_files(spark, lake.records.data_path), PAGE_SELECTORS, **options,
     )
     return lake, weights
 
@@ -603,6 +605,17 @@ def medallion_index(spark, sf_dir):
     return posting_row(sinks.read_keyed_table(spark, lake.index, "id"))
 
 
+def medallion_together(spark, sf_dir):
+    """Silver rows of whole batches, where one stream writes silver, index and counts."""
+    lake, _ = _run_lake(spark, sf_dir, processing=medallion.run_processing_together, files_per_batch=1)
+    return posting_row(read_batches(spark, lake.silver_batches, lake.commits))
+
+
+def medallion_together_weights(spark, sf_dir):
+    _, weights = _run_lake(spark, sf_dir, processing=medallion.run_processing_together, files_per_batch=1)
+    return weights.withColumn("weight", F.round("weight", SCORE_DIGITS))
+
+
 def integration_messages(spark, sf_dir):
     collected = TableSpec(scratch_path(spark, "collected"))
     postings = medallion.run_integration(
@@ -619,6 +632,11 @@ def table_rows(spark, sf_dir):
     return table_report(table(spark, sf_dir, "lineitem")).select("row_count")
 
 
+def table_partitions(spark, sf_dir):
+    """Partitions and rows of a table dealt to eight partitions."""
+    return table_report(table(spark, sf_dir, "lineitem").repartition(REPORT_PARTITIONS))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in [
@@ -635,6 +653,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         batch_concat, page_max, latest_limit, since_marker, since_marker_absent, new_rows, limited_runs, high_water_mark,
         keyed_upsert, keyed_point_read, analysed_copy, analysed_changes,
         stream_bronze, stream_tag_count, stream_tag_update, stream_row_count, stream_keyed_upsert, stream_keyed_compacted,
-        medallion_flow, medallion_silver, medallion_index, integration_messages, table_rows,
+        medallion_flow, medallion_silver, medallion_index, medallion_together, medallion_together_weights, integration_messages,
+        table_rows, table_partitions,
     ]
 }
