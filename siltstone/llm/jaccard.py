@@ -25,7 +25,8 @@ n - 1 candidate pairs, a tree. A pair is refuted without its texts if bit sketch
 parity of the shingles in each of 2048 buckets) already differ in more bits than linked sets may in
 shingles; the others are verified on their whole texts. Verified pairs are links; their components are found by rounds of
 neighbourhood minima. Only where a tree pair failed and its ends are still in different components
-can a link be hidden: the documents around such pairs get their signatures again, and all pairs of
+can a link be hidden: the documents around such pairs get their signatures again, one entry per signature
+and block tells which signatures have several components, and all pairs of
 different components in one signature are compared by sketches in tiles of bounded size, and verified.
 Documents of one component need no further pairs.
 
@@ -47,8 +48,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from siltstone.llm.shared import (
-    U64, batch, checked_broadcast, flat, group_sums, mix, pack, runs, shingle_sets, signed, slices, small_batches, unpack, written,
+    BROADCAST_ROWS, U64, batch, checked_broadcast, flat, group_sums, mix, pack, runs, shingle_sets, signed, slices, small_batches, unpack, written,
 )
+from siltstone.operators.counts import candidates
 
 SHINGLE = 5
 #: Two sets link when LEAST_PER_100 * union <= 100 * intersection.
@@ -65,6 +67,8 @@ BLOCK, GROUP = 1_000_000, 500_000
 SIG_BYTES = 4
 #: Bits of a sketch.
 SKETCH_BITS = 2048
+#: Tasks that a key's rows are dealt to where they join a side too large to be shipped.
+SALTS = 16
 #: Documents of a tile in which pairs of different components are compared.
 TILE = 2048
 
@@ -389,54 +393,84 @@ def _tag(batches):
             yield batch(schema, nodes(b.column(0).slice(start, stop - start).cast(pa.int64()), classes), b.column(1).slice(start, stop - start))
 
 
-def _labelled_blocks(groups: int, common):
-    """Map side: blocks of (signature, node, component) by slice of the signature space."""
-    schema = pa.schema([("slice", pa.int32()), ("sig", pa.binary()), ("node", pa.binary()), ("component", pa.binary())])
+def _labelled(batches, common):
+    """(signatures, nodes, components) of rows (node, text, component), slice by slice."""
+    for b in batches:
+        data, offsets = flat(b.column(1))
+        for start, stop in slices(offsets):
+            part = offsets[start:stop + 1]
+            hashes, rows = shingle_sets(data[part[0]:part[-1]], part - part[0], SHINGLE)
+            sig, r = signatures(hashes, rows, stop - start, common.value)
+            yield sig, *(b.column(c).slice(start, stop - start).to_numpy()[r] for c in (0, 2))
+
+
+def _reduced(sig, lead, least, most, n):
+    """One entry per signature: its smallest node, smallest and largest component and number of members."""
+    order = np.argsort(sig, kind="stable")
+    sig, lead, least, most, n = (x[order] for x in (sig, lead, least, most, n))
+    first = np.flatnonzero(runs(sig))
+    if not len(first):
+        return sig, lead, least, most, n
+    return sig[first], np.minimum.reduceat(lead, first), np.minimum.reduceat(least, first), np.maximum.reduceat(most, first), np.add.reduceat(n, first)
+
+
+def _entry_blocks(groups: int, common):
+    """Map side: the entries of a block by slice of the signature space. A hot signature costs one entry per block."""
+    schema = pa.schema([("slice", pa.int32()), ("sig", pa.binary()), ("lead", pa.binary()), ("least", pa.binary()), ("most", pa.binary()), ("n", pa.binary())])
+    small = lambda x: zlib.compress(x.tobytes(), 1)
 
     def block(parts):
         sig, node, component = (np.concatenate(x) for x in zip(*parts))
+        sig, lead, least, most, n = _reduced(sig, node, component, component, np.ones(len(sig), np.int64))
         where = ((sig >> U64(8 * SIG_BYTES)) % U64(groups)).astype(np.int64)
         order = np.argsort(where, kind="stable")
-        cuts = np.searchsorted(where[order], np.arange(groups + 1))
-        rows = [(g, order[cuts[g]:cuts[g + 1]]) for g in range(groups) if cuts[g] < cuts[g + 1]]
-        return batch(schema, [g for g, _ in rows], [pack(sig[o], SIG_BYTES) for _, o in rows], [zlib.compress(node[o].tobytes(), 1) for _, o in rows], [zlib.compress(component[o].tobytes(), 1) for _, o in rows])
+        first = np.flatnonzero(runs(where[order])) if len(order) else order
+        filled = [order[x:y] for x, y in zip(first, np.append(first[1:], len(order)))]
+        # Most entries have one component, and many are their own: differences are mostly zeros.
+        columns = [sig, lead, least ^ lead, most ^ least, n]
+        return batch(schema, [where[o[0]] for o in filled], *([small(x[o]) for o in filled] for x in columns))
 
     def run(batches):
         parts, n = [], 0
-        for b in batches:
-            data, offsets = flat(b.column(1))
-            for start, stop in slices(offsets):
-                part = offsets[start:stop + 1]
-                hashes, rows = shingle_sets(data[part[0]:part[-1]], part - part[0], SHINGLE)
-                sig, r = signatures(hashes, rows, stop - start, common.value)
-                parts.append((sig, *(b.column(c).slice(start, stop - start).to_numpy()[r] for c in (0, 2))))
-                n += len(sig)
-                if n >= BLOCK:
-                    yield block(parts)
-                    parts, n = [], 0
+        for part in _labelled(batches, common):
+            parts.append(part)
+            n += len(part[0])
+            if n >= BLOCK:
+                yield block(parts)
+                parts, n = [], 0
         if n:
             yield block(parts)
 
     return run
 
 
-def _torn_members(table: pa.Table) -> pa.Table:
-    """(lead, node, component) of the signatures of one slice that have several components; two alone were a tree's pair."""
-    column = lambda name, back: np.concatenate([back(x.as_py()) for x in table.column(name)])
-    whole = lambda x: np.frombuffer(zlib.decompress(x), np.int64)
-    sig, node, component = column("sig", lambda x: unpack(x, SIG_BYTES)), column("node", whole), column("component", whole)
-    order = np.lexsort((node, sig))
-    sig, node, component = sig[order], node[order], component[order]
-    head = runs(sig)
-    run = np.cumsum(head) - 1
-    first = np.flatnonzero(head)
-    torn = (np.minimum.reduceat(component, first) != np.maximum.reduceat(component, first)) & (np.bincount(run) > 2)
-    keep = torn[run]
-    lead, node, component = node[first][run][keep], node[keep], component[keep]
-    order = np.lexsort((node, lead))
-    lead, node, component = lead[order], node[order], component[order]
-    new = runs(lead, node)
-    return pa.table({"lead": lead[new], "node": node[new], "component": component[new]})
+def _torn(table: pa.Table) -> pa.Table:
+    """(sig, lead) of the signatures of one slice that have several components; two members alone were a tree's pair."""
+    column = lambda name, kind: np.concatenate([np.frombuffer(zlib.decompress(x.as_py()), kind) for x in table.column(name)])
+    sig, lead, least, most, n = column("sig", U64), *(column(name, np.int64) for name in ("lead", "least", "most", "n"))
+    least = least ^ lead
+    sig, lead, least, most, n = _reduced(sig, lead, least, most ^ least, n)
+    torn = (least != most) & (n > 2)
+    return pa.table({"sig": signed(sig[torn]), "lead": lead[torn]})
+
+
+def _member_rows(common):
+    schema = pa.schema([("sig", pa.int64()), ("node", pa.int64()), ("component", pa.int64())])
+
+    def run(batches):
+        for sig, node, component in _labelled(batches, common):
+            yield batch(schema, signed(sig), node, component)
+
+    return run
+
+
+def spread_join(rows: DataFrame, side: DataFrame, key: str) -> DataFrame:
+    """Join with a narrow ``side`` of one row per key: shipped if it is counted to be small, else every key has ``SALTS`` tasks."""
+    count = side.count()
+    if count <= BROADCAST_ROWS:
+        return rows.join(checked_broadcast(side, count), key)
+    salted = side.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return rows.withColumn("salt", F.pmod(F.xxhash64("node"), F.lit(SALTS)).cast("int")).join(salted, [key, "salt"]).drop("salt")
 
 
 def _tiles(batches):
@@ -475,17 +509,21 @@ def _tiles(batches):
 def hidden_pairs(texts: DataFrame, labels: DataFrame, sketches: DataFrame, common, groups: int) -> DataFrame:
     """Pairs of different components in one signature that sketches don't refute. ``texts``: node, text.
 
-    Signatures are put together by their smallest node. Under it, the documents outside its largest
+    Entries of signatures tell which have several components; only rows of those go on, and no group holds the
+    members of one. Signatures are put together by their smallest node. Under it, the documents outside its largest
     component are dealt to tiles of ``TILE``, all documents likewise, and each tile of the first meets each of the second.
     """
     labelled = texts.join(labels, "node", "left").select("node", "text", F.coalesce("component", "node").alias("component"))
-    sent = labelled.mapInArrow(_labelled_blocks(groups, common), "slice int, sig binary, node binary, component binary")
-    member = written(sent.groupBy("slice").applyInArrow(_torn_members, "lead long, node long, component long").distinct(), "members")
+    labelled = small_batches(written(labelled, "labelled"))
+    sent = labelled.mapInArrow(_entry_blocks(groups, common), "slice int, sig binary, lead binary, least binary, most binary, n binary")
+    torn = written(sent.groupBy("slice").applyInArrow(_torn, "sig long, lead long"), "signatures")
+    every = labelled.mapInArrow(_member_rows(common), "sig long, node long, component long")
+    member = written(spread_join(every, torn, "sig").select("lead", "node", "component").distinct(), "members")
     sizes = member.groupBy("lead", "component").agg(F.count("*").alias("n"))
     sizes = sizes.groupBy("lead").agg(F.sum("n").alias("n"), F.max(F.struct("n", "component")).alias("main"))
     tiles = lambda n: F.ceil(n / TILE).cast("int")
     sizes = sizes.select("lead", F.col("main.component").alias("main"), tiles(F.col("n") - F.col("main.n")).alias("us"), tiles(F.col("n")).alias("rs"))
-    side = member.join(sizes.filter("us > 0"), "lead")
+    side = spread_join(member, written(sizes.filter("us > 0"), "sizes"), "lead")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     outer = side.filter("component <> main").withColumn("u", F.pmod(F.hash("node"), "us")).withColumn("r", every("rs")).withColumn("outer", F.lit(True))
     inner = side.withColumn("r", F.pmod(F.hash("node"), "rs")).withColumn("u", every("us")).withColumn("outer", F.lit(False))
@@ -500,7 +538,8 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     documents = small_batches(documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
     described = written(documents.mapInArrow(_describe, "doc_id long, node long, class long, n_shingles long, sketch binary, gram long, seen long"), "described")
     grams = described.filter("gram is not null").groupBy("gram").agg(F.sum("seen").alias("seen"))
-    grams = grams.orderBy(F.desc("seen"), "gram").limit(COMMON_MOST).select("gram").toPandas()["gram"].to_numpy(np.int64)
+    # A task sends a million rows to the last one only if they can be among the most frequent.
+    grams = candidates(grams, "seen", COMMON_MOST).orderBy(F.desc("seen"), "gram").limit(COMMON_MOST).select("gram").toPandas()["gram"].to_numpy(np.int64)
     common = documents.sparkSession.sparkContext.broadcast(np.sort(grams.view(U64)))
     described = described.filter("gram is null").drop("gram", "seen")
     filled = described.filter("n_shingles > 0")
