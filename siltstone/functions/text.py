@@ -24,14 +24,89 @@ VIETNAMESE_STOP_WORDS = [
 # Fixed value: a whole term that is a plain decimal number.
 NUMBER_PATTERN = "^(0|[1-9][0-9]*)$"
 
-# A token is a run of letter groups, digit groups and underscores with at least one letter or digit.
-# . ' and : join letters, . , ; and ' join digits; Han and Hiragana letters stand alone.
+# The pictographs of the public Unicode table (property Extended_Pictographic), as hexadecimal ranges.
+PICTOGRAPHS = """
+    A9 AE 203C 2049 2122 2139 2194-2199 21A9-21AA 231A-231B 2328 23CF 23E9-23F3 23F8-23FA 24C2 25AA-25AB 25B6 25C0
+    25FB-25FE 2600-2604 260E 2611 2614-2615 2618 261D 2620 2622-2623 2626 262A 262E-262F 2638-263A 2640 2642
+    2648-2653 265F-2660 2663 2665-2666 2668 267B 267E-267F 2692-2697 2699 269B-269C 26A0-26A1 26A7 26AA-26AB
+    26B0-26B1 26BD-26BE 26C4-26C5 26C8 26CE-26CF 26D1 26D3-26D4 26E9-26EA 26F0-26F5 26F7-26FA 26FD 2702 2705
+    2708-270D 270F 2712 2714 2716 271D 2721 2728 2733-2734 2744 2747 274C 274E 2753-2755 2757 2763-2764 2795-2797
+    27A1 27B0 27BF 2934-2935 2B05-2B07 2B1B-2B1C 2B50 2B55 3030 303D 3297 3299 1F004 1F02C-1F02F 1F094-1F09F
+    1F0AF-1F0B0 1F0C0 1F0CF-1F0D0 1F0F6-1F0FF 1F170-1F171 1F17E-1F17F 1F18E 1F191-1F19A 1F1AF-1F1E5 1F201-1F20F
+    1F21A 1F22F 1F232-1F23A 1F23C-1F23F 1F249-1F25F 1F266-1F321 1F324-1F393 1F396-1F397 1F399-1F39B 1F39E-1F3F0
+    1F3F3-1F3F5 1F3F7-1F3FA 1F400-1F4FD 1F4FF-1F53D 1F549-1F54E 1F550-1F567 1F56F-1F570 1F573-1F57A 1F587
+    1F58A-1F58D 1F590 1F595-1F596 1F5A4-1F5A5 1F5A8 1F5B1-1F5B2 1F5BC 1F5C2-1F5C4 1F5D1-1F5D3 1F5DC-1F5DE 1F5E1
+    1F5E3 1F5E8 1F5EF 1F5F3 1F5FA-1F64F 1F680-1F6C5 1F6CB-1F6D2 1F6D5-1F6E5 1F6E9 1F6EB-1F6F0 1F6F3-1F6FF
+    1F7DC-1F7F0 1F80C-1F80F 1F848-1F84F 1F85A-1F85F 1F888-1F88F 1F8AE-1F8AF 1F8BC-1F8BF 1F8C2-1F8CF 1F8D9-1F8FF
+    1F90C-1F93A 1F93C-1F945 1F947-1F9FF 1FA58-1FA5F 1FA6E-1FAFF 1FC00-1FFFD
+"""
+
+
+_BEYOND = r"(?=[^\x00-\x7F])"
+
+
+def _class(ascii_part: str, rest: str) -> str:
+    """The inside of a class that turns most ASCII characters away after one comparison."""
+    return rf"{ascii_part}[[^\x00-\x7F]&&[{rest}]]"
+
+
+# The classes of the public word-break rules (UAX #29), by properties; what the properties miss is written out.
+# Marks and format characters belong to the character before them.
+_EXTEND = _class("", r"\p{M}\p{Cf}\uFF9E\uFF9F\x{1F3FB}-\x{1F3FF}&&[^\u200B\u0600-\u0605\u06DD\u070F\u0890\u0891\u08E2\x{110BD}\x{110CD}]")
+_KATAKANA = _class("", r"\p{IsKatakana}\u3031-\u3035\u309B\u309C\u30A0\u30FC\uFF70")
+# Scripts without blanks between words, whose runs are one token.
+_UNSPACED = r"\p{IsThai}\p{IsLao}\p{IsMyanmar}\p{IsKhmer}\p{IsTai_Le}\p{IsNew_Tai_Lue}\p{IsTai_Tham}\p{IsTai_Viet}\p{IsAhom}"
+_HEBREW = r"[\p{IsHebrew}&&\p{L}]"
+# Latin ranges come first, as they are cheap to test.
+_LATIN = r"a-zA-Z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u02C1\u1E00-\u1EFF"
+_LETTER = _class(_LATIN, (
+    rf"[\p{{IsAlphabetic}}&&[^\p{{IsIdeographic}}\p{{IsHiragana}}\p{{M}}\uFF9E\uFF9F{_KATAKANA}{_UNSPACED}]]"
+    r"\u00B8\u02C2-\u02C5\u02D2-\u02D7\u02DE\u02DF\u02E5-\u02EB\u02ED\u02EF-\u02FF\u055A-\u055C\u055E\u058A\u05F3\u070F"
+    r"\uA708-\uA716\uA720\uA721\uA789\uA78A\uAB5B"
+))
+_DIGIT = _class("0-9", r"\p{Nd}\u0600-\u0605\u066B\u06DD\u0890\u0891\u08E2\u19DA\x{110BD}\x{110CD}")
+_JOIN_BOTH = r"\u2018\u2019\u2024\uFE52\uFF07\uFF0E"
+_JOIN_LETTERS = _class(".':", rf"\u00B7\u0387\u055F\u05F4\u2027\uFE13\uFE55\uFF1A{_JOIN_BOTH}")
+_JOIN_DIGITS = _class(".',;", rf"\u037E\u0589\u060C\u060D\u066C\u07F8\u2044\uFE50\uFE54\uFF0C\uFF1B{_JOIN_BOTH}")
+_LINK = _class("_", r"\p{Pc}\u202F")
+
+
+def _run(fast: str, first: str) -> str:
+    """A run of characters of a class, with the marks on them; ``fast`` is the part of the class that is cheap to test."""
+    slow = rf"[{first}{_EXTEND}]"
+    head = rf"[{fast}]++(?:{_BEYOND}{slow}++)?+|" if fast else ""
+    return rf"(?:{head}{_BEYOND}[{first}]{slow}*+)"
+
+
+def _ranges(table: str) -> str:
+    return "".join("-".join(rf"\x{{{end}}}" for end in entry.split("-")) for entry in table.split())
+
+
+# A token is a run of letter groups, digit groups, Katakana runs and underscores with at least one that is no
+# underscore; only an underscore joins Katakana to others. Ideographs and Hiragana stand alone, so do pictographs with
+# what is joined to them and pairs of regional indicators; a few signs are pictographs only if the selector says so.
 # Every quantifier is possessive, so long runs need neither backtracking nor stack depth.
-_LETTERS = r"[\p{L}\p{M}&&[\x00-\u3004\u30A0-\u33FF\uA000-\uF8FF\uFB00-\x{1FFFF}]]++"
-_DIGITS = r"\p{N}++"
-_GROUP = rf"{_LETTERS}(?:[.'’:]{_LETTERS})*+|{_DIGITS}(?:[.,;'’]{_DIGITS})*+"
-_IDEOGRAPH = r"[\u3005\u3006\u3041-\u309F\u3400-\u9FFF\uF900-\uFAFF\x{20000}-\x{3FFFF}&&\p{L}]\p{M}*+"
-TOKEN_PATTERN = rf"(?<!_)_*+(?:{_GROUP})(?:{_GROUP}|_)*+|{_IDEOGRAPH}"
+_X = rf"[{_EXTEND}]*+"
+_AFTER_HEBREW = rf"(?<={_HEBREW}[{_EXTEND}]{{0,4}}['\x22])"
+_INSIDE = rf"(?:[{_JOIN_LETTERS}]{_X}|\x22{_AFTER_HEBREW}{_X}(?={_HEBREW}))"
+_LETTERS = rf"{_run(_LATIN, _LETTER)}(?:{_INSIDE}{_run(_LATIN, _LETTER)})*+"
+_DIGITS = rf"{_run("0-9", _DIGIT)}(?:[{_JOIN_DIGITS}]{_X}{_run("0-9", _DIGIT)})*+"
+_GROUP = rf"(?:(?:{_LETTERS}|{_DIGITS})++|{_run("", _KATAKANA)})"
+_LINKS = _run("_", _LINK)
+_WORD = rf"(?:(?=[{_LINK}])(?<![{_LINK}]){_LINKS})?+{_GROUP}(?:{_LINKS}{_GROUP})*+(?:{_LINKS})?+(?:'{_AFTER_HEBREW}{_X})?+"
+_ALONE = rf"[\p{{IsIdeographic}}\p{{IsHan}}\p{{IsHiragana}}&&[\p{{L}}\p{{N}}\p{{So}}]]{_X}"
+_PICTOGRAPH = rf"(?![\u00A9\u00AE\u2122\u3030\u303D](?!\uFE0F))[{_ranges(PICTOGRAPHS)}](?!\uFE0E){_X}"
+_EMOJI = rf"{_PICTOGRAPH}(?:(?<=\u200D){_PICTOGRAPH})*+|(?:[\x{{1F1E6}}-\x{{1F1FF}}]{_X}){{2}}"
+_UNSPACED_RUN = _run("", rf"[[{_UNSPACED}]&&[\p{{L}}\p{{M}}]]")
+TOKEN_PATTERN = rf"{_WORD}|[#*]\uFE0F?+\u20E3|{_BEYOND}(?:{_ALONE}|{_UNSPACED_RUN}|{_EMOJI})"
+
+# The same tokens for texts of ASCII, Latin letters and common punctuation, which need no class by property.
+_PLAIN_TEXT = r"\x00-\x7F\u00A0\u00A7\u00AB\u00B0\u00BB-\u00BF\u00C0-\u02C1\u1E00-\u1EFF\u2010-\u2023\u2025\u2026\u20AC"
+_PLAIN_GROUP = rf"[{_LATIN}]++(?:[.':\u2018\u2019][{_LATIN}]++)*+|[0-9]++(?:[.',;\u2018\u2019][0-9]++)*+"
+PLAIN_PATTERN = rf"(?<!_)_*+(?:{_PLAIN_GROUP})(?:{_PLAIN_GROUP}|_)*+"
+
+#: Longer tokens are cut into pieces of so many characters, each of which is read anew.
+TOKEN_LENGTH = 255
 
 
 def _column(value: Column | str) -> Column:
@@ -54,9 +129,26 @@ def bind(value: Column, body: str) -> Column:
     return F.element_at(F.call_function("transform", F.array(value), F.expr(f"w -> {body}")), 1)
 
 
+_PIECES = f"""
+    flatten(transform(sequence(0, CAST((char_length(t) - 1) DIV {TOKEN_LENGTH} AS INT)),
+        i -> regexp_extract_all(substring(t, i * {TOKEN_LENGTH} + 1, {TOKEN_LENGTH}), r"{TOKEN_PATTERN}", 0)))"""
+
+# One possessive run over the text is many times faster than a search for a character outside the class.
+_TOKENS = rf"""
+    IF(w RLIKE r"\A[{_PLAIN_TEXT}]*+\z", regexp_extract_all(w, r"{PLAIN_PATTERN}", 0), regexp_extract_all(w, r"{TOKEN_PATTERN}", 0))"""
+
+# The number of bytes is at hand for every token, that of characters has to be counted.
+_CUT = f"""
+    IF(exists(w, t -> octet_length(t) > {TOKEN_LENGTH}),
+       flatten(transform(w, t -> IF(octet_length(t) > {TOKEN_LENGTH} AND char_length(t) > {TOKEN_LENGTH}, {_PIECES}, array(t)))), w)"""
+
+
 def tokenize(text: Column | str) -> Column:
-    """Lower-case word tokens in order; NULL for NULL."""
-    return F.regexp_extract_all(F.lower(_column(text)), F.lit(TOKEN_PATTERN), F.lit(0))
+    """Lower-case tokens in order, by the public word-break rules; NULL for NULL.
+
+    A token of more than ``TOKEN_LENGTH`` characters gives the tokens of its pieces.
+    """
+    return bind(bind(F.lower(_column(text)), _TOKENS), _CUT)
 
 
 def blank_stop_words(tokens: Column | str, words: list[str]) -> Column:
