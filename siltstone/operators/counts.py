@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from siltstone.session import scratch_path
+
 # Fixed value: term buckets returned by one term aggregation.
 TERM_BUCKETS = 10_000
 #: Hashed counters of the first pass of ``frequent_term_count``; bounds the rows it shuffles per task and broadcasts.
@@ -76,11 +78,15 @@ def frequent_term_count(df: DataFrame, terms: Column, min_doc_count: int, counte
     A first pass counts terms by hash in ``counters`` counters: a counter is an upper bound of its terms' counts.
     Only terms whose counter reaches the minimum are shuffled and counted, exactly, in a second pass, so the
     result does not depend on ``counters``. What is saved is the shuffle of rare terms, as long as a counter has
-    fewer than ``min_doc_count`` of them on average; the price is that texts are analysed twice. Give more
-    counters for more distinct terms. A NULL array has no terms; a NULL term counts like any other.
+    fewer than ``min_doc_count`` of them on average; the price is that the distinct terms of the rows are written to
+    the scratch folder, as both passes need them and analysing costs more. Give more counters for more distinct
+    terms. A NULL array has no terms; a NULL term counts like any other.
     """
+    spark = df.sparkSession
+    path = scratch_path(spark, "terms")
+    df.select(F.array_distinct(terms).alias("_terms")).write.parquet(path)
     bucket = F.pmod(F.xxhash64("term"), F.lit(counters))
-    each = df.select(F.explode(F.array_distinct(terms)).alias("term")).withColumn("_bucket", bucket)
+    each = spark.read.parquet(path).select(F.explode("_terms").alias("term")).withColumn("_bucket", bucket)
     reached = each.groupBy("_bucket").agg(F.count("*").alias("_most")).where(F.col("_most") >= min_doc_count)
     # At most one number per counter.
     possible = each.join(F.broadcast(reached.select("_bucket")), "_bucket", "left_semi")

@@ -92,3 +92,16 @@ def test_frequency_map_query_deals_tags_to_shards(spark, monkeypatch):
     assert sorted(map(tuple, queries.frequency_map(spark, "").collect())) == sorted(rows)
     sizes = [len(r["frequency"]) for r in made[0].collect()]
     assert sum(sizes) == 2000 and max(sizes) < 100
+
+
+def test_frequent_terms_analyse_every_text_once(spark):
+    df = spark.createDataFrame([("x a b",), ("x a c",), ("x",), (None,)], "t string").repartition(2)
+    analysed = spark.sparkContext.accumulator(0)
+
+    @F.udf("array<string>")
+    def terms(t):
+        analysed.add(1)
+        return t and t.split()
+
+    assert as_dict(counts.frequent_term_count(df, terms("t"), 2)) == {"x": 3, "a": 2}
+    assert analysed.value == 4
