@@ -92,8 +92,9 @@ def match_search_many(
 ) -> DataFrame:
     """The k best documents of every query as (query_id, rank, doc_id, score), as so many single searches would give.
 
-    Rows of one ``query_id`` are one query. A query without text, terms or hits has no rows. Only rows of terms that
-    some query asks for are shuffled, by document and term, and written. The k best of a query are taken in every
+    Rows of one ``query_id`` are one query. A query without text, terms or hits has no rows. Texts are analysed once:
+    only rows of terms that some query asks for, and one row per document for the statistics, are shuffled, by document
+    and term, and written. The k best of a query are taken in every
     task before what is left is sent to the query's task: k rows of each, however many documents it hits. No side is
     forced to be broadcast, as queries can be many; a term in most documents is scored once for each query that has it.
     """
@@ -101,16 +102,24 @@ def match_search_many(
     path = scratch_path(spark, "hits")
     terms = F.col(stored_terms) if stored_terms else analyzer(F.col(text))
     asked = queries.select(F.col(query_id).alias("_query"), F.explode(analyzer(F.col(query))).alias("term")).distinct()
-    lengths = df.select(F.size(terms).alias("_length")).where(F.col("_length") > 0)
-    stats = lengths.agg(F.struct(F.count("*").alias("docs"), F.avg("_length").alias("length"))).scalar()
+    wanted = asked.select(F.col("term").alias("_wanted")).distinct()
+    # The row without a term stands for the document itself; its key in the join is the id, so that these rows are spread.
+    with_itself = F.concat(F.array(F.lit(None).cast("string")), F.array_compact("_terms"))
+    key = F.coalesce("term", F.col("_doc").cast("string"))
     (
         df.select(F.col(doc_id).alias("_doc"), terms.alias("_terms"))
-        .select("_doc", F.size("_terms").alias("_length"), F.explode("_terms").alias("term"))
-        .join(asked.select("term").distinct(), "term", "left_semi")
+        .select("_doc", F.size("_terms").alias("_length"), F.explode(with_itself).alias("term"))
+        .join(wanted, key == F.col("_wanted"), "left")
+        .where(F.col("term").isNull() | F.col("_wanted").isNotNull())
         .groupBy("_doc", "_length", "term").agg(F.count("*").alias("_tf"))
         .write.parquet(path)
     )
-    hits = spark.read.parquet(path)
+    found = spark.read.parquet(path)
+    hits = found.where(F.col("term").isNotNull())
+    # Rows of one id and length are one row here, with their number.
+    docs, total = F.sum("_tf"), F.sum(F.col("_tf") * F.col("_length"))
+    with_terms = found.where(F.col("term").isNull() & (F.col("_length") > 0))
+    stats = with_terms.agg(F.struct(docs.alias("docs"), (total / docs).alias("length"))).scalar()
     having = hits.groupBy("term").agg(F.count("*").alias("_having"))
     idf = F.log1p((F.col("_stats")["docs"] - F.col("_having") + 0.5) / (F.col("_having") + 0.5))
     norm = BM25_K1 * (1 - BM25_B + BM25_B * F.col("_length") / F.col("_stats")["length"])

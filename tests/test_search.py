@@ -1,6 +1,7 @@
 import math
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from siltstone.functions import text
@@ -83,3 +84,24 @@ def test_the_best_of_a_query_are_cut_before_the_shuffle(spark):
     queries = spark.createDataFrame([(1, "java")], "q int, said string")
     plan = match_search_many(df, "id", "t", queries, "q", "said", text.tokenize)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("WindowGroupLimit") == 2
+
+
+def test_many_searches_analyse_every_text_once(spark):
+    docs = [(1, "doc red red"), (2, "doc blue"), (2, "doc blue"), (None, "doc red"), (4, ""), (5, None)]
+    df = spark.createDataFrame(docs, "id int, t string").repartition(2)
+    asked = spark.createDataFrame([("q", "red blue")], "q string, t string")
+    analysed = spark.sparkContext.accumulator(0)
+
+    @F.udf("array<string>")
+    def terms(t):
+        if t is None or t == "" or t.startswith("doc"):
+            analysed.add(1)
+        return t and t.split()
+
+    got = match_search_many(df, "id", "t", asked, "q", "t", terms).collect()
+    assert analysed.value == len(docs)
+    # Four rows with terms, 9 / 4 terms a row; the equal rows count one by one in the statistics.
+    idf = {"red": math.log1p((4 - 2 + 0.5) / 2.5), "blue": math.log1p((4 - 1 + 0.5) / 1.5)}
+    want = {1: idf["red"] * 2 / (2 + 1.2 * (0.25 + 0.75 * 3 / 2.25)), None: idf["red"] / (1 + 1.2 * (0.25 + 0.75 * 2 / 2.25))}
+    want[2] = idf["blue"] * 2 / (2 + 1.2 * (0.25 + 0.75 * 2 / 2.25))
+    assert {r["doc_id"]: r["score"] for r in got} == pytest.approx(want)
