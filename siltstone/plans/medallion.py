@@ -243,14 +243,14 @@ def refresh_analysed_copy(spark: SparkSession, index: TableSpec, copy: TableSpec
     """Analyse the rows of a keyed index that changed since the last refresh, and give them.
 
     The copy is a keyed table too; its last batch is the mark up to which the index was read, so a
-    refresh that dies is done again. What did not change is not read. Read it with ``read_keyed_table``.
+    refresh that dies is done again. What did not change is not read. Rows are dealt to the buckets before they are
+    analysed, so term arrays are not shuffled. Read it with ``read_keyed_table``.
     """
     mark = keyed.state_of(spark, copy).committed
     changed, upto = keyed.changes_after(spark, index, key, mark)
-    analysed = analysed_copy(changed, **fields)
     if upto is not None and upto != mark:
-        keyed.put_batch(analysed, copy, key, upto)
-    return analysed
+        keyed.put_batch(changed, copy, key, upto, widen=lambda placed: analysed_copy(placed, **fields))
+    return analysed_copy(changed, **fields)
 
 
 def score_terms(

@@ -12,7 +12,7 @@ write leaves behind is never read and is overwritten by the next try. Replaced f
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass, field, replace
 from functools import reduce
 
@@ -83,20 +83,29 @@ def _with_place(table: TableSpec) -> TableSpec:
     return table if table.schema is None else replace(table, schema=T.StructType(table.schema.fields + PLACE))
 
 
-def _write(rows: DataFrame, table: TableSpec, level: int, version: int, key: str, buckets: int) -> None:
+def _write(
+    rows: DataFrame, table: TableSpec, level: int, version: int, key: str, buckets: int,
+    widen: Callable[[DataFrame], DataFrame] = lambda placed: placed,
+) -> None:
     placed = rows.withColumns({"level": F.lit(level), "version": F.lit(version).cast("long"), "bucket": bucket_of(F.col(key), buckets)})
     # By bucket, so that a bucket gets few files; one with very many rows is cut by the planner.
-    placed.hint("rebalance", "bucket").write.format(table.file_format).mode("overwrite").option(
+    widen(placed.hint("rebalance", "bucket")).write.format(table.file_format).mode("overwrite").option(
         "partitionOverwriteMode", "dynamic"
     ).partitionBy("level", "version", "bucket").save(table.data_path)
 
 
-def put_batch(rows: DataFrame, table: TableSpec, key: str, version: int, buckets: int = BUCKETS) -> None:
-    """Store a batch with one row per key. A batch given again overwrites itself."""
+def put_batch(
+    rows: DataFrame, table: TableSpec, key: str, version: int, buckets: int = BUCKETS,
+    widen: Callable[[DataFrame], DataFrame] = lambda placed: placed,
+) -> None:
+    """Store a batch with one row per key. A batch given again overwrites itself.
+
+    ``widen`` adds columns made of a row alone after the shuffle to the buckets, which so does not carry them.
+    """
     spark = rows.sparkSession
     buckets = state_of(spark, table).buckets or buckets
     _delete(spark, f"{table.data_path}/level=0/version={version}")
-    _write(rows, table, 0, version, key, buckets)
+    _write(rows, table, 0, version, key, buckets, widen)
     places = [int(name.split("=")[1]) for name in _folders(spark, f"{table.data_path}/level=0/version={version}")]
     _append_log(spark, table, BATCH, version, places, buckets)
 
@@ -116,9 +125,13 @@ def _visible(state: State) -> tuple[Column, Column]:
     return (F.col("level") == 1) & either(merged), (F.col("level") == 0) & (version <= state.committed) & later
 
 
-def _current(spark: SparkSession, table: TableSpec, key: str, state: State, where: Column | None = None) -> DataFrame:
+def _current(
+    spark: SparkSession, table: TableSpec, key: str, state: State, where: Column | None = None, columns: Sequence[Column] | None = None
+) -> DataFrame:
     """One row per key; merged rows are read as they are and only lose the keys that changed since."""
     versions = read_table(spark, _with_place(table))
+    if columns is not None:
+        versions = versions.select(key, *columns, "level", "version", "bucket")
     names = [name for name in versions.columns if name not in ("level", "version", "bucket")]
     if where is not None:
         versions = versions.where(where)
@@ -131,8 +144,13 @@ def _current(spark: SparkSession, table: TableSpec, key: str, state: State, wher
     return kept.select(*names).unionByName(fresh)
 
 
-def read_current(spark: SparkSession, table: TableSpec, key: str, values: Sequence | None = None) -> DataFrame:
-    """The current rows; with ``values`` those of these keys, read from their buckets alone."""
+def read_current(
+    spark: SparkSession, table: TableSpec, key: str, values: Sequence | None = None, columns: Sequence[Column] | None = None
+) -> DataFrame:
+    """The current rows; with ``values`` those of these keys, read from their buckets alone.
+
+    With ``columns`` the key and these columns of a row, made before versions are shuffled by key.
+    """
     state = state_of(spark, table)
     where = None
     if values is not None and state.buckets:
@@ -140,7 +158,7 @@ def read_current(spark: SparkSession, table: TableSpec, key: str, values: Sequen
         wanted = [F.lit(v).cast(kind) for v in values]
         buckets = [bucket_of(v, state.buckets) for v in wanted]
         where = F.col("bucket").isin(buckets) & reduce(lambda a, b: a | b, [F.col(key).eqNullSafe(v) for v in wanted], F.lit(False))
-    return _current(spark, table, key, state, where)
+    return _current(spark, table, key, state, where, columns)
 
 
 def changes_after(spark: SparkSession, table: TableSpec, key: str, version: int | None) -> tuple[DataFrame, int | None]:

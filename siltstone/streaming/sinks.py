@@ -112,12 +112,19 @@ def _store(rows: DataFrame, table: TableSpec, key: str, batch_id: int) -> None:
         keyed.put_batch(rows, table, key, batch_id)
 
 
-def read_keyed_table(spark: SparkSession, table: TableSpec, key: str, values: Sequence | None = None) -> DataFrame:
-    """One row per key: the one of the newest batch that has the key; with ``values`` only of these keys."""
+def read_keyed_table(
+    spark: SparkSession, table: TableSpec, key: str, values: Sequence | None = None, columns: Sequence[Column] | None = None
+) -> DataFrame:
+    """One row per key: the one of the newest batch that has the key; with ``values`` only of these keys.
+
+    With ``columns`` it has the key and these columns, made before versions are shuffled by key.
+    """
     if table.file_format == "delta":
-        rows = latest_per_key(read_table(spark, _with_columns(table, "batch")), key, ["batch"]).drop("batch")
+        versions = read_table(spark, _with_columns(table, "batch"))
+        versions = versions if columns is None else versions.select(key, *columns, "batch")
+        rows = latest_per_key(versions, key, ["batch"]).drop("batch")
         return rows if values is None else rows.where(F.col(key).isin(*values))
-    return keyed.read_current(spark, table, key, values)
+    return keyed.read_current(spark, table, key, values, columns)
 
 
 def compact_keyed_table(spark: SparkSession, table: TableSpec, key: str, retention_seconds: float | None = None) -> list[int]:

@@ -571,9 +571,8 @@ def analysed_changes(spark, sf_dir):
     for batch, rows in enumerate([first, docs.where(F.col("doc_id") % 4 > 1)]):
         keyed.put_batch(rows, index, "doc_id", batch)
         medallion.refresh_analysed_copy(spark, index, copy, "doc_id", text_fields=("text",), tags=None)
-    return sinks.read_keyed_table(spark, copy, "doc_id").select(
-        "doc_id", F.size("text_terms").alias("terms"), F.size(F.array_distinct("text_terms")).alias("distinct_terms")
-    )
+    sizes = [F.size("text_terms").alias("terms"), F.size(F.array_distinct("text_terms")).alias("distinct_terms")]
+    return sinks.read_keyed_table(spark, copy, "doc_id", columns=sizes)
 
 
 def _run_lake(spark: SparkSession, sf_dir: str, **options) -> tuple[medallion.Lakehouse, DataFrame]:

@@ -129,3 +129,28 @@ def test_change_feed_and_refreshed_copy(spark, path):
     keyed.put_batch(spark.createDataFrame([(4, "java", None)], schema), index, "id", 3)
     sinks.compact_keyed_table(spark, index, "id", retention_seconds=0)
     assert len(refresh()) == 51 and whole()
+
+
+def test_term_arrays_are_not_shuffled(spark, path):
+    index, copy = TableSpec(f"{path}/index"), TableSpec(f"{path}/copy")
+    texts = spark.createDataFrame([(1, "red blue", "long"), (2, "old", "long"), (None, "x y", None)], "id long, text string, other string")
+    plans = []
+    widened = medallion.analysed_copy
+    keyed.put_batch(texts, index, "id", 0)
+    with pytest.MonkeyPatch.context() as patch:
+        def seen(rows, *args, **kwargs):
+            plans.append(rows._jdf.queryExecution().analyzed().toString())
+            return widened(rows, *args, **kwargs)
+
+        patch.setattr(medallion, "analysed_copy", seen)
+        medallion.refresh_analysed_copy(spark, index, copy, "id", text_fields=("text",), tags=None)
+    assert any("RebalancePartitions" in plan or "rebalance" in plan for plan in plans)
+    keyed.put_batch(texts.where("id = 2").withColumn("text", F.lit("new words")), index, "id", 1)
+    medallion.refresh_analysed_copy(spark, index, copy, "id", text_fields=("text",), tags=None)
+    read = sinks.read_keyed_table(spark, copy, "id", columns=[F.size("text_terms").alias("terms")])
+    assert read.columns == ["id", "terms"]
+    whole = sinks.read_keyed_table(spark, copy, "id").select("id", F.size("text_terms"))
+    assert {tuple(r) for r in read.collect()} == {tuple(r) for r in whole.collect()} == {(1, 3), (2, 3), (None, 3)}
+    shuffled = read._jdf.queryExecution().optimizedPlan().toString()
+    aggregate = next(line for line in shuffled.splitlines() if "Aggregate" in line)
+    assert "text_terms" not in aggregate and "other" not in aggregate
