@@ -1,7 +1,9 @@
 import time
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 
+from siltstone.functions import html
 from siltstone.functions.html import PostingSelectors, _read_posting, extract_posting
 
 PAGE = """
@@ -85,3 +87,25 @@ def test_reading_is_linear_in_unclosed_tags():
         return time.perf_counter() - start
 
     assert seconds(16_000) < 2
+
+
+def test_pages_go_to_python_a_few_at_a_time(spark):
+    pages, sizes = pa.array([f"<title>{i}</title>" for i in range(120)] + [None]), []
+
+    class Counted:
+        def __len__(self):
+            return len(pages)
+
+        def slice(self, at, n):
+            sizes.append(n)
+            return pages.slice(at, n)
+
+    selectors = html.PostingSelectors(title="title")
+    read = html._read_postings(Counted(), selectors)
+    assert [x["title"] for x in read.to_pylist()] == [*map(str, range(120)), None] and max(sizes) <= html.PAGE_ROWS
+    assert len(html._read_postings(pages.slice(0, 0), selectors)) == 0
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")
+    extract_posting(F.col("x"))
+    assert int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) <= html.BATCH_ROWS
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
