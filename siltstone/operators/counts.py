@@ -84,7 +84,7 @@ def frequent_term_count(df: DataFrame, terms: Column, min_doc_count: int, counte
     """
     spark = df.sparkSession
     path = scratch_path(spark, "terms")
-    df.select(F.array_distinct(terms).alias("_terms")).write.parquet(path)
+    df.select(F.array_distinct(terms).alias("_terms")).write.option("compression", "zstd").parquet(path)
     bucket = F.pmod(F.xxhash64("term"), F.lit(counters))
     each = spark.read.parquet(path).select(F.explode("_terms").alias("term")).withColumn("_bucket", bucket)
     reached = each.groupBy("_bucket").agg(F.count("*").alias("_most")).where(F.col("_most") >= min_doc_count)
