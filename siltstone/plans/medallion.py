@@ -267,7 +267,7 @@ def score_terms(
     tag_field = fields[0].name
     terms = field_terms(postings, {
         field.name: F.col(f"{field.name}_terms") if stored
-        else analyze_tags(field.name) if field.name == tag_field else analyze(field.name)
+        else analyze_tags(field.name) if field.name == tag_field else analyze(field.name, distinct=True)
         for field in fields
     })
     return classify(weighted_points(terms, fields, tag_field, buckets), dictionary)

@@ -269,27 +269,27 @@ def tag_terms(spark, sf_dir):
 
 
 def term_count(spark, sf_dir):
-    return counts.term_count(documents(spark, sf_dir), text.analyze("text"))
+    return counts.term_count(documents(spark, sf_dir), text.analyze("text", distinct=True))
 
 
 def term_count_min3(spark, sf_dir):
-    return counts.term_count(documents(spark, sf_dir), text.analyze("text"), 3)
+    return counts.term_count(documents(spark, sf_dir), text.analyze("text", distinct=True), 3)
 
 
 def term_count_min10(spark, sf_dir):
-    return counts.term_count(documents(spark, sf_dir), text.analyze("text"), 10)
+    return counts.term_count(documents(spark, sf_dir), text.analyze("text", distinct=True), 10)
 
 
 def frequent_terms(spark, sf_dir):
-    return counts.frequent_term_count(documents(spark, sf_dir), text.analyze("text"), 10)
+    return counts.frequent_term_count(documents(spark, sf_dir), text.analyze("text", distinct=True), 10)
 
 
 def term_buckets(spark, sf_dir):
-    return counts.term_count(documents(spark, sf_dir), text.analyze("text"), limit=counts.TERM_BUCKETS)
+    return counts.term_count(documents(spark, sf_dir), text.analyze("text", distinct=True), limit=counts.TERM_BUCKETS)
 
 
 def term_top(spark, sf_dir):
-    return counts.term_count(documents(spark, sf_dir), text.analyze("text"), limit=100)
+    return counts.term_count(documents(spark, sf_dir), text.analyze("text", distinct=True), limit=100)
 
 
 def word_frequency(spark, sf_dir):
@@ -335,9 +335,9 @@ def scored_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
     conversations = table(spark, sf_dir, "conversations", "text")
     return incremental.concat_batches([
         scoring.field_terms(part_tags(table(spark, sf_dir, "part")), {"tags": text.analyze_tags("tags")}),
-        scoring.field_terms(documents(spark, sf_dir), {"document": text.analyze("text")}),
-        scoring.field_terms(conversations, {"conversation": text.analyze("text")}),
-        scoring.field_terms(titles, {"title": text.analyze("title")}),
+        scoring.field_terms(documents(spark, sf_dir), {"document": text.analyze("text", distinct=True)}),
+        scoring.field_terms(conversations, {"conversation": text.analyze("text", distinct=True)}),
+        scoring.field_terms(titles, {"title": text.analyze("title", distinct=True)}),
     ])
 
 
@@ -376,7 +376,7 @@ def posting_scores(spark, sf_dir):
 
 
 def document_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return documents(spark, sf_dir).select(F.explode(F.array_distinct(text.analyze("text"))).alias("term")).distinct()
+    return documents(spark, sf_dir).select(F.explode(text.analyze("text", distinct=True)).alias("term")).distinct()
 
 
 def term_flags(spark, sf_dir):

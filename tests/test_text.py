@@ -159,3 +159,23 @@ def test_classes_equal_the_public_table(spark):
     assigned = set(row.assigned)
     for name, pattern in theirs.items():
         assert set(row[name]) & assigned == set(regex.findall(f"[{pattern}]", known)) & assigned, name
+
+
+def test_plain_texts_are_analysed_by_the_udf_as_by_the_built_in_expressions(spark):
+    rng = random.Random(12)
+    plain = ["a", "b", "Über", "1", "23", "0", "007", "_", "__", ".", ",", ";", ":", "'", "’", "-", " ", "\n", "the", "không", "x" * 300, "9" * 300, "a." * 200, "€"]
+    rows = ["".join(rng.choices(plain, k=rng.randint(0, 30))) for _ in range(400)] + ["", "the", "7", "x y " * 5, "ab " * 400_000]
+    others = [None, "漢字 a 7 b", "ไทย the", "a 😀 b"]
+    df = spark.createDataFrame([(row,) for row in rows + others], "t string")
+    built_in = text.bind(text.blank_stop_words(text.tokenize("t"), text.ENGLISH_STOP_WORDS + text.VIETNAMESE_STOP_WORDS), text._TERMS)
+    got = df.select(built_in, text.analyze("t"), text.analyze("t", distinct=True), text._fast_terms(F.lower("t"), False)).collect()
+    for row, (want, terms, distinct, fast) in zip(rows + others, got):
+        assert terms == want and distinct == (want if want is None else list(dict.fromkeys(want)))
+        assert fast == (None if row in others else want)
+
+
+def test_bytes_that_are_no_text_are_analysed_as_before(spark):
+    df = spark.range(1).select(F.unhex(F.lit("C3A9FF41FE20616263")).cast("string").alias("t"))
+    built_in = text.bind(text.blank_stop_words(text.tokenize("t"), text.ENGLISH_STOP_WORDS + text.VIETNAMESE_STOP_WORDS), text._TERMS)
+    first, second = df.select(built_in, text.analyze("t")).collect()[0]
+    assert first == second and first
