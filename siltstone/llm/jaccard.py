@@ -61,8 +61,8 @@ CELLS, MISSES = 3, 1
 COMMON_IN, COMMON_SHARE = 3, 0.3
 #: Common shingles kept, the most frequent first: 8 MB for every task.
 COMMON_MOST = 1_000_000
-#: Signatures of a map block, and of a group of the signature space.
-BLOCK, GROUP = 1_000_000, 500_000
+#: Signatures of a map block, and of a group of the signature space. A block and what sorts it are in memory.
+BLOCK, GROUP = 400_000, 500_000
 #: Bytes of a signature inside its slice. Two that fall together only add a candidate.
 SIG_BYTES = 4
 #: Bits of a sketch.

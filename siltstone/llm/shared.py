@@ -19,7 +19,7 @@ BROADCAST_ROWS = 1_000_000
 #: Rows that go to Python together.
 BATCH_ROWS = 1_000
 #: Bytes of text a kernel looks at together; a longer text is looked at alone.
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 18
 
 U64 = np.uint64
 
@@ -100,7 +100,7 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
             steps[0] = 1
             both.append(np.cumprod(steps, dtype=U64))
         kept = tuple(both)
-        if size <= 4 * SLICE_BYTES:
+        if size <= 16 * SLICE_BYTES:
             _POWERS["kept"] = kept
     return kept[0][:n], kept[1][:n]
 
