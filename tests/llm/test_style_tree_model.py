@@ -110,3 +110,17 @@ def test_empty_pages_and_extra_columns(spark):
     rows = [(1, None, None, "x"), (None, "", "", "y"), (1, "http://h/", "<p>a", None), (1, "http://h/", "<p>a", None)]
     got = style_tree.main_texts(spark.createDataFrame(rows, KIND + ", low string")).collect()
     assert sorted(r["text"] for r in got) == ["", "", "a", "a"] and sum(r["n_chars"] for r in got) == 2
+
+
+def test_with_the_lists_the_trees_remove_what_no_list_names(spark, monkeypatch):
+    rng = random.Random(10)
+    pages = [x for host, n in (("a.x", 12), ("b.x", 40)) for x in site(rng, host, n)]
+    df = spark.createDataFrame([(i, url, html) for i, (url, html, *_) in enumerate(pages)], KIND)
+    with_trees = {r["page_id"]: r["text"] for r in style_tree.main_texts(df).collect()}
+    trees = style_tree.style_trees
+    monkeypatch.setattr(style_tree, "style_trees", lambda pages, lists: trees(pages, lists).limit(0))
+    without = {r["page_id"]: r["text"] for r in style_tree.main_texts(df).collect()}
+    for i, (_, _, article, noise) in enumerate(pages):
+        assert Counter(without[i].split("\n")) == Counter(article + noise)
+        assert not Counter(article) - Counter(with_trees[i].split("\n"))
+    assert sum(len(with_trees[i].split("\n")) for i in with_trees) < sum(len(article) + 1 for _, _, article, _ in pages)
