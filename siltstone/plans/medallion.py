@@ -209,9 +209,14 @@ def run_processing_together(
     A batch counts when all three have it (see :mod:`siltstone.streaming.fanout`); a run that died between two
     of them is finished by the next. Gives the silver rows of whole batches. A lake is processed either so or
     by :func:`run_processing`, as both number the batches of the same index and counts.
+
+    Batches come one after the other, and one of few files has few tasks: its records are dealt to all cores by
+    their place in the record stream before their pages are parsed.
     """
+    bronze = read_table_stream(spark, lake.bronze, files_per_batch)
+    dealt = bronze.repartition(spark.sparkContext.defaultParallelism, "partition", "offset")
     fan_out(
-        to_silver(read_table_stream(spark, lake.bronze, files_per_batch), selectors),
+        to_silver(dealt, selectors),
         lake.commits,
         {
             "silver": append_batch(lake.silver_batches),

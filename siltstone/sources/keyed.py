@@ -56,8 +56,11 @@ def _log(spark: SparkSession, table: TableSpec) -> DataFrame | None:
 
 
 def _append_log(spark: SparkSession, table: TableSpec, kind: str, version: int, places: Iterable[int], buckets: int) -> None:
-    rows = spark.createDataFrame([(kind, b, version, buckets) for b in places] or [(kind, -1, version, buckets)], "kind string, bucket int, version long, buckets int")
-    rows.withColumn("at", F.current_timestamp()).coalesce(1).write.mode("append").parquet(f"{table.base_path.rstrip('/')}/log")
+    row = spark.range(1).select(
+        F.lit(kind).alias("kind"), F.explode(F.array(*[F.lit(b) for b in list(places) or [-1]])).alias("bucket"),
+        F.lit(version).cast("long").alias("version"), F.lit(buckets).alias("buckets"), F.current_timestamp().alias("at"),
+    )
+    row.coalesce(1).write.mode("append").parquet(f"{table.base_path.rstrip('/')}/log")
 
 
 def state_of(spark: SparkSession, table: TableSpec) -> State:
@@ -96,14 +99,15 @@ def _write(
 
 def put_batch(
     rows: DataFrame, table: TableSpec, key: str, version: int, buckets: int = BUCKETS,
-    widen: Callable[[DataFrame], DataFrame] = lambda placed: placed,
+    widen: Callable[[DataFrame], DataFrame] = lambda placed: placed, state: State | None = None,
 ) -> None:
     """Store a batch with one row per key. A batch given again overwrites itself.
 
     ``widen`` adds columns made of a row alone after the shuffle to the buckets, which so does not carry them.
+    A caller that has the ``state`` of the table gives it, and the log is not read again.
     """
     spark = rows.sparkSession
-    buckets = state_of(spark, table).buckets or buckets
+    buckets = (state or state_of(spark, table)).buckets or buckets
     _delete(spark, f"{table.data_path}/level=0/version={version}")
     _write(rows, table, 0, version, key, buckets, widen)
     places = [int(name.split("=")[1]) for name in _folders(spark, f"{table.data_path}/level=0/version={version}")]
@@ -145,13 +149,15 @@ def _current(
 
 
 def read_current(
-    spark: SparkSession, table: TableSpec, key: str, values: Sequence | None = None, columns: Sequence[Column] | None = None
+    spark: SparkSession, table: TableSpec, key: str, values: Sequence | None = None, columns: Sequence[Column] | None = None,
+    state: State | None = None,
 ) -> DataFrame:
     """The current rows; with ``values`` those of these keys, read from their buckets alone.
 
-    With ``columns`` the key and these columns of a row, made before versions are shuffled by key.
+    With ``columns`` the key and these columns of a row, made before versions are shuffled by key. With ``state``
+    the rows as of then, and the log is not read.
     """
-    state = state_of(spark, table)
+    state = state or state_of(spark, table)
     where = None
     if values is not None and state.buckets:
         kind = read_table(spark, _with_place(table)).schema[key].dataType

@@ -67,7 +67,7 @@ def write_batch(batch: DataFrame, batch_id: int, commits: TableSpec, sinks: dict
 
 
 def _commit(spark: SparkSession, commits: TableSpec, batch_id: int, sink: str, rows: int | None) -> None:
-    row = spark.createDataFrame([(sink, rows)], "sink string, row_count long").withColumn("at", F.current_timestamp())
+    row = spark.range(1).select(F.lit(sink).alias("sink"), F.lit(rows).cast("long").alias("row_count"), F.current_timestamp().alias("at"))
     row.coalesce(1).write.mode("append").format(commits.file_format).save(f"{commits.data_path}/batch={batch_id}")
 
 
@@ -116,9 +116,10 @@ def upsert_batch(table: TableSpec, key: str, order: Sequence[str]) -> Sink:
     """Put the last row of every key into a keyed table; read it with ``read_keyed_table``."""
 
     def write(batch: DataFrame, batch_id: int) -> int | None:
-        if _is_in(batch.sparkSession, table, batch_id):
+        state = keyed.state_of(batch.sparkSession, table)
+        if _is_in(state, batch_id):
             return None
-        return counted(latest_per_key(batch, key, order), lambda rows: keyed.put_batch(rows, table, key, batch_id))
+        return counted(latest_per_key(batch, key, order), lambda rows: keyed.put_batch(rows, table, key, batch_id, state=state))
 
     return write
 
@@ -131,22 +132,21 @@ def add_counts(table: TableSpec, key: str, count: str, count_rows: Callable[[Dat
     """
 
     def write(batch: DataFrame, batch_id: int) -> int | None:
-        spark = batch.sparkSession
-        if _is_in(spark, table, batch_id):
+        state = keyed.state_of(batch.sparkSession, table)
+        if _is_in(state, batch_id):
             return None
         fresh = count_rows(batch).select(key, count)
         # Only if some batch had keys: a table without any has no files yet.
-        if keyed.state_of(spark, table).changed:
-            before = keyed.read_current(spark, table, key).select(F.col(key).alias("_key"), F.col(count).alias("_before"))
+        if state.changed:
+            before = keyed.read_current(batch.sparkSession, table, key, state=state).select(F.col(key).alias("_key"), F.col(count).alias("_before"))
             fresh = fresh.join(before, F.col(key).eqNullSafe(F.col("_key")), "left").select(
                 key, (F.col(count) + F.coalesce("_before", F.lit(0))).alias(count)
             )
-        return counted(fresh, lambda rows: keyed.put_batch(rows, table, key, batch_id))
+        return counted(fresh, lambda rows: keyed.put_batch(rows, table, key, batch_id, state=state))
 
     return write
 
 
-def _is_in(spark: SparkSession, table: TableSpec, batch_id: int) -> bool:
+def _is_in(state: keyed.State, batch_id: int) -> bool:
     """Whether the log of a keyed table has this batch: then it died between its own log and its commit row."""
-    last = keyed.state_of(spark, table).committed
-    return last is not None and last >= batch_id
+    return state.committed is not None and state.committed >= batch_id

@@ -7,6 +7,7 @@ from hypothesis import strategies as st
 from siltstone.operators.counts import tag_count
 from siltstone.plans import medallion
 from siltstone.schemas import GOLD_TAG_SCHEMA
+from siltstone.sources import keyed
 from siltstone.sources.records import read_record_files
 from siltstone.sources.tables import TableSpec, counted, first_and_total, read_table_stream, show_table, write_table
 from siltstone.streaming import sinks
@@ -175,6 +176,19 @@ def test_processing_together_gives_the_same(spark, path):
         assert sorted(map(str, apart.collect())) == sorted(map(str, together.collect()))
 
 
+def test_a_batch_of_one_file_is_dealt_to_several_tasks(spark, path, monkeypatch):
+    lake, read = medallion.Lakehouse(path), []
+    write_table(records(spark, PAGES * 5).coalesce(1), lake.records)
+    medallion.run_storage(read_record_files(spark, lake.records.data_path), lake.bronze)
+    assert len(spark.read.parquet(lake.bronze.data_path).inputFiles()) == 1
+    state_of = keyed.state_of
+    monkeypatch.setattr(keyed, "state_of", lambda spark, table: read.append(table) or state_of(spark, table))
+    silver = medallion.run_processing_together(spark, lake, files_per_batch=1)
+    assert silver.count() == 5 * len(PAGES) and len(silver.inputFiles()) > 1
+    # Each keyed sink reads its log once a batch.
+    assert read == [lake.index, lake.gold_tags]
+
+
 # Counts in the same pass -----------------------------------------------------------------------
 
 
