@@ -7,9 +7,12 @@ property: the search for tokens is the largest part of its time, and several tim
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, SparkSession
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # The default English stop set of the public Lucene library.
@@ -180,20 +183,38 @@ def blank_number(term: str) -> Column:
 
 #: Texts of more bytes stay with the built-in expressions; rows that are analysed together, and that go to Python together.
 UDF_BYTES, UDF_ROWS, BATCH_ROWS = 1 << 20, 50, 500
+#: Characters and texts that a task counts in Python together, at most; the product of words, words and texts is a long.
+PART_CHARS, PART_TEXTS = 8_000_000, 10_000
 
 _STOP_WORDS = ENGLISH_STOP_WORDS + VIETNAMESE_STOP_WORDS
+_OUTER_MARKS = ".,;:'\"!?()[]{}<>/*#-\u2013\u2014\u2018\u2019\u201c\u201d\u2026\u00ab\u00bb"
 _ARROW_TERMS = pa.list_(pa.string())
 
 
+def _bound_batches(spark: SparkSession) -> None:
+    """At most ``BATCH_ROWS`` rows go to Python together from then on."""
+    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) not in range(1, BATCH_ROWS + 1):
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+
+
+def _patterns() -> tuple[frozenset, re.Pattern, re.Pattern, re.Pattern]:
+    """Stop words and the patterns of plain texts, tokens and numbers."""
+    return frozenset(_STOP_WORDS), re.compile(rf"[{_PLAIN_TEXT}]*+"), re.compile(PLAIN_PATTERN), re.compile(NUMBER_PATTERN)
+
+
+def _cut(words: list[str], token: re.Pattern) -> list[str]:
+    """Tokens with the long ones cut."""
+    if not words or max(map(len, words)) <= TOKEN_LENGTH:
+        return words
+    pieces = [[w] if len(w) <= TOKEN_LENGTH else [w[at:at + TOKEN_LENGTH] for at in range(0, len(w), TOKEN_LENGTH)] for w in words]
+    return [x for parts in pieces for part in parts for x in (token.findall(part) if len(parts) > 1 else parts)]
+
+
 def _plain_terms(text: str | None, stop_words: frozenset, plain: re.Pattern, token: re.Pattern, number: re.Pattern) -> list[str] | None:
     """The terms of a lower-case text without classes by property, None for any other: the same as ``_TERMS`` gives."""
     if text is None or not plain.fullmatch(text):
         return None
-    words = token.findall(text)
-    if words and len(max(words, key=len)) > TOKEN_LENGTH:
-        pieces = [[w] if len(w) <= TOKEN_LENGTH else [w[at:at + TOKEN_LENGTH] for at in range(0, len(w), TOKEN_LENGTH)] for w in words]
-        words = [x for parts in pieces for part in parts for x in (token.findall(part) if len(parts) > 1 else parts)]
-    words = [None if w in stop_words else w for w in words]
+    words = [None if w in stop_words else w for w in _cut(token.findall(text), token)]
     out = []
     for a, b in zip(words, words[1:]):
         if a is not None:
@@ -206,16 +227,61 @@ def _plain_terms(text: str | None, stop_words: frozenset, plain: re.Pattern, tok
     return out
 
 
+def _plain_counts(texts: list[str], token: re.Pattern) -> tuple[pa.Array, np.ndarray]:
+    """The terms of lower-case texts without classes by property, and in how many of these texts each is.
+
+    Blanks lie in no token and other marks at neither end of one, so a text is cut at its blanks and every distinct
+    piece is read once. Terms are counted as numbers: of a word, of the empty term, or of a pair of words.
+    """
+    cut = pc.ascii_split_whitespace(pa.array(texts, pa.string()))
+    pieces = cut.flatten().dictionary_encode()
+    words, ends = [], [0]
+    for piece in pieces.dictionary.to_numpy(zero_copy_only=False):
+        bare = piece.strip(_OUTER_MARKS)
+        words += [bare] if bare.isalpha() and len(bare) <= TOKEN_LENGTH else _cut(token.findall(bare), token)
+        ends.append(len(words))
+    if not words:
+        return pa.array([], pa.string()), np.empty(0, np.int64)
+    coded = pa.array(words, pa.string()).dictionary_encode()
+    names, size = coded.dictionary, len(coded.dictionary)
+    is_stop = pc.is_in(names, pa.array(_STOP_WORDS)).to_numpy(zero_copy_only=False)
+    is_number = pc.match_substring_regex(names, NUMBER_PATTERN).to_numpy(zero_copy_only=False)
+
+    # All tokens of the texts in their order, and their texts.
+    piece, ends = pieces.indices.to_numpy(), np.array(ends)
+    n = np.diff(ends)[piece]
+    token_at = np.repeat(ends[piece] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+    word = coded.indices.to_numpy().astype(np.int64)[token_at]
+    text = np.repeat(np.repeat(np.arange(len(texts)), pc.list_value_length(cut).to_numpy()), n)
+
+    kept, numeral, near = ~is_stop[word], is_number[word], text[1:] == text[:-1]
+    both = near & kept[1:] & kept[:-1]
+    # A number is blanked, and also stays as itself beside a gap.
+    before_gap, after_gap = near & numeral[:-1] & ~kept[1:], near & numeral[1:] & ~kept[:-1]
+    term = np.concatenate([
+        np.where(numeral, size, word)[kept], word[:-1][before_gap], word[1:][after_gap],
+        size + 1 + word[:-1][both] * size + word[1:][both],
+    ])
+    text = np.concatenate([text[kept], text[:-1][before_gap], text[1:][after_gap], text[:-1][both]])
+    # Sorted by term and text: a term in a text is one number, and its repeats are neighbours.
+    places = np.sort(term * len(texts) + text)
+    found = places[np.concatenate([[True], places[1:] != places[:-1]])[:len(places)]] // len(texts)
+    starts = np.flatnonzero(np.concatenate([[True], found[1:] != found[:-1]])[:len(found)])
+    terms, counts = found[starts], np.diff(np.append(starts, len(found)))
+    one, two = terms[terms <= size], terms[terms > size] - size - 1
+    return pa.concat_arrays([
+        pa.concat_arrays([names, pa.array([""])]).take(pa.array(one)),
+        pc.binary_join_element_wise(names.take(pa.array(two // size)), names.take(pa.array(two % size)), " "),
+    ]), counts
+
+
 def _fast_terms(lowered: Column, distinct: bool) -> Column:
-    """Terms of plain texts, NULL for others. At most ``BATCH_ROWS`` rows go to Python together from then on."""
-    conf = SparkSession.active().conf
-    if int(conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) not in range(1, BATCH_ROWS + 1):
-        conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    """Terms of plain texts, NULL for others."""
+    _bound_batches(SparkSession.active())
 
     @F.arrow_udf("array<string>")
     def terms(texts: pa.Array) -> pa.Array:
-        how = frozenset(_STOP_WORDS), re.compile(rf"[{_PLAIN_TEXT}]*+"), re.compile(PLAIN_PATTERN), re.compile(NUMBER_PATTERN)
-        parts = []
+        how, parts = _patterns(), []
         for at in range(0, len(texts), UDF_ROWS):
             rows = [_plain_terms(text, *how) for text in texts.slice(at, UDF_ROWS).to_pylist()]
             if distinct:
@@ -233,10 +299,52 @@ def analyze(text: Column | str, distinct: bool = False) -> Column:
     next to a gap also survives as itself, because the pair it forms with the gap is trimmed
     only after numbers were blanked.
     """
+    built_in = _built_in_terms(text)
+    return F.coalesce(_fast_terms(_short_lowered(text), distinct), F.array_distinct(built_in) if distinct else built_in)
+
+
+def _short_lowered(text: Column | str) -> Column:
     # Lower case comes first: it replaces bytes that are no UTF-8, which Python could not read.
-    lowered = F.when(F.octet_length(_column(text)) <= UDF_BYTES, F.lower(_column(text)))
-    built_in = bind(blank_stop_words(tokenize(text), _STOP_WORDS), _TERMS)
-    return F.coalesce(_fast_terms(lowered, distinct), F.array_distinct(built_in) if distinct else built_in)
+    return F.when(F.octet_length(_column(text)) <= UDF_BYTES, F.lower(_column(text)))
+
+
+def _built_in_terms(text: Column | str) -> Column:
+    return bind(blank_stop_words(tokenize(text), _STOP_WORDS), _TERMS)
+
+
+def term_parts(df: DataFrame, text: Column | str) -> DataFrame:
+    """Rows (term, n) whose sums over n are the numbers of rows with the term among those of :func:`analyze`.
+
+    A task counts plain texts as it reads them, some ``PART_CHARS`` characters together, so neither term arrays nor a row
+    per text and term are sent to the JVM. All other texts are taken from a second scan and analysed by the built-in
+    expressions; they give a row for each of their distinct terms. A NULL text has no terms.
+    """
+    _bound_batches(df.sparkSession)
+
+    def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _, plain, token, _ = _patterns()
+        held, chars = [], 0
+
+        def counted() -> pa.RecordBatch:
+            terms, n = _plain_counts(held, token)
+            return pa.record_batch([terms, pa.array(n, pa.int64())], names=["term", "n"])
+
+        for batch in batches:
+            for lowered in batch[0]:
+                lowered = lowered.as_py()
+                if lowered is not None and plain.fullmatch(lowered):
+                    held.append(lowered)
+                    chars += len(lowered)
+                    if chars >= PART_CHARS or len(held) == PART_TEXTS:
+                        yield counted()
+                        held, chars = [], 0
+        if held:
+            yield counted()
+
+    lowered = _short_lowered(text)
+    plain = df.select(lowered.alias("lowered")).where(F.col("lowered").isNotNull()).mapInArrow(parts, "term string, n bigint")
+    others = df.where(~F.coalesce(lowered.rlike(rf"\A[{_PLAIN_TEXT}]*+\z"), F.lit(False)))
+    return plain.unionByName(others.select(F.explode(F.array_distinct(_built_in_terms(text))).alias("term"), F.lit(1).cast("long").alias("n")))
 
 
 def analyze_tags(tags: Column | str) -> Column:

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from siltstone.functions.text import term_parts
 from siltstone.session import scratch_path
 
 # Fixed value: term buckets returned by one term aggregation.
@@ -62,11 +63,16 @@ def term_count(df: DataFrame, terms: Column, min_doc_count: int = 1, limit: int
     Terms are made distinct inside the row, so nothing is shuffled by document. ``limit`` gives
     the bucket report (see ``TERM_BUCKETS``); without it all terms are returned.
     """
-    counts = (
-        df.select(F.explode(F.array_distinct(terms)).alias("term"))
-        .groupBy("term")
-        .agg(F.count("*").alias("n"))
-    )
+    each = df.select(F.explode(F.array_distinct(terms)).alias("term"))
+    return _reported(each.groupBy("term").agg(F.count("*").alias("n")), min_doc_count, limit)
+
+
+def text_term_count(df: DataFrame, text: Column | str, min_doc_count: int = 1, limit: int | None = None) -> DataFrame:
+    """The same over the analysed terms of a text, whose rows are counted as they are analysed."""
+    return _reported(term_parts(df, text).groupBy("term").agg(F.sum("n").alias("n")), min_doc_count, limit)
+
+
+def _reported(counts: DataFrame, min_doc_count: int, limit: int | None) -> DataFrame:
     if min_doc_count > 1:
         counts = counts.where(F.col("n") >= min_doc_count)
     return counts if limit is None else top_terms(counts, limit)

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siltstone.functions.predicates import is_admissible
+from siltstone.functions.text import term_parts
 from siltstone.operators.counts import candidates
 from siltstone.session import scratch_path
 
@@ -43,13 +44,19 @@ def field_terms(df: DataFrame, terms: dict[str, Column]) -> DataFrame:
     return df.select(F.inline(fields)).select("field", F.explode("terms").alias("term"))
 
 
+def field_parts(df: DataFrame, field: str, text: Column | str) -> DataFrame:
+    """Rows (field, term, n) of one text field: partial numbers of rows with the term, see :func:`term_parts`."""
+    return term_parts(df, text).select(F.lit(field).alias("field"), "term", "n")
+
+
 def field_counts(terms: DataFrame, fields: Sequence[Field]) -> DataFrame:
     """Documents per term, one column per field, zero below the field's minimum.
 
-    All fields share one shuffle on the term.
+    All fields share one shuffle on the term. A row counts once, or ``n`` times where there is such a column.
     """
+    times = F.col("n") if "n" in terms.columns else F.lit(1).cast("long")
     counts = terms.groupBy("term").agg(
-        *[F.count(F.when(F.col("field") == field.name, 1)).alias(field.name) for field in fields]
+        *[F.sum(F.when(F.col("field") == field.name, times).otherwise(0)).alias(field.name) for field in fields]
     )
     return counts.select("term", *[
         F.when(F.col(field.name) >= field.min_doc_count, F.col(field.name)).otherwise(F.lit(0)).alias(field.name)
@@ -85,7 +92,7 @@ def weighted_points(
 ) -> DataFrame:
     """Points per term: the sum over the fields of weight times document count.
 
-    ``terms`` has the rows of :func:`field_terms`. With ``tag_field`` a flag ``is_tag`` tells
+    ``terms`` has the rows of :func:`field_terms` or :func:`field_parts`. With ``tag_field`` a flag ``is_tag`` tells
     whether the term is a bucket of that field. ``buckets`` restricts each field to its most
     frequent terms first, as a bucket report does; by default all terms are scored.
     """

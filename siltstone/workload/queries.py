@@ -269,15 +269,15 @@ def tag_terms(spark, sf_dir):
 
 
 def term_count(spark, sf_dir):
-    return counts.term_count(documents(spark, sf_dir), text.analyze("text", distinct=True))
+    return counts.text_term_count(documents(spark, sf_dir), "text")
 
 
 def term_count_min3(spark, sf_dir):
-    return counts.term_count(documents(spark, sf_dir), text.analyze("text", distinct=True), 3)
+    return counts.text_term_count(documents(spark, sf_dir), "text", 3)
 
 
 def term_count_min10(spark, sf_dir):
-    return counts.term_count(documents(spark, sf_dir), text.analyze("text", distinct=True), 10)
+    return counts.text_term_count(documents(spark, sf_dir), "text", 10)
 
 
 def frequent_terms(spark, sf_dir):
@@ -285,11 +285,11 @@ def frequent_terms(spark, sf_dir):
 
 
 def term_buckets(spark, sf_dir):
-    return counts.term_count(documents(spark, sf_dir), text.analyze("text", distinct=True), limit=counts.TERM_BUCKETS)
+    return counts.text_term_count(documents(spark, sf_dir), "text", limit=counts.TERM_BUCKETS)
 
 
 def term_top(spark, sf_dir):
-    return counts.term_count(documents(spark, sf_dir), text.analyze("text", distinct=True), limit=100)
+    return counts.text_term_count(documents(spark, sf_dir), "text", limit=100)
 
 
 def word_frequency(spark, sf_dir):
@@ -330,14 +330,14 @@ def match_search_stored(spark, sf_dir):
 # Scoring ---------------------------------------------------------------------------------------
 
 def scored_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows (field, term): one tag field and three text fields, each from its own table."""
+    """Rows (field, term, n): one tag field and three text fields, each from its own table."""
     titles = pages(spark, sf_dir).select(extract_posting(F.col("html"), PAGE_SELECTORS)["title"].alias("title"))
     conversations = table(spark, sf_dir, "conversations", "text")
     return incremental.concat_batches([
-        scoring.field_terms(part_tags(table(spark, sf_dir, "part")), {"tags": text.analyze_tags("tags")}),
-        scoring.field_terms(documents(spark, sf_dir), {"document": text.analyze("text", distinct=True)}),
-        scoring.field_terms(conversations, {"conversation": text.analyze("text", distinct=True)}),
-        scoring.field_terms(titles, {"title": text.analyze("title", distinct=True)}),
+        scoring.field_terms(part_tags(table(spark, sf_dir, "part")), {"tags": text.analyze_tags("tags")}).withColumn("n", F.lit(1).cast("long")),
+        scoring.field_parts(documents(spark, sf_dir), "document", "text"),
+        scoring.field_parts(conversations, "conversation", "text"),
+        scoring.field_terms(titles, {"title": text.analyze("title", distinct=True)}).withColumn("n", F.lit(1).cast("long")),
     ])
 
 
@@ -376,7 +376,7 @@ def posting_scores(spark, sf_dir):
 
 
 def document_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return documents(spark, sf_dir).select(F.explode(text.analyze("text", distinct=True)).alias("term")).distinct()
+    return text.term_parts(documents(spark, sf_dir), "text").select("term").distinct()
 
 
 def term_flags(spark, sf_dir):

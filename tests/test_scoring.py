@@ -87,3 +87,11 @@ def test_points_shuffle_once(spark):
     })
     plan = scoring.weighted_points(terms, FIELDS, "tags")._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange") == 1
+
+
+def test_parts_of_a_field_count_as_its_terms_do(spark):
+    df = spark.createDataFrame([("b c b",), ("b 7",), (None,), ("漢 b",)], "t string")
+    fields = [Field("t", 2, 2)]
+    terms = scoring.field_terms(df, {"t": text.analyze("t", distinct=True)})
+    want = scoring.weighted_points(terms, fields).collect()
+    assert scoring.weighted_points(scoring.field_parts(df, "t", "t"), fields).collect() == want == [("b", 6)]

@@ -179,3 +179,19 @@ def test_bytes_that_are_no_text_are_analysed_as_before(spark):
     built_in = text.bind(text.blank_stop_words(text.tokenize("t"), text.ENGLISH_STOP_WORDS + text.VIETNAMESE_STOP_WORDS), text._TERMS)
     first, second = df.select(built_in, text.analyze("t")).collect()[0]
     assert first == second and first
+
+
+def test_parts_sum_up_to_the_rows_of_every_term(spark, monkeypatch):
+    monkeypatch.setattr(text, "PART_CHARS", 400)
+    rng = random.Random(13)
+    plain = ["a", "b", "Über", "1", "23", "0", "007", "_", "__", ".", ",", ";", ":", "'", "’", "-", "(", "×", " ", "\n", "\x1c", " ", "the", "không", "x" * 300, "9" * 300, "a." * 200, "€"]
+    rows = ["".join(rng.choices(plain, k=rng.randint(0, 30))) for _ in range(400)] + ["", "the", "7", "7 the 7", "ab " * 400_000, None, "漢字 a 7 b", "ไทย the", "b 😀"]
+    df = spark.createDataFrame([(row,) for row in rows], "t string")
+    want = dict(df.select(F.explode(text.analyze("t", distinct=True)).alias("term")).groupBy("term").count().collect())
+    assert dict(text.term_parts(df, "t").groupBy("term").agg(F.sum("n")).collect()) == want
+
+
+def test_parts_of_a_task_have_a_term_once(spark):
+    df = spark.range(300).select(F.lit("some words some 12 words").alias("t")).coalesce(1)
+    terms = ["", "12 words", "some", "some 12", "some words", "words", "words some"]
+    assert sorted(text.term_parts(df, "t").collect()) == [(term, 300) for term in terms]
